@@ -359,3 +359,212 @@ def q_specialty_counts_current(spark, sf):
 def q_specialty_share(spark, sf):
     """AGG-06: bar width relative to the largest specialty, half-even rounding."""
     return agg.with_share(agg.specialty_counts(fact(spark, sf), dim(spark, sf, "doctor")))
+
+
+# ---------------------------------------------------------------- top-k and listings
+
+from ..operators.topk import listing, top_k  # noqa: E402
+
+_RECENT_COLS = ["appointment_time", "doctor_name", "patient_id", "event_type"]
+
+
+@query("recent_appointments", with_("fact_all") + """
+select appointment_time, doctor_name, patient_id, event_type from fact_all
+order by appointment_time desc nulls first, doctor_name asc nulls last, patient_id asc nulls last,
+         event_type asc nulls last
+limit 10""")
+def q_recent_appointments(spark, sf):
+    """SRT-01: ten newest appointments of the fact."""
+    return top_k(fact(spark, sf).select(*_RECENT_COLS), 10, "appointment_time", _RECENT_COLS[1:])
+
+
+@query("oldest_appointments", with_("fact_all") + """
+select appointment_time, doctor_name, patient_id, event_type from fact_all
+order by appointment_time asc nulls last, doctor_name asc nulls last, patient_id asc nulls last,
+         event_type asc nulls last
+limit 5""")
+def q_oldest_appointments(spark, sf):
+    """SRT-02: five oldest (ascending, NULLs last)."""
+    return top_k(fact(spark, sf).select(*_RECENT_COLS), 5, "appointment_time", _RECENT_COLS[1:],
+                 descending=False)
+
+
+@query("recent_events", with_("fx_event") + """
+select event_id, appointment_id, patient_id, doctor_id, hospital_id, event_type,
+       make_timestamp(appointment_time) as appointment_time,
+       make_timestamp(event_timestamp) as event_timestamp, consultation_fee
+from fx_event
+order by event_timestamp desc nulls first, cast(substring(event_id, 2) as bigint) desc
+limit 100""")
+def q_recent_events(spark, sf):
+    """SRT-03: 100 newest source events, nine columns."""
+    e = fx.fx_event(spark, sf)
+    e = e.select("event_id", "appointment_id", "patient_id", "doctor_id", "hospital_id", "event_type",
+                 micros_to_ts("appointment_time").alias("appointment_time"),
+                 micros_to_ts("event_timestamp").alias("event_timestamp"), "consultation_fee",
+                 id_number(F.col("event_id")).alias("_n"))
+    return e.orderBy(F.col("event_timestamp").desc_nulls_first(), F.col("_n").desc()).limit(100).drop("_n")
+
+
+@query("entity_listing", with_("fx_hospital") + """
+select hospital_id, hospital_name, city, country, bed_capacity from fx_hospital where b = 2
+order by hospital_id""")
+def q_entity_listing(spark, sf):
+    """SRT-04 / SRC-13: hospital listing of the current source table."""
+    return listing(fx.source_table(spark, sf, "hospital"),
+                   ["hospital_id", "hospital_name", "city", "country", "bed_capacity"], "hospital_id")
+
+
+@query("entity_lookup", with_("fx_patient") + """
+select patient_id, patient_name from fx_patient where b = 2 order by patient_id""")
+def q_entity_lookup(spark, sf):
+    """SRT-05: (id, name) lookup list."""
+    return listing(fx.source_table(spark, sf, "patient"), ["patient_id", "patient_name"], "patient_id")
+
+
+@query("listing_count", with_("fx_patient", "fx_doctor", "fx_hospital") + """
+select (select count(*) from fx_doctor where b = 2) as doctors,
+       (select count(*) from fx_hospital where b = 2) as hospitals,
+       (select count(*) from fx_patient where b = 2) as patients""")
+def q_listing_count(spark, sf):
+    """AGG-07: row count of each management listing."""
+    d = fx.source_table(spark, sf, "doctor").agg(F.count(F.lit(1)).alias("doctors"))
+    h = fx.source_table(spark, sf, "hospital").agg(F.count(F.lit(1)).alias("c"))
+    p = fx.source_table(spark, sf, "patient").agg(F.count(F.lit(1)).alias("c"))
+    return d.select("doctors", h.scalar().alias("hospitals"), p.scalar().alias("patients"))
+
+
+# ---------------------------------------------------------------- display derivations
+
+@query("status_class", with_("fx_event") + """
+select event_id, event_type,
+       case upper(event_type) when 'BOOKED' then 'booked' when 'CONFIRMED' then 'confirmed'
+            when 'CANCELLED' then 'cancelled' else 'completed' end as status_class,
+       case upper(lower(event_type)) when 'BOOKED' then 'booked' when 'CONFIRMED' then 'confirmed'
+            when 'CANCELLED' then 'cancelled' else 'completed' end as staged_status_class
+from fx_event""")
+def q_status_class(spark, sf):
+    """PRJ-10: badge class from the upper-cased status (source and staged spelling)."""
+    e = fx.fx_event(spark, sf)
+    return e.select("event_id", "event_type", dsp.status_class("event_type").alias("status_class"),
+                    dsp.status_class(F.lower("event_type")).alias("staged_status_class"))
+
+
+@query("gender_class", with_("fx_patient") + """
+select patient_id, gender,
+       case when gender = 'Male' then 'Male' when gender = 'Female' then 'Female' else 'Other' end as gender_class
+from fx_patient where b = 2""")
+def q_gender_class(spark, sf):
+    """PRJ-11."""
+    p = fx.source_table(spark, sf, "patient")
+    return p.select("patient_id", "gender", dsp.gender_class("gender").alias("gender_class"))
+
+
+@query("fee_text", with_("fx_event") + """
+select event_id, '$' || printf('%.2f', consultation_fee) as fee_text from fx_event""")
+def q_fee_text(spark, sf):
+    """PRJ-12: ``$`` and two decimals of the source fee."""
+    e = fx.fx_event(spark, sf)
+    return e.select("event_id", dsp.fee_text("consultation_fee").alias("fee_text"))
+
+
+@query("minute_text", with_("fx_event") + """
+select event_id, strftime(make_timestamp(appointment_time), '%Y-%m-%dT%H:%M') as minute_text from fx_event""")
+def q_minute_text(spark, sf):
+    """PRJ-13: minute-resolution ISO text."""
+    e = fx.fx_event(spark, sf)
+    return e.select("event_id", dsp.minute_text(micros_to_ts("appointment_time")).alias("minute_text"))
+
+
+@query("labels", with_("fx_doctor") + """
+select doctor_id, doctor_id || ' — ' || doctor_name as doctor_label,
+       cast(experience_years as varchar) || ' yrs' as experience_label
+from fx_doctor where b = 2""")
+def q_labels(spark, sf):
+    """PRJ-14: ``id — name`` and ``N yrs`` labels."""
+    d = fx.source_table(spark, sf, "doctor")
+    return d.select("doctor_id", dsp.id_name_label("doctor_id", "doctor_name").alias("doctor_label"),
+                    dsp.years_label("experience_years").alias("experience_label"))
+
+
+# ---------------------------------------------------------------- dashboard composite
+
+@query("dashboard_summary", with_("fact_all", "patient_dim", "doctor_dim", "hospital_dim") + f"""
+select count(*) filter (where appointment_time >= timestamp '{DAY} 00:00:00'
+                          and appointment_time < timestamp '{_NEXT} 00:00:00') as today_appointments,
+       count(*) filter (where event_type = 'CONFIRMED' and appointment_time >= timestamp '{DAY} 00:00:00'
+                          and appointment_time < timestamp '{_NEXT} 00:00:00') as active_appointments,
+       (select count(distinct patient_id) from patient_dim) as total_patients,
+       (select count(distinct doctor_id) from doctor_dim) as total_doctors,
+       (select count(distinct hospital_id) from hospital_dim) as total_hospitals
+from fact_all""")
+def q_dashboard_summary(spark, sf):
+    """DSH-01: the dashboard's five numbers in one row (one pass over the fact)."""
+    from .dashboard import summary
+    return summary(fact(spark, sf), dim(spark, sf, "patient"), dim(spark, sf, "doctor"),
+                   dim(spark, sf, "hospital"), DAY)
+
+
+# ---------------------------------------------------------------- CDC
+
+from ..operators import cdc  # noqa: E402
+from ..sources.envelope import decode  # noqa: E402
+
+
+def classified(spark, sf):
+    return cdc.classify(decode(fx.fx_envelope(spark, sf)))
+
+
+_EV_COLS = "event_id, appointment_id, patient_id, doctor_id, hospital_id, event_type, " \
+           "appointment_time, event_timestamp, consultation_fee"
+
+
+@query("cdc_upserts", with_("fx_op") + f"""
+select 'appointment_events' as table_name, {_EV_COLS}, position from fx_op
+where fault <> 'null_payload' and topic = 'server.public.appointment_events'
+  and op in ('c', 'u', 'r') and fault <> 'null_after'""")
+def q_cdc_upserts(spark, sf):
+    """SRC-01/03/05, CDC-01: upsert images of the appointment table."""
+    return cdc.upserts(classified(spark, sf), "appointment_events")
+
+
+@query("cdc_deletes", with_("fx_op") + f"""
+select 'appointment_events' as table_name, {_EV_COLS}, position, true as _deleted from fx_op
+where fault <> 'null_payload' and topic = 'server.public.appointment_events' and op = 'd'""")
+def q_cdc_deletes(spark, sf):
+    """CDC-02: delete images flagged ``_deleted``."""
+    return cdc.deletes(classified(spark, sf), "appointment_events")
+
+
+@query("cdc_rejects", with_("fx_op") + """
+select position, topic, case when fault = 'null_payload' then null else op end as op,
+       case when fault = 'null_payload' then 'no_payload'
+            when topic <> 'server.public.appointment_events' then 'unknown_topic'
+            else 'invalid_op' end as reason
+from fx_op
+where fault = 'null_payload' or topic <> 'server.public.appointment_events'
+   or op not in ('c', 'u', 'r', 'd') or fault = 'null_after'""")
+def q_cdc_rejects(spark, sf):
+    """CDC-03: everything not accepted, with the first failing rule."""
+    return cdc.rejects(classified(spark, sf))
+
+
+@query("cdc_unified", with_("fx_op") + f"""
+select 'appointment_events' as table_name, {_EV_COLS}, position,
+       case when op = 'd' then true end as _deleted
+from fx_op
+where fault <> 'null_payload' and topic = 'server.public.appointment_events'
+  and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')""")
+def q_cdc_unified(spark, sf):
+    """CDC-04: upserts and deletes in one frame with a nullable ``_deleted``."""
+    return cdc.unified(classified(spark, sf), "appointment_events")
+
+
+@query("cdc_op_counts", with_("fx_op") + """
+select 'appointment_events' as table_name, op, count(*) as cnt from fx_op
+where fault <> 'null_payload' and topic = 'server.public.appointment_events'
+  and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')
+group by op""")
+def q_cdc_op_counts(spark, sf):
+    """CDC-05: accepted records per table and op."""
+    return cdc.op_counts(classified(spark, sf))
