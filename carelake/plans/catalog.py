@@ -568,3 +568,217 @@ group by op""")
 def q_cdc_op_counts(spark, sf):
     """CDC-05: accepted records per table and op."""
     return cdc.op_counts(classified(spark, sf))
+
+
+# ---------------------------------------------------------------- keyed batch writes (DML)
+
+from ..operators import dml  # noqa: E402
+from ..registry import (EVENT_TYPES, SPECIALTIES, GENDERS, EXPERIENCE_YEARS_RANGE,  # noqa: E402
+                        MIN_BED_CAPACITY, MIN_FEE, WIRE_TYPES, PREFIX_ROUTING_ORDER)
+
+_P_WIRE = "patient_id, patient_name, gender, date_of_birth, city, created_at"
+
+
+def _wire(spark, sf, entity, b):
+    cols = [n for n, _ in WIRE_TYPES[entity]]
+    return fx.fx_entity(spark, sf, entity).where(F.col("b") == b).select(*cols)
+
+
+@query("insert_if_absent", with_("fx_patient") + f"""
+select {_P_WIRE} from fx_patient where b = 0
+union all
+select {_P_WIRE} from fx_patient where b = 1
+  and patient_id not in (select patient_id from fx_patient where b = 0)""")
+def q_insert_if_absent(spark, sf):
+    """DML-01: run-1 extract inserted into the run-0 table; existing rows win."""
+    return dml.insert_if_absent(_wire(spark, sf, "patient", 0), _wire(spark, sf, "patient", 1),
+                                "patient_id", order=["created_at"])
+
+
+@query("update_by_key", with_("fx_hospital") + """
+select t.hospital_id,
+       case when u.hospital_id is not null then u.hospital_name else t.hospital_name end as hospital_name,
+       case when u.hospital_id is not null then u.city else t.city end as city,
+       case when u.hospital_id is not null then u.country else t.country end as country,
+       case when u.hospital_id is not null then u.bed_capacity else t.bed_capacity end as bed_capacity,
+       t.created_at
+from (select * from fx_hospital where b = 0) t
+left join (select * from fx_hospital where b = 2) u on t.hospital_id = u.hospital_id""")
+def q_update_by_key(spark, sf):
+    """DML-02: listed columns updated by key; created_at untouched."""
+    return dml.update_by_key(_wire(spark, sf, "hospital", 0), _wire(spark, sf, "hospital", 2),
+                             "hospital_id", ["hospital_name", "city", "country", "bed_capacity"])
+
+
+@query("delete_by_key", with_("fx_op") + f"""
+select {_EV_COLS} from fx_event
+where event_id not in (select event_id from fx_op where op = 'd')""")
+def q_delete_by_key(spark, sf):
+    """DML-03: events deleted by the keys of the change stream's delete ops."""
+    ops = fx.fx_op(spark, sf)
+    return dml.delete_by_key(fx.fx_event(spark, sf), ops.where(F.col("op") == "d"), "event_id")
+
+
+_REQ_SQL = """req as (
+select * from (select *, row_number() over (partition by appointment_id
+                 order by event_timestamp desc nulls first, cast(substring(event_id, 2) as bigint) desc) as rk
+               from fx_event where appointment_id is not null and patient_id is not null) z
+where rk = 1 and event_type = 'BOOKED'),
+mx as (select max(cast(substring(event_id, 2) as bigint)) as m from fx_event)"""
+FOLLOW_UP_TS = "2024-01-21 00:00:00"
+
+
+def _follow_up_requests(spark, sf):
+    e = fx.fx_event(spark, sf).where(F.col("appointment_id").isNotNull() & F.col("patient_id").isNotNull())
+    last = latest_by_rank(e, "appointment_id", ["event_timestamp"], [id_number(F.col("event_id"))],
+                          keep_rn=False)
+    return last.where(F.col("event_type") == "BOOKED")
+
+
+@query("allocate_ids", with_("fx_event", extra=_REQ_SQL) + """
+select appointment_id, printf('E%06d', (select m from mx) + row_number() over (order by appointment_id)) as event_id
+from req""")
+def q_allocate_ids(spark, sf):
+    """DML-05 / AGG-05: next event ids for a confirmation of every booked appointment."""
+    req = _follow_up_requests(spark, sf).select("appointment_id")
+    return dml.allocate_ids(req, fx.fx_event(spark, sf), "event_id", ["appointment_id"], "E", 6)
+
+
+@query("append_events", with_("fx_event", extra=_REQ_SQL) + f"""
+select {_EV_COLS} from fx_event
+union all
+select printf('E%06d', (select m from mx) + row_number() over (order by appointment_id)) as event_id,
+       appointment_id, patient_id, doctor_id, hospital_id, 'CONFIRMED' as event_type, appointment_time,
+       epoch_us(timestamp '{FOLLOW_UP_TS}') as event_timestamp, consultation_fee
+from req""")
+def q_append_events(spark, sf):
+    """DML-04: confirmation events appended with the write time as event_timestamp."""
+    from ..functions.types import ts_to_micros
+    ev = fx.fx_event(spark, sf)
+    req = _follow_up_requests(spark, sf).drop("event_id")
+    rows = dml.allocate_ids(req, ev, "event_id", ["appointment_id"], "E", 6)
+    rows = rows.withColumn("event_type", F.lit("CONFIRMED"))
+    return dml.append_rows(ev, rows, "event_timestamp", ts_to_micros(ts_lit(FOLLOW_UP_TS)))
+
+
+@query("normalize_keys", with_("fx_event") + """
+select event_id, raw_key, upper(trim(raw_key)) as doctor_id from (
+  select event_id, case when cast(substring(event_id, 2) as bigint) % 2 = 0
+                        then '  ' || lower(doctor_id) || ' ' else doctor_id end as raw_key
+  from fx_event) z""")
+def q_normalize_keys(spark, sf):
+    """DML-06: keys typed in forms are trimmed and upper-cased."""
+    e = fx.fx_event(spark, sf)
+    raw = F.when(id_number(F.col("event_id")) % 2 == 0,
+                 F.concat(F.lit("  "), F.lower("doctor_id"), F.lit(" "))).otherwise(F.col("doctor_id"))
+    return e.select("event_id", raw.alias("raw_key")).withColumn("doctor_id", dml.normalize_key("raw_key"))
+
+
+@query("parse_numbers", with_("fx_event") + """
+select event_id, try_cast(fee_text as double) as consultation_fee,
+       try_cast(fee_text as double) is not null as parse_ok from (
+  select event_id, case when cast(substring(event_id, 2) as bigint) % 13 = 0 then 'n/a'
+                        when cast(substring(event_id, 2) as bigint) % 17 = 0 then ''
+                        else cast(consultation_fee as varchar) end as fee_text
+  from fx_event) z""")
+def q_parse_numbers(spark, sf):
+    """DML-07: text -> number; unparsable text is flagged (quarantine), not fatal."""
+    e = fx.fx_event(spark, sf)
+    n = id_number(F.col("event_id"))
+    txt = F.when(n % 13 == 0, F.lit("n/a")).when(n % 17 == 0, F.lit("")).otherwise(
+        F.col("consultation_fee").cast("string"))
+    parsed = txt.try_cast("double")
+    return e.select("event_id", parsed.alias("consultation_fee"), parsed.isNotNull().alias("parse_ok"))
+
+
+def _in(vals):
+    return "(" + ", ".join(f"'{v}'" for v in vals) + ")"
+
+
+_VIOL_SQL = with_("fx_event", "fx_doctor", "fx_hospital", "fx_patient") + f"""
+select rule, violations from (
+  select 'appointment_events.appointment_id.required' as rule, count(*) filter (where appointment_id is null) as violations from fx_event
+  union all select 'appointment_events.patient_id.required', count(*) filter (where patient_id is null) from fx_event
+  union all select 'appointment_events.event_type.domain', count(*) filter (where not coalesce(event_type in {_in(EVENT_TYPES)}, false)) from fx_event
+  union all select 'appointment_events.consultation_fee.min', count(*) filter (where not coalesce(consultation_fee >= {MIN_FEE}, false)) from fx_event
+  union all select 'doctor.hospital_id.required', count(*) filter (where hospital_id is null) from fx_doctor where b = 2
+  union all select 'doctor.specialty.domain', count(*) filter (where not coalesce(specialty in {_in(SPECIALTIES)}, false)) from fx_doctor where b = 2
+  union all select 'doctor.experience_years.range', count(*) filter (where not coalesce(experience_years between {EXPERIENCE_YEARS_RANGE[0]} and {EXPERIENCE_YEARS_RANGE[1]}, false)) from fx_doctor where b = 2
+  union all select 'hospital.bed_capacity.min', count(*) filter (where not coalesce(bed_capacity >= {MIN_BED_CAPACITY}, false)) from fx_hospital where b = 2
+  union all select 'patient.gender.domain', count(*) filter (where not coalesce(gender in {_in(GENDERS)}, false)) from fx_patient where b = 2
+) z where violations > 0"""
+
+
+@query("domain_violations", _VIOL_SQL)
+def q_domain_violations(spark, sf):
+    """DML-08: form rules checked over the source tables; broken rules counted."""
+    ev = fx.fx_event(spark, sf)
+    doc = fx.source_table(spark, sf, "doctor")
+    hos = fx.source_table(spark, sf, "hospital")
+    pat = fx.source_table(spark, sf, "patient")
+    lo, hi = EXPERIENCE_YEARS_RANGE
+    parts = [
+        dml.domain_violations(ev, {
+            "appointment_events.appointment_id.required": F.col("appointment_id").isNotNull(),
+            "appointment_events.patient_id.required": F.col("patient_id").isNotNull(),
+            "appointment_events.event_type.domain": F.col("event_type").isin(*EVENT_TYPES),
+            "appointment_events.consultation_fee.min": F.col("consultation_fee") >= MIN_FEE}),
+        dml.domain_violations(doc, {
+            "doctor.hospital_id.required": F.col("hospital_id").isNotNull(),
+            "doctor.specialty.domain": F.col("specialty").isin(*SPECIALTIES),
+            "doctor.experience_years.range": F.col("experience_years").between(lo, hi)}),
+        dml.domain_violations(hos, {"hospital.bed_capacity.min": F.col("bed_capacity") >= MIN_BED_CAPACITY}),
+        dml.domain_violations(pat, {"patient.gender.domain": F.col("gender").isin(*GENDERS)}),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- file routing
+
+from ..sources import files as lakefiles  # noqa: E402
+
+ROUTE_NAMES = PREFIX_ROUTING_ORDER + ("misc",)
+_NAMES_SQL = "[" + ", ".join(f"'{t}'" for t in ROUTE_NAMES) + "]"
+_KEYS_SQL = f"""keys as (
+select event_id as n,
+       'raw/' || {_NAMES_SQL}[event_id % 5 + 1] || '/date=' || strftime(ts, '%Y-%m-%d') || '/'
+       || {_NAMES_SQL}[(event_id // 5) % 5 + 1] || '_' || strftime(ts, '%H%M%S%f')
+       || case when event_id % 10 = 7 then '.json' else '.parquet' end as key
+from events)"""
+
+
+def object_keys(spark, sf):
+    """Object-store keys, one per event, shaped like the consumer's file layout."""
+    e = fx.table(spark, sf, "events")
+    names = F.array(*[F.lit(t) for t in ROUTE_NAMES])
+    n = F.col("event_id")
+    key = F.concat(F.lit("raw/"), F.element_at(names, (n % 5 + 1).cast("int")), F.lit("/date="),
+                   F.date_format("ts", "yyyy-MM-dd"), F.lit("/"),
+                   F.element_at(names, ((n / 5).cast("bigint") % 5 + 1).cast("int")), F.lit("_"),
+                   F.date_format("ts", "HHmmssSSSSSS"),
+                   F.when(n % 10 == 7, F.lit(".json")).otherwise(F.lit(".parquet")))
+    return e.select(n.alias("n"), key.alias("key"))
+
+
+@query("route_by_prefix", f"with {_KEYS_SQL}\n" + f"""
+select n, key, case when split_part(key, '/', 4) like 'patient%' then 'patient'
+                    when split_part(key, '/', 4) like 'doctor%' then 'doctor'
+                    when split_part(key, '/', 4) like 'hospital%' then 'hospital'
+                    when split_part(key, '/', 4) like 'appointment_events%' then 'appointment_events' end as table_name
+from keys
+where key like '%.parquet' and (split_part(key, '/', 4) like 'patient%' or split_part(key, '/', 4) like 'doctor%'
+   or split_part(key, '/', 4) like 'hospital%' or split_part(key, '/', 4) like 'appointment_events%')""")
+def q_route_by_prefix(spark, sf):
+    """SRC-09: file -> table by file-name prefix, first match in the fixed order."""
+    return lakefiles.route_by_prefix(object_keys(spark, sf))
+
+
+@query("route_by_folder", f"with {_KEYS_SQL}\n" + """
+select n, key, split_part(key, '/', 2) as table_name from keys
+where key like '%.parquet' and split_part(key, '/', 2) in ('patient', 'doctor', 'hospital', 'appointment_events')""")
+def q_route_by_folder(spark, sf):
+    """SRC-10: file -> table by the folder segment, exact match."""
+    return lakefiles.route_by_folder(object_keys(spark, sf))

@@ -137,3 +137,13 @@ WIRE_TYPES = {
 
 def wire_ddl(table: str) -> str:
     return ", ".join(f"{n} {t}" for n, t in WIRE_TYPES[table])
+
+
+# Fixed values that must equal the reference's for right results:
+# the domains its entry forms enforce.
+EVENT_TYPES = ("BOOKED", "CONFIRMED", "CANCELLED", "COMPLETED")
+SPECIALTIES = ("Cardiology", "Neurology", "Oncology", "Orthopedics", "Emergency")
+GENDERS = ("Male", "Female", "Other")
+EXPERIENCE_YEARS_RANGE = (0, 60)
+MIN_BED_CAPACITY = 1
+MIN_FEE = 0
