@@ -782,3 +782,149 @@ where key like '%.parquet' and split_part(key, '/', 2) in ('patient', 'doctor',
 def q_route_by_folder(spark, sf):
     """SRC-10: file -> table by the folder segment, exact match."""
     return lakefiles.route_by_folder(object_keys(spark, sf))
+
+
+# ---------------------------------------------------------------- sinks, streaming, pipeline
+
+from ..session import scratch_path  # noqa: E402
+from ..sinks import lake as lakesink, tables as tablesink  # noqa: E402
+from ..streaming import ingest  # noqa: E402
+
+LAKE_DATE = "2024-01-21"
+_EV_LIST = _EV_COLS.split(", ")
+
+_UNIFIED_ROWS = """
+from fx_op
+where fault <> 'null_payload' and topic = 'server.public.appointment_events'
+  and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')"""
+
+
+@query("lake_write_roundtrip", with_("fx_op") + f"""
+select {_EV_COLS}, position, case when op = 'd' then true end as _deleted,
+       timestamp '{LAKE_DATE} 00:00:00' as date {_UNIFIED_ROWS}""")
+def q_lake_write_roundtrip(spark, sf):
+    """SNK-01/04: accepted images -> date-partitioned Parquet -> read back with a fixed schema."""
+    root = scratch_path(spark, "lake")
+    rows = cdc.unified(classified(spark, sf), "appointment_events").drop("table_name")
+    lakesink.write_lake(rows, root, "appointment_events", LAKE_DATE)
+    return lakesink.read_lake_table(spark, root, "appointment_events")
+
+
+@query("view_and_table", with_("hospital_dim") + "select * from hospital_dim")
+def q_view_and_table(spark, sf):
+    """SNK-05/06: staging as a view, the dimension as a versioned full-refresh table."""
+    root = scratch_path(spark, "tables")
+    tablesink.as_view(stage(raw_of(spark, sf, "hospital"), ENTITIES["hospital"], ts_lit(LOAD_TS)),
+                      "stg_hospital_view")
+    tablesink.write_version(dim(spark, sf, "hospital"), root, "hospital_dim")
+    tablesink.write_version(dim(spark, sf, "hospital"), root, "hospital_dim")   # refresh = new version
+    return tablesink.read_current(spark, root, "hospital_dim")
+
+
+def _fact_report_sql(body: str) -> str:
+    return with_("fact_all") + f"""
+select * exclude (consultation_fee, date_of_birth), cast(consultation_fee as double) as consultation_fee,
+       cast(date_of_birth as timestamp) as date_of_birth from ({body}) z"""
+
+
+@query("fact_append_twice", _fact_report_sql("select * from fact_all union all select * from fact_all"))
+def q_fact_append_twice(spark, sf):
+    """SNK-07 parity: the incremental fact has no filter, a rerun appends everything again."""
+    root = scratch_path(spark, "fact")
+    for _ in range(2):
+        tablesink.write_incremental(fact(spark, sf), root, "fact", "append")
+    return tablesink.read_incremental(spark, root, "fact", "append")
+
+
+@query("fact_idempotent", _fact_report_sql("select * from fact_all"))
+def q_fact_idempotent(spark, sf):
+    """SNK-07 keyed: delete + insert by appointment, so a rerun changes nothing."""
+    root = scratch_path(spark, "fact")
+    for _ in range(2):
+        tablesink.write_incremental(fact(spark, sf), root, "fact", "keyed", key=["appointment_id"])
+    return tablesink.read_incremental(spark, root, "fact", "keyed")
+
+
+CUTOFF = "2024-01-15 00:00:00"
+
+
+@query("incremental_files", with_("fx_event") + f"""
+select {_EV_COLS} from fx_event
+where not coalesce(event_timestamp < epoch_us(timestamp '{CUTOFF}'), false)""")
+def q_incremental_files(spark, sf):
+    """SRC-06/07/08/12: recursive *.parquet scan, ledger of loaded files, only new files read."""
+    from ..functions.types import ts_to_micros
+    root = scratch_path(spark, "incoming")
+    ev = fx.fx_event(spark, sf)
+    early = F.coalesce(F.col("event_timestamp") < ts_to_micros(ts_lit(CUTOFF)), F.lit(False))
+    lakesink.write_lake(ev.where(early), root, "appointment_events", "2024-01-14")
+    ledger_path = root + "/_ledger"
+    lakefiles.files_of(lakefiles.read_lake(spark, root + "/appointment_events")).write.parquet(ledger_path)
+    lakesink.write_lake(ev.where(~early), root, "appointment_events", "2024-01-15")
+    spark.createDataFrame([("not a parquet file",)], "value string").write.text(
+        root + "/appointment_events/date=2024-01-15/notes")
+    lake = lakefiles.read_lake(spark, root + "/appointment_events", lakesink.lake_schema("appointment_events")
+                               .replace(", position bigint, _deleted boolean, date date", ""))
+    return lakefiles.new_files(lake, spark.read.parquet(ledger_path)).select(*_EV_LIST)
+
+
+def _write_envelope_files(spark, sf, folder: str, chunks: int = 3) -> None:
+    """The change stream as JSON files, one arrival per chunk."""
+    env = fx.fx_envelope(spark, sf)
+    for i in range(chunks):
+        env.where(F.col("position") % chunks == i).write.json(f"{folder}/chunk={i}")
+
+
+def _run_stream_to_lake(spark, sf, root):
+    src_dir, lake, quarantine = root + "/incoming", root + "/lake", root + "/quarantine"
+    _write_envelope_files(spark, sf, src_dir)
+    stream = (spark.readStream.schema(ingest.ENVELOPE_FILE_SCHEMA).option("maxFilesPerTrigger", 4)
+              .option("recursiveFileLookup", "true").json(src_dir))
+    q = ingest.envelopes_to_lake(stream, lake, quarantine, root + "/_chk_lake", run_date=LAKE_DATE)
+    q.awaitTermination()
+    return lake
+
+
+@query("stream_to_lake", with_("fx_op") + f"""
+select {_EV_COLS}, position, case when op = 'd' then true end as _deleted {_UNIFIED_ROWS}""")
+def q_stream_to_lake(spark, sf):
+    """STR-01 / SRC-02/04 / SNK-02/03 / STR-05: change stream -> lake (exactly-once by batch id)."""
+    root = scratch_path(spark, "stream")
+    lake = _run_stream_to_lake(spark, sf, root)
+    return lakesink.read_lake_table(spark, lake, "appointment_events", with_batch=True).select(
+        *_EV_LIST, "position", "_deleted")
+
+
+@query("stream_files_to_raw", with_("fx_op") + f"""
+select {_EV_COLS}, case when op = 'd' then true end as _deleted {_UNIFIED_ROWS}""")
+def q_stream_files_to_raw(spark, sf):
+    """STR-02/03: new lake files -> raw VARIANT table (file stream, availableNow)."""
+    root = scratch_path(spark, "stream")
+    lake = _run_stream_to_lake(spark, sf, root)
+    q = ingest.lake_to_raw(spark, lake, "appointment_events", root + "/raw", root + "/_chk_raw", max_files=2)
+    q.awaitTermination()
+    raw = spark.read.parquet(lakesink.table_path(root + "/raw", "appointment_events"))
+    return raw.select(*[F.try_variant_get("v", f"$.{n}", t).alias(n)
+                        for n, t in WIRE_TYPES["appointment_events"]], "_deleted")
+
+
+@query("stream_current_state", _stg_sql("appointment_events"))
+def q_stream_current_state(spark, sf):
+    """STR-04: latest state per appointment from an out-of-order raw stream."""
+    root = scratch_path(spark, "state")
+    raw = fx.fx_raw(fx.fx_event(spark, sf))
+    n = id_number(F.try_variant_get("v", "$.event_id", "string"))
+    for i in (2, 0, 1):                         # arrival order differs from event order
+        raw.where(n % 3 == i).write.parquet(f"{root}/incoming/chunk={i}")
+    stream = (spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2)
+              .option("recursiveFileLookup", "true").parquet(root + "/incoming"))
+    q = ingest.current_state(stream, APPOINTMENT_EVENTS, root + "/log", root + "/_chk")
+    q.awaitTermination()
+    return ingest.read_current_state(spark, root + "/log", APPOINTMENT_EVENTS)
+
+
+@query("pipeline_end_to_end", REGISTRY["dashboard_summary"][1])
+def q_pipeline_end_to_end(spark, sf):
+    """SNK-08: raw load, three snapshot runs, marts, dashboard - every step written."""
+    from .pipeline import run_pipeline
+    return run_pipeline(spark, sf, scratch_path(spark, "pipeline"), DAY)
