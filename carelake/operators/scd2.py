@@ -110,12 +110,21 @@ def fold(raw: DataFrame, spec: EntitySpec, runs: Sequence[tuple[int, Column]], *
 
 
 def replay(raw: DataFrame, spec: EntitySpec, run_ts_col: str = "run_ts", *,
+           runs: Sequence[tuple[int, Column]] | None = None,
            fee_type: str = PARITY_FEE_TYPE, date_base: str = PATIENT_DATE_BASE) -> DataFrame:
     """All snapshot runs in one set-based pass over the raw changes.
 
-    ``raw`` carries the load run ``b`` and its time ``run_ts`` per row.
+    ``raw`` carries the load run ``b`` and its time ``run_ts`` per row (or
+    ``runs`` maps each run number to its time).
     """
-    w = wire_columns(raw, spec, ("b", run_ts_col))
+    if run_ts_col not in raw.columns:
+        if not runs:
+            raise ValueError("replay needs a run time column or the run list")
+        t = F.lit(None).cast("timestamp_ntz")
+        for b, ts in reversed(list(runs)):
+            t = F.when(F.col("b") == b, ts).otherwise(t)
+        raw = raw.withColumn(run_ts_col, t)
+    w = wire_columns(raw, spec, ("b", run_ts_col, "position"))
     for key in spec.required:
         w = w.where(F.col(key).isNotNull())
     k = spec.key

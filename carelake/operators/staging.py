@@ -46,9 +46,12 @@ def wire_columns(raw: DataFrame, spec: EntitySpec, extra: tuple[str, ...] = ())
 
 
 def tiebreak_for(spec: EntitySpec, df: DataFrame) -> list[Column]:
+    """Later change wins ties: load run, then source position (offset / LSN)."""
     if spec.name == "appointment_events":
-        return [id_number(F.col("event_id"))]
-    return [F.col("b")] if "b" in df.columns else []
+        base = [id_number(F.col("event_id"))]
+    else:
+        base = [F.col("b")] if "b" in df.columns else []
+    return base + ([F.col("position")] if "position" in df.columns else [])
 
 
 def stage(raw: DataFrame, spec: EntitySpec, run_ts: Column | None = None, *,
@@ -59,7 +62,7 @@ def stage(raw: DataFrame, spec: EntitySpec, run_ts: Column | None = None, *,
     ``deletes='ignore'`` keeps delete images like any change (reference
     behaviour); ``'drop'`` removes keys whose winning change is a delete.
     """
-    extra = ("b", "_deleted")
+    extra = ("b", "_deleted", "position")
     w = wire_columns(raw, spec, extra)
     # Required keys are tested on the cast value: JSON null and missing alike.
     for k in spec.required:

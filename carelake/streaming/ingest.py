@@ -80,7 +80,7 @@ def lake_to_raw(spark: SparkSession, lake_root: str, table: str, raw_root: str,
 def staged_aggregate(raw: DataFrame, spec: EntitySpec, *, fee_type: str = PARITY_FEE_TYPE,
                      date_base: str = PATIENT_DATE_BASE) -> DataFrame:
     """Staging as a streaming-capable aggregate: newest typed row per key."""
-    w = wire_columns(raw, spec, ("b",))
+    w = wire_columns(raw, spec, ("b", "position"))
     for k in spec.required:
         w = w.where(F.col(k).isNotNull())
     rest = [(n, kind) for n, kind in spec.fields if n != spec.key]
