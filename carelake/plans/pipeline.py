@@ -9,7 +9,8 @@ the plans stay small however many runs are replayed.  Failures raise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,30 +25,45 @@ from .dashboard import summary
 SNAPSHOT_ENTITIES = ("patient", "doctor", "hospital")
 
 
+def _each(fn: Callable, items) -> list:
+    """Independent per-table steps run as concurrent Spark jobs (the
+    scheduler interleaves their tasks); the first failure is raised."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        return [f.result() for f in [pool.submit(fn, x) for x in items]]
+
+
 def load_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Raw tables: one VARIANT column ``v`` plus the load run (b, run_ts)."""
-    for name in ENTITIES:
-        tables.write_version(fx.fx_raw(fx.fx_entity(spark, sf_dir, name)), root, f"raw_{name}")
+    _each(lambda name: tables.write_version(fx.fx_raw(fx.fx_entity(spark, sf_dir, name)), root,
+                                            f"raw_{name}"), ENTITIES)
 
 
 def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]]) -> None:
-    for b, ts in runs:
-        for name in SNAPSHOT_ENTITIES:
-            raw = tables.read_current(spark, root, f"raw_{name}").where(F.col("b") <= b)
-            hist = tables.read_current(spark, root, f"snap_{name}")
-            staged = stage(raw, ENTITIES[name], ts)
-            tables.write_version(scd2.merge(hist, staged, ENTITIES[name], ts), root, f"snap_{name}")
+    def one(name: str) -> None:
+        spec = ENTITIES[name]
+        raw_all = tables.read_current(spark, root, f"raw_{name}")
+        prev = tables.current_path(spark, root, f"snap_{name}")
+        for b, ts in runs:          # runs are sequential per entity: each reads the last version
+            hist = spark.read.parquet(prev) if prev else None
+            staged = stage(raw_all.where(F.col("b") <= b), spec, ts)
+            prev = tables.write_version(scd2.merge(hist, staged, spec, ts), root, f"snap_{name}")
+    _each(one, SNAPSHOT_ENTITIES)
 
 
 def build_marts(spark: SparkSession, root: str, version_mode: str = "all",
                 fact_mode: str = "append") -> None:
     snaps = {n: tables.read_current(spark, root, f"snap_{n}") for n in SNAPSHOT_ENTITIES}
-    for n, s in snaps.items():
-        tables.write_version(build_dim(s, n), root, f"{n}_dim")
     events = stage(tables.read_current(spark, root, "raw_appointment_events"), APPOINTMENT_EVENTS)
     fact = build_fact(events, snaps["patient"], snaps["doctor"], snaps["hospital"], version_mode)
-    tables.write_incremental(fact, root, "appointment_events_fact", fact_mode,
-                             key=["appointment_id"] if fact_mode == "keyed" else None)
+
+    def step(name: str) -> None:
+        if name == "fact":
+            tables.write_incremental(fact, root, "appointment_events_fact", fact_mode,
+                                     key=["appointment_id"] if fact_mode == "keyed" else None)
+        else:
+            tables.write_version(build_dim(snaps[name], name), root, f"{name}_dim")
+    _each(step, (*SNAPSHOT_ENTITIES, "fact"))
 
 
 def dashboard(spark: SparkSession, root: str, day: str, fact_mode: str = "append") -> DataFrame:

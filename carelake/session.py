@@ -25,6 +25,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keyed streaming state (latest row per key) grows with the key space:
+    # RocksDB keeps it off-heap and checkpoints incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
