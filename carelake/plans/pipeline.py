@@ -34,8 +34,8 @@ def _each(fn: Callable, items) -> list:
 
 
 def load_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Raw tables: one VARIANT column ``v`` plus the load run (b, run_ts)."""
-    _each(lambda name: tables.write_version(fx.fx_raw(fx.fx_entity(spark, sf_dir, name)), root,
+    """Raw tables: the typed change rows plus the load run (b, run_ts)."""
+    _each(lambda name: tables.write_version(fx.fx_entity(spark, sf_dir, name), root,
                                             f"raw_{name}"), ENTITIES)
 
 

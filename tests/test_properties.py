@@ -36,6 +36,15 @@ def test_history_is_well_formed(spark):
         assert bad.count() == 0, name
 
 
+def test_variant_raw_equals_typed_raw(spark):
+    for name in ("appointment_events", "patient", "doctor", "hospital"):
+        typed = fx.fx_entity(spark, SF_SMALL, name)
+        ts = ts_lit("2024-01-21 00:00:00")
+        assert _same(stage(typed, ENTITIES[name], ts), stage(fx.fx_raw(typed), ENTITIES[name], ts)), name
+    raw = fx.fx_entity(spark, SF_SMALL, "patient")
+    assert _same(scd2.replay(raw, ENTITIES["patient"]), scd2.replay(fx.fx_raw(raw), ENTITIES["patient"]))
+
+
 def test_rank_equals_max_by_on_events(spark):
     ev = fx.fx_event(spark, SF_SMALL)
     spec = ENTITIES["appointment_events"]
