@@ -27,13 +27,18 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_version(df: DataFrame, root: str, name: str) -> str:
+def write_version(df: DataFrame, root: str, name: str, publish: bool = True) -> str:
+    """Write ``df`` as a new version; ``publish`` switches readers to it."""
     path = f"{_base(root, name)}/v={time.time_ns()}"
     df.write.mode("errorifexists").parquet(path)
-    spark = df.sparkSession
+    if publish:
+        publish_version(df.sparkSession, root, name, path)
+    return path
+
+
+def publish_version(spark: SparkSession, root: str, name: str, path: str) -> None:
     spark.createDataFrame([(path,)], "p string").coalesce(1).write.mode("overwrite").text(
         f"{_base(root, name)}/_current")
-    return path
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
