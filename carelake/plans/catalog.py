@@ -932,8 +932,8 @@ def q_stream_current_state(spark, sf):
     return ingest.read_current_state(spark, root + "/log", APPOINTMENT_EVENTS)
 
 
-@query("pipeline_end_to_end", REGISTRY["dashboard_summary"][1])
-def q_pipeline_end_to_end(spark, sf):
+@query("end_to_end_dashboard", REGISTRY["dashboard_summary"][1])
+def q_end_to_end_dashboard(spark, sf):
     """SNK-08: raw load, three snapshot runs, marts, dashboard - every step written."""
-    from .pipeline import run_pipeline
+    from .daily_job import run_pipeline
     return run_pipeline(spark, sf, scratch_path(spark, "pipeline"), DAY)

@@ -48,13 +48,13 @@ def envelopes_to_lake(stream: DataFrame, lake_root: str, quarantine_root: str, c
         batch.persist()
         try:
             date = run_date or F.current_date()
+            present = {r[0] for r in batch.where(F.col("kind") != "reject")
+                       .select("table_name").distinct().collect()}       # <= number of tables
             for t in names:
-                rows = cdc.unified(batch, t).drop("table_name")
-                if not rows.isEmpty():
-                    write_lake(rows, lake_root, t, date, batch_id=batch_id)
-            bad = cdc.rejects(batch)
-            if not bad.isEmpty():
-                write_lake(bad, quarantine_root, "rejects", date, batch_id=batch_id)
+                if t in present:
+                    write_lake(cdc.unified(batch, t).drop("table_name"), lake_root, t, date,
+                               batch_id=batch_id)
+            write_lake(cdc.rejects(batch), quarantine_root, "rejects", date, batch_id=batch_id)
         finally:
             batch.unpersist()
 

@@ -92,7 +92,7 @@ def test_rank_equals_max_by_random(spark, rows):
 
 
 def test_incremental_pipeline_history_equals_replay(spark, tmp_path):
-    from carelake.plans import pipeline
+    from carelake.plans import daily_job as pipeline
     root = str(tmp_path / "p")
     pipeline.load_raw(spark, SF_SMALL, root)
     pipeline.snapshot_runs(spark, root, runs()[:2])
