@@ -44,3 +44,17 @@ def test_day_filter_reaches_parquet_scan(spark, tmp_path):
 def test_lineitem_scan_is_pruned(spark):
     p = _plan(C.REGISTRY["recent_events"][0](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p
+
+
+def test_single_partition_exchanges_only_after_partial_aggregation(spark):
+    """Rows never funnel into one task: a SinglePartition exchange may only
+    carry partial aggregates (one row per task) or per-partition counts."""
+    skip = ("stream", "end_to_end", "lake_write", "view_and", "fact_append", "fact_idem", "incremental")
+    for name, (fn, _sql) in C.REGISTRY.items():
+        if name.startswith(skip):
+            continue
+        lines = _plan(fn(spark, SF_SMALL)).split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = lines[i + 1]
+                assert "HashAggregate" in below and ("partial_" in below or "_pid" in below), (name, below)
