@@ -937,3 +937,15 @@ def q_end_to_end_dashboard(spark, sf):
     """SNK-08: raw load, three snapshot runs, marts, dashboard - every step written."""
     from .daily_job import run_pipeline
     return run_pipeline(spark, sf, scratch_path(spark, "pipeline"), DAY)
+
+
+@query("object_load", with_("fx_event") + f"select {_EV_COLS} from fx_event")
+def q_object_load(spark, sf):
+    """SRC-07: load one named object; a non-Parquet key loads nothing."""
+    from ..registry import wire_ddl
+    root = scratch_path(spark, "objects")
+    key = f"{root}/appointment_events/appointment_events_000000000001.parquet"
+    fx.fx_event(spark, sf).write.parquet(key)
+    ddl = wire_ddl("appointment_events")
+    return lakefiles.load_object(spark, key, ddl).unionByName(
+        lakefiles.load_object(spark, key.replace(".parquet", ".json"), ddl))

@@ -60,3 +60,14 @@ def new_files(lake: DataFrame, ledger: DataFrame | None) -> DataFrame:
 
 def files_of(df: DataFrame) -> DataFrame:
     return df.select("_file").distinct()
+
+
+def load_object(spark: SparkSession, key: str | None, schema: str) -> DataFrame:
+    """Event-driven load of one named object (a Parquet file or a folder of
+    Parquet parts).  A missing key is an error; a key with another suffix
+    yields an empty frame with the table schema (nothing to load)."""
+    if not key:
+        raise ValueError("object key is required")
+    if not key.rstrip("/").endswith(PARQUET_SUFFIX):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(key)

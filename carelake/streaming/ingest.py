@@ -108,3 +108,12 @@ def read_current_state(spark: SparkSession, log_path: str, spec: EntitySpec) ->
     log = spark.read.parquet(log_path)
     cols = [n for n, _ in spec.fields]
     return latest_by_rank(log, spec.key, ["batch_id"]).select(*cols, F.col("rn").cast("int").alias("rn"))
+
+
+def await_or_stop(query, timeout_s: float) -> bool:
+    """Bounded wait (the sensor's poke-until-limit): True when the stream
+    finished by itself, False when the limit was reached and it was stopped."""
+    done = query.awaitTermination(timeout_s)
+    if not done:
+        query.stop()
+    return bool(done)

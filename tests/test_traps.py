@@ -194,3 +194,30 @@ def test_display_helpers(spark):
                   dsp.minute_text(F.col("t").cast("timestamp_ntz"))).first()
     assert tuple(r) == ("booked", "Other", "$0.12", "2024-01-02T03:04")
     assert spark.range(1).select(micros_to_ts(F.lit(86_400_000_001))).first()[0] == dt.datetime(1970, 1, 2, 0, 0, 0, 1)
+
+
+def test_object_load_rules(spark, tmp_path):
+    import pytest
+    ddl = "k string"
+    with pytest.raises(ValueError):
+        lakefiles.load_object(spark, "", ddl)
+    assert lakefiles.load_object(spark, str(tmp_path / "x.json"), ddl).count() == 0
+    spark.createDataFrame([("a",)], ddl).write.parquet(str(tmp_path / "t_1.parquet"))
+    assert lakefiles.load_object(spark, str(tmp_path / "t_1.parquet"), ddl).count() == 1
+
+
+def test_lake_prefix_is_cleaned():
+    from carelake.sinks.lake import clean_prefix, table_path
+    assert clean_prefix(" /raw/ ") == "raw" and clean_prefix(None) == ""
+    assert table_path("root", "patient", " /raw/ ") == "root/raw/patient"
+    assert table_path("root", "patient", " / ") == "root/patient"
+
+
+def test_sensor_wait_is_bounded(spark, tmp_path):
+    from carelake.streaming import ingest
+    src = tmp_path / "empty"
+    src.mkdir()
+    s = spark.readStream.schema("x int").parquet(str(src))
+    q = s.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "chk")) \
+        .trigger(processingTime="1 second").start()
+    assert ingest.await_or_stop(q, 2) is False and not q.isActive
