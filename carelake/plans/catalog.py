@@ -878,10 +878,9 @@ def q_incremental_files(spark, sf):
 
 
 def _write_envelope_files(spark, sf, folder: str, chunks: int = 3) -> None:
-    """The change stream as JSON files, one arrival per chunk."""
-    env = fx.fx_envelope(spark, sf)
-    for i in range(chunks):
-        env.where(F.col("position") % chunks == i).write.json(f"{folder}/chunk={i}")
+    """The change stream as JSON files in ``chunks`` arrival folders (one write)."""
+    env = fx.fx_envelope(spark, sf).withColumn("chunk", F.col("position") % chunks)
+    env.write.partitionBy("chunk").json(folder)
 
 
 def _run_stream_to_lake(spark, sf, root):
@@ -921,11 +920,11 @@ def q_stream_files_to_raw(spark, sf):
 def q_stream_current_state(spark, sf):
     """STR-04: latest state per appointment from an out-of-order raw stream."""
     root = scratch_path(spark, "state")
-    raw = fx.fx_raw(fx.fx_event(spark, sf))
-    n = id_number(F.try_variant_get("v", "$.event_id", "string"))
-    for i in (2, 0, 1):                         # arrival order differs from event order
-        raw.where(n % 3 == i).write.parquet(f"{root}/incoming/chunk={i}")
-    stream = (spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2)
+    ev = fx.fx_event(spark, sf)
+    chunk = (id_number(F.col("event_id")) % 3).alias("chunk")
+    raw = fx.fx_raw(ev.select("*", chunk), keep=("chunk",))
+    raw.write.partitionBy("chunk").parquet(root + "/incoming")     # three arrivals, interleaved in time
+    stream = (spark.readStream.schema(raw.drop("chunk").schema).option("maxFilesPerTrigger", 2)
               .option("recursiveFileLookup", "true").parquet(root + "/incoming"))
     q = ingest.current_state(stream, APPOINTMENT_EVENTS, root + "/log", root + "/_chk")
     q.awaitTermination()
