@@ -948,3 +948,33 @@ def q_object_load(spark, sf):
     ddl = wire_ddl("appointment_events")
     return lakefiles.load_object(spark, key, ddl).unionByName(
         lakefiles.load_object(spark, key.replace(".parquet", ".json"), ddl))
+
+
+_IMG_SQL = """imgs as (
+select *, case when op = 'd' then true end as _deleted from fx_op
+where fault <> 'null_payload' and topic = 'server.public.appointment_events'
+  and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')),
+ranked as (
+select *, row_number() over (partition by appointment_id order by event_timestamp desc nulls first,
+                             cast(substring(event_id, 2) as bigint) desc, position desc) as rn
+from imgs where appointment_id is not null and patient_id is not null)"""
+_IMG_STG = """select appointment_id, patient_id, doctor_id, hospital_id, lower(event_type) as event_type,
+       make_timestamp(appointment_time) as appointment_time, make_timestamp(event_timestamp) as event_timestamp,
+       cast(cast(consultation_fee as decimal(38,0)) as double) as consultation_fee, cast(rn as integer) as rn
+from ranked where rn = 1"""
+
+
+def _cdc_images(spark, sf):
+    return cdc.unified(classified(spark, sf), "appointment_events").drop("table_name")
+
+
+@query("stg_events_from_cdc", with_("fx_op", extra=_IMG_SQL) + _IMG_STG)
+def q_stg_events_from_cdc(spark, sf):
+    """STG-01 over change images: delete images rank like any change (reference, T9)."""
+    return stage(_cdc_images(spark, sf), APPOINTMENT_EVENTS)
+
+
+@query("stg_events_drop_deletes", with_("fx_op", extra=_IMG_SQL) + _IMG_STG + " and _deleted is null")
+def q_stg_events_drop_deletes(spark, sf):
+    """T9 option: keys whose newest change is a delete leave the staged view."""
+    return stage(_cdc_images(spark, sf), APPOINTMENT_EVENTS, deletes="drop")

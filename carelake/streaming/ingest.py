@@ -104,12 +104,34 @@ def current_state(stream_raw: DataFrame, spec: EntitySpec, log_path: str, checkp
     return _trigger(w, trigger).start()
 
 
-def read_current_state(spark: SparkSession, log_path: str, spec: EntitySpec) -> DataFrame:
+def read_current_state(spark: SparkSession, log_path: str, spec: EntitySpec,
+                       base_root: str | None = None, base_name: str | None = None) -> DataFrame:
+    """Current state = newest change per key over (compacted base ∪ newer log batches)."""
+    from ..sinks import tables
     log = spark.read.parquet(log_path)
+    base = tables.read_current(spark, base_root, base_name) if base_root and base_name else None
+    if base is not None:
+        upto = base.agg(F.max("batch_id")).scalar()
+        log = base.unionByName(log.where(F.col("batch_id") > upto))
     cols = [n for n, _ in spec.fields]
     return latest_by_rank(log, spec.key, ["batch_id"]).select(*cols, F.col("rn").cast("int").alias("rn"))
 
 
+def compact_state(spark: SparkSession, log_path: str, spec: EntitySpec, base_root: str,
+                  base_name: str) -> str:
+    """Fold the change log into a new base version (one row per key, with the
+    batch it last changed in).  Readers then scan only log batches newer than
+    the base; older log partitions may be removed by retention."""
+    from ..sinks import tables
+    log = spark.read.parquet(log_path)
+    base = tables.read_current(spark, base_root, base_name)
+    if base is not None:
+        upto = base.agg(F.max("batch_id")).scalar()
+        log = base.unionByName(log.where(F.col("batch_id") > upto))
+    newest = latest_by_rank(log, spec.key, ["batch_id"], keep_rn=False)
+    return tables.write_version(newest, base_root, base_name)
+
+
 def await_or_stop(query, timeout_s: float) -> bool:
     """Bounded wait (the sensor's poke-until-limit): True when the stream
     finished by itself, False when the limit was reached and it was stopped."""

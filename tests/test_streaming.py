@@ -58,3 +58,23 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
     ingest.envelopes_to_lake(_stream(spark, str(src)), lake, str(tmp_path / "q"),
                              str(tmp_path / "chk")).awaitTermination()
     assert not (tmp_path / "lake").exists()
+
+
+def test_compacted_state_reads_the_same(spark, tmp_path):
+    raw = fx.fx_raw(fx.fx_event(spark, SF_SMALL))
+    n = F.substring(F.try_variant_get("v", "$.event_id", "string"), 2, 10).cast("bigint")
+    root = str(tmp_path)
+    want = stage(raw, APPOINTMENT_EVENTS)
+
+    def feed(i):
+        raw.where(n % 3 == i).write.parquet(f"{root}/in/chunk={i}")
+        s = (spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1)
+             .option("recursiveFileLookup", "true").parquet(root + "/in"))
+        ingest.current_state(s, APPOINTMENT_EVENTS, root + "/log", root + "/chk").awaitTermination()
+
+    feed(0)
+    feed(1)
+    ingest.compact_state(spark, root + "/log", APPOINTMENT_EVENTS, root, "state_base")
+    feed(2)
+    got = ingest.read_current_state(spark, root + "/log", APPOINTMENT_EVENTS, root, "state_base")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
