@@ -71,9 +71,11 @@ def shared_root(spark: SparkSession) -> str:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="carelake-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a session that refuses the setting still gets the folder below
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(d, "rdd-checkpoints"))
     return d
 

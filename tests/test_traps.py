@@ -221,3 +221,11 @@ def test_sensor_wait_is_bounded(spark, tmp_path):
     q = s.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "chk")) \
         .trigger(processingTime="1 second").start()
     assert ingest.await_or_stop(q, 2) is False and not q.isActive
+
+
+def test_kafka_source_is_configured_not_faked(spark):
+    import pytest
+    from carelake.sources import kafka
+    assert kafka.topics_for("server", ["patient", " doctor"]) == ["server.public.patient", "server.public.doctor"]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka.change_stream(spark, "localhost:9092", ["server.public.patient"])
