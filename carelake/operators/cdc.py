@@ -22,7 +22,8 @@ def classify(decoded: DataFrame) -> DataFrame:
     up = ok & known & op.isin(*UPSERT_OPS) & _present(F.col("after"))
     dl = ok & known & (op == DELETE_OP) & _present(F.col("before"))
     kind = F.when(up, "upsert").when(dl, "delete").otherwise("reject")
-    reason = (F.when(~ok, "no_payload").when(~known, "unknown_topic")
+    reason = (F.when(F.col("value").isNull(), "tombstone")      # key-only record after a delete
+              .when(~ok, "no_payload").when(~known, "unknown_topic")
               .when(~(up | dl), "invalid_op"))
     image = F.when(up, F.col("after")).when(dl, F.col("before"))
     # The three outputs are produced by a one-row generator: consumers filter

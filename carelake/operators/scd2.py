@@ -71,7 +71,11 @@ def merge(history: DataFrame | None, staged: DataFrame, spec: EntitySpec, run_ts
     """One snapshot run.  ``staged`` holds one row per key (staging output;
     with ``deletes='close'`` it may carry a boolean ``_deleted``)."""
     if history is None:
-        base = staged.drop("_deleted") if "_deleted" in staged.columns else staged
+        base = staged
+        if "_deleted" in staged.columns:
+            if deletes == "close":      # a key first seen as deleted opens nothing
+                base = base.where(~F.coalesce(F.col("_deleted"), F.lit(False)))
+            base = base.drop("_deleted")
         return first_run(base, spec, run_ts)
     hist_cols = history.columns
     staged_cols = [c for c in hist_cols if c not in SCD_COLS]

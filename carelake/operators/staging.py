@@ -56,7 +56,7 @@ def tiebreak_for(spec: EntitySpec, df: DataFrame) -> list[Column]:
 
 def stage(raw: DataFrame, spec: EntitySpec, run_ts: Column | None = None, *,
           fee_type: str = PARITY_FEE_TYPE, date_base: str = PATIENT_DATE_BASE,
-          method: str = "rank", deletes: str = "ignore") -> DataFrame:
+          method: str = "rank", deletes: str = "ignore", keep_deleted: bool = False) -> DataFrame:
     """Typed latest-per-key view of a raw table.
 
     ``deletes='ignore'`` keeps delete images like any change (reference
@@ -88,9 +88,13 @@ def stage(raw: DataFrame, spec: EntitySpec, run_ts: Column | None = None, *,
         raise ValueError(method)
     if deletes == "drop" and "_deleted" in out.columns:
         out = out.where(F.coalesce(F.col("_deleted"), F.lit(False)) == F.lit(False))
-    if "_deleted" in out.columns:
-        out = out.drop("_deleted")
     cols = [n for n, _ in spec.fields]
+    if keep_deleted:
+        if "_deleted" not in out.columns:
+            out = out.withColumn("_deleted", F.lit(None).cast("boolean"))
+        cols.append("_deleted")
+    elif "_deleted" in out.columns:
+        out = out.drop("_deleted")
     if spec.load_timestamp:
         lt = run_ts if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
         out = out.withColumn("load_timestamp", lt)

@@ -81,9 +81,15 @@ def advance_state(state: DataFrame | None, loaded: DataFrame, spec: EntitySpec)
     return latest_wire(cand, spec)
 
 
-def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]]) -> None:
+def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]],
+                  deletes: str = "ignore", entities: Sequence[str] = SNAPSHOT_ENTITIES) -> None:
     """Apply snapshot runs in order, resuming from the last published state.
 
+    ``deletes``: ``ignore`` (reference: a delete image is staged like any
+    change), ``drop`` (keys whose newest change is a delete leave staging and
+    their open version stays open) or ``close`` (such keys' open version is
+    closed at the run).
+
     Closed versions of run ``b`` land in partition ``closed_run=b`` with
     dynamic overwrite, so re-running a run after a crash replaces its own
     rows instead of duplicating them."""
@@ -100,8 +106,11 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
             state_path = tables.write_version(
                 advance_state(state, raw.where(F.col("b") == b), spec), root, f"state_{name}", publish=False)
             state = spark.read.parquet(state_path)
-            staged = stage(state, spec, ts)
-            merged_path = tables.write_version(scd2.merge(open_, staged, spec, ts), root,
+            if deletes == "close":
+                staged = stage(state, spec, ts, deletes="ignore", keep_deleted=True)
+            else:
+                staged = stage(state, spec, ts, deletes=deletes)
+            merged_path = tables.write_version(scd2.merge(open_, staged, spec, ts, deletes=deletes), root,
                                                f"snap_{name}_open", publish=False)
             merged = spark.read.parquet(merged_path)
             (merged.where(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(b))
@@ -112,7 +121,7 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
         if state_path:
             tables.publish_version(spark, root, f"state_{name}", state_path)
             tables.publish_version(spark, root, f"snap_{name}_open", merged_path)
-    _each(one, SNAPSHOT_ENTITIES)
+    _each(one, entities)
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -148,10 +148,11 @@ def test_t14_flat_and_wrapped_envelopes(spark):
         ("s.public.hospital", 3, '{"payload": {"op": "d", "before": {"hospital_id": "H3"}, "after": null}}'),
         ("s.public.hospital", 4, '{"payload": {"op": "c", "after": {}}}'),
         ("s.public.other", 5, '{"payload": {"op": "c", "after": {"x": 1}}}'),
+        ("s.public.hospital", 6, None),
     ], "topic string, position bigint, value string")
     strict = {r["position"]: (r["kind"], r["reason"]) for r in cdc.classify(decode(env)).collect()}
     assert strict == {1: ("upsert", None), 2: ("reject", "no_payload"), 3: ("delete", None),
-                      4: ("reject", "invalid_op"), 5: ("reject", "unknown_topic")}
+                      4: ("reject", "invalid_op"), 5: ("reject", "unknown_topic"), 6: ("reject", "tombstone")}
     flat = {r["position"]: r["kind"] for r in cdc.classify(decode(env, accept_flat=True)).collect()}
     assert flat[2] == "upsert"
 
@@ -229,3 +230,19 @@ def test_kafka_source_is_configured_not_faked(spark):
     assert kafka.topics_for("server", ["patient", " doctor"]) == ["server.public.patient", "server.public.doctor"]
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka.change_stream(spark, "localhost:9092", ["server.public.patient"])
+
+
+def test_t9_daily_job_delete_policies(spark, tmp_path):
+    from carelake.plans import daily_job
+    cols = HOSP + ", _deleted boolean"
+    rows = [("H1", "a", "c", "x", 10, 1, 0, None), ("H2", "b", "c", "x", 10, 1, 0, None),
+            ("H1", "a", "c", "x", 10, 2, 1, True)]                     # H1 deleted in run 1
+    runs = [(0, ts_lit("2024-01-01 00:00:00")), (1, ts_lit("2024-01-11 00:00:00"))]
+    got = {}
+    for policy in ("ignore", "drop", "close"):
+        root = str(tmp_path / policy)
+        spark.createDataFrame(rows, cols).write.partitionBy("b").parquet(root + "/raw/hospital")
+        daily_job.snapshot_runs(spark, root, runs, deletes=policy, entities=("hospital",))
+        snap = daily_job.read_snapshot(spark, root, "hospital").where("hospital_id = 'H1'").collect()
+        got[policy] = [(r["dbt_valid_to"] is None) for r in snap]
+    assert got == {"ignore": [True], "drop": [True], "close": [False]}
