@@ -1,9 +1,7 @@
 """Properties: equal formulations agree, reruns are no-ops, histories are well formed."""
 
-import datetime as dt
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from carelake.functions.types import ts_lit
 from carelake.operators import dml, scd2

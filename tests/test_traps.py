@@ -11,7 +11,7 @@ from carelake.operators import aggregates as agg, cdc, dml, scd2
 from carelake.operators.latest import latest_by_max_by, latest_by_rank
 from carelake.operators.marts import build_fact
 from carelake.operators.staging import stage
-from carelake.registry import DOCTOR, HOSPITAL, APPOINTMENT_EVENTS
+from carelake.registry import DOCTOR, HOSPITAL
 from carelake.sources.envelope import decode
 from carelake.sources import files as lakefiles
 
