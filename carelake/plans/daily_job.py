@@ -64,18 +64,24 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(_base(root, f"raw/{name}"))
 
 
-def latest_wire(rows: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Newest change per key in wire form (keeps the ranking columns, so the
-    result can be merged with later loads)."""
+def _wire(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     w = wire_columns(rows, spec, _BOOK)
     for k in spec.required:
         w = w.where(F.col(k).isNotNull())
-    tb = tiebreak_for(spec, w)
-    return latest_by_rank(w, spec.key, [F.col(spec.order_col)], tb, keep_rn=False)
+    return w
+
+
+def latest_wire(rows: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Newest change per key in wire form (keeps the ranking columns, so the
+    result can be merged with later loads)."""
+    w = _wire(rows, spec)
+    return latest_by_rank(w, spec.key, [F.col(spec.order_col)], tiebreak_for(spec, w), keep_rn=False)
 
 
 def advance_state(state: DataFrame | None, loaded: DataFrame, spec: EntitySpec) -> DataFrame:
-    cand = latest_wire(loaded, spec)
+    """``latest(state ∪ load)``: one ranking (one shuffle) per run; the
+    partial WindowGroupLimit still reduces a hot key inside each map task."""
+    cand = _wire(loaded, spec)
     if state is not None:
         cand = state.unionByName(cand, allowMissingColumns=True)
     return latest_wire(cand, spec)
