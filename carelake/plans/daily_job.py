@@ -123,11 +123,12 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("closed_run").parquet(closed_path))
             open_ = merged.where(F.col("dbt_valid_to").isNull())
-        # readers switch once the run sequence is complete
-        if state_path:
-            tables.publish_version(spark, root, f"state_{name}", state_path)
-            tables.publish_version(spark, root, f"snap_{name}_open", merged_path)
-    _each(one, entities)
+        return {f"state_{name}": state_path, f"snap_{name}_open": merged_path} if state_path else {}
+    # readers switch once every table's run sequence is complete: one publish
+    new: dict[str, str] = {}
+    for versions in _each(one, entities):
+        new.update(versions)
+    tables.publish_versions(spark, root, new)
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -147,13 +148,17 @@ def build_marts(spark: SparkSession, root: str, version_mode: str = "all",
                    APPOINTMENT_EVENTS)
     fact = build_fact(events, snaps["patient"], snaps["doctor"], snaps["hospital"], version_mode)
 
-    def step(name: str) -> None:
+    def step(name: str) -> dict[str, str]:
         if name == "fact":
             tables.write_incremental(fact, root, "appointment_events_fact", fact_mode,
                                      key=["appointment_id"] if fact_mode == "keyed" else None)
-        else:
-            tables.write_version(build_dim(snaps[name], name), root, f"{name}_dim")
-    _each(step, (*SNAPSHOT_ENTITIES, "fact"))
+            return {}
+        return {f"{name}_dim": tables.write_version(build_dim(snaps[name], name), root, f"{name}_dim",
+                                                    publish=False)}
+    new: dict[str, str] = {}
+    for versions in _each(step, (*SNAPSHOT_ENTITIES, "fact")):
+        new.update(versions)
+    tables.publish_versions(spark, root, new)
 
 
 def dashboard(spark: SparkSession, root: str, day: str, fact_mode: str = "append") -> DataFrame:

@@ -2,7 +2,7 @@
 
 * view        - a lazy DataFrame registered with ``createOrReplaceTempView``
 * table       - full refresh: written to a *new version folder*, then the
-                one-line ``_current`` pointer is switched; readers never see
+                table's one-line pointer is switched; readers never see
                 a half-written table, and a job may read the version it
                 replaces (Parquet cannot be overwritten while being read).
 * incremental - ``append`` (reference: every run appends the whole set
@@ -32,18 +32,31 @@ def write_version(df: DataFrame, root: str, name: str, publish: bool = True) ->
     path = f"{_base(root, name)}/v={time.time_ns()}"
     df.write.mode("errorifexists").parquet(path)
     if publish:
-        publish_version(df.sparkSession, root, name, path)
+        publish_versions(df.sparkSession, root, {name: path})
     return path
 
 
+def publish_versions(spark: SparkSession, root: str, versions: dict[str, str]) -> None:
+    """Switch readers of several tables at once: one small write job.
+
+    Pointers live in ``<root>/_catalog/name=<table>/`` (one line: the version
+    path).  Dynamic partition overwrite replaces exactly the named tables'
+    pointers and leaves every other table's pointer alone."""
+    if not versions:
+        return
+    rows = [(path, name) for name, path in versions.items()]
+    (spark.createDataFrame(rows, "path string, name string").coalesce(1).write
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("name").text(f"{root.rstrip('/')}/_catalog"))
+
+
 def publish_version(spark: SparkSession, root: str, name: str, path: str) -> None:
-    spark.createDataFrame([(path,)], "p string").coalesce(1).write.mode("overwrite").text(
-        f"{_base(root, name)}/_current")
+    publish_versions(spark, root, {name: path})
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
     try:
-        row = spark.read.text(f"{_base(root, name)}/_current").first()
+        row = spark.read.text(f"{root.rstrip('/')}/_catalog/name={name}").first()
     except Exception:  # noqa: BLE001 - no table yet
         return None
     return row[0] if row else None
