@@ -109,16 +109,16 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
         closed_path = _base(root, f"snap_{name}_closed")
         state_path = merged_path = None
         for b, ts in runs:          # runs are sequential per entity: each builds on the last
-            state_path = tables.write_version(
-                advance_state(state, raw.where(F.col("b") == b), spec), root, f"state_{name}", publish=False)
-            state = spark.read.parquet(state_path)
+            nxt = advance_state(state, raw.where(F.col("b") == b), spec)
+            state_path = tables.write_version(nxt, root, f"state_{name}", publish=False)
+            state = spark.read.schema(nxt.schema).parquet(state_path)     # known schema: no footer scan
             if deletes == "close":
                 staged = stage(state, spec, ts, deletes="ignore", keep_deleted=True)
             else:
                 staged = stage(state, spec, ts, deletes=deletes)
-            merged_path = tables.write_version(scd2.merge(open_, staged, spec, ts, deletes=deletes), root,
-                                               f"snap_{name}_open", publish=False)
-            merged = spark.read.parquet(merged_path)
+            hist = scd2.merge(open_, staged, spec, ts, deletes=deletes)
+            merged_path = tables.write_version(hist, root, f"snap_{name}_open", publish=False)
+            merged = spark.read.schema(hist.schema).parquet(merged_path)
             (merged.where(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(b))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("closed_run").parquet(closed_path))
