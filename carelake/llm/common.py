@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
@@ -27,6 +30,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package from it (elsewhere it is installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package importable in the workers."""
+    importable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else (``lower`` would touch other letters)."""
     return F.translate(text, UPPER, LOWER)

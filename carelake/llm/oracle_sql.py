@@ -68,3 +68,34 @@ select conv_id, count(*)::bigint as n_turns,
        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
        sum(length('### ' || role || ': ' || ' </turn>' || chr(10)) + body)::bigint as formatted_chars
 from n group by conv_id"""
+
+# exact shingle sets; links by counting common shingles; components by reachability
+NEAR = rf"""
+with d as (select doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, case when len(w) >= 3 then array_to_string(w[i:i + 2], ' ') else array_to_string(w, ' ') end as sh
+      from d, unnest(range(1, greatest(len(w) - 1, 2))) as r(i) where len(w) > 0),
+n as (select doc_id, count(*)::bigint as n from s group by doc_id),
+p as (select a.doc_id as u, b.doc_id as v, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
+l as (select u, v from p join n x on x.doc_id = u join n y on y.doc_id = v where 100 * k >= 85 * (x.n + y.n - k)),
+c(node, root) as (with recursive r(node, root) as (
+      select doc_id, doc_id from documents
+      union select l2.b, r.root from r join (select u as a, v as b from l union all select v, u from l) l2 on l2.a = r.node)
+  select node, min(root) from r group by node)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, root as component_id, doc_id = root as kept
+from documents left join n using (doc_id) join c on c.node = doc_id"""
+
+LEAKS = rf"""
+with d as (select doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select coalesce(item_id::varchar, '') as item, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+      from benchmark),
+iw as (select distinct item, least(len(w), 10) as k, array_to_string(w[i:i + 9], ' ') as t
+       from b, unnest(range(1, greatest(len(w) - 8, 2))) as r(i) where len(w) > 0),
+dw as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') as t
+       from d, (select distinct k from iw) as z, unnest(range(1, len(w) - k + 2)) as r(i)),
+h as (select dw.doc_id, dw.i, dw.k, iw.item from dw join iw on dw.k = iw.k and dw.t = iw.t),
+words as (select doc_id, count(distinct x) as n from h, unnest(range(i, i + k)) as r(x) group by doc_id),
+items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as list
+          from (select distinct doc_id, item from h) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(words.n, 0)::bigint as n_hit, coalesce(items.n, 0)::bigint as n_items,
+       sha256(coalesce(list, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
+from d left join words using (doc_id) left join items using (doc_id)"""

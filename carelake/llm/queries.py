@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import oracle_sql as sql
 from .chat import Template, format_chats, loss_text, read_back
 from .common import table
+from .decontam import decontaminate
 from .exact import exact_dedup
 from .mixing import mix
+from .neardup import near_dup
+from .suffixes import repeated_bytes
+from .tokens import count_tokens
 from .urls import judge_urls
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -36,12 +40,32 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op3_token_count")
+def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the public 32k piece model."""
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op5_near_dedup", sql.NEAR)
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: three-word shingles, similarity 0.85."""
+    return near_dup(table(spark, sf_dir, "documents"), k=3, similarity=(85, 100))
+
+
 @query("op6_exact_dedup", sql.EXACT)
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keeper and copies of every document's normalised text."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op7_decontaminate", sql.LEAKS)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and benchmark items that occur in every document, by windows of ten words."""
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 @query("op8_chat_format", sql.CHAT)
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""Digests of all conversations and of one that holds the template's marks, read back from the output."""
@@ -58,3 +82,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("loss").cast("long").alias("loss_chars"),
                        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op9_repeated_bytes")
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte strings of smaller documents."""
+    return repeated_bytes(table(spark, sf_dir, "documents"))
