@@ -99,3 +99,22 @@ items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as l
 select doc_id, len(w)::bigint as n_words, coalesce(words.n, 0)::bigint as n_hit, coalesce(items.n, 0)::bigint as n_items,
        sha256(coalesce(list, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
 from d left join words using (doc_id) left join items using (doc_id)"""
+
+# windows of whole lines with 30 words, their first place, and the lines that later places cover
+LINES = r"""
+with d as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+l as (select doc_id, i - 1 as pos, trim(ls[i], ' ' || chr(9) || chr(13)) as t,
+             len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) as n
+      from d, unnest(range(1, len(ls) + 1)) as r(i)),
+s as (select *, coalesce(sum(n) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint
+                as s from l where n > 0),
+total as (select doc_id, sum(n)::bigint as total from s group by doc_id),
+w as (select doc_id, pos, max(pos) over near as last, string_agg(t, chr(10)) over near as run, s, total
+      from s join total using (doc_id)
+      window near as (partition by doc_id order by s range between current row and 29 following)),
+f as (select *, row_number() over (partition by run order by doc_id, pos) as k from w where s + 30 <= total),
+gone as (select distinct doc_id, x as pos from f, unnest(range(pos, last + 1)) as r(x) where k > 1)
+select d.doc_id, len(ls)::bigint as n_lines, count(g.pos)::bigint as n_removed,
+       sha256(coalesce(string_agg(ls[i], chr(10) order by i) filter (where g.pos is null), '')) as kept_sha256
+from d, unnest(range(1, len(ls) + 1)) as r(i) left join gone g on g.doc_id = d.doc_id and g.pos = r.i - 1
+group by d.doc_id, ls"""

@@ -11,8 +11,10 @@ from .chat import Template, format_chats, loss_text, read_back
 from .common import table
 from .decontam import decontaminate
 from .exact import exact_dedup
+from .lines import line_dedup
 from .mixing import mix
 from .neardup import near_dup
+from .quality import quality_scores
 from .suffixes import repeated_bytes
 from .tokens import count_tokens
 from .urls import judge_urls
@@ -46,6 +48,14 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query("op4_line_dedup", sql.LINES)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated runs of lines."""
+    done = line_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed",
+                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op5_near_dedup", sql.NEAR)
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: three-word shingles, similarity 0.85."""
@@ -88,3 +98,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without 50-byte strings of smaller documents."""
     return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

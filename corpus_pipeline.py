@@ -1,16 +1,81 @@
-"""Corpus pipeline (its stages follow with their operators)."""
+"""Corpus pipeline: documents through five operators of ``carelake.llm``.
+
+Every stage works on all that the one before it kept:
+
+1. quality classifier - documents that it rejects go
+2. line dedup - repeated runs of lines go, and documents of which nothing is left by that
+3. MinHash near-dedup - the least doc_id of each group stays
+4. benchmark decontamination - documents with a benchmark passage go
+5. mixing sources to target weights - what every document gives to the mix
+
+Stages 1 to 4 return the columns of documents (n_chars follows the text); the last adds
+size, source_size, target, taken and copies.  No stage can be written as SQL alone (a
+fitted model, a search), so tests hold each against a brute-force version.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from carelake.llm.common import materialise, table
+from carelake.llm.decontam import decontaminate
+from carelake.llm.lines import line_dedup
+from carelake.llm.mixing import mix
+from carelake.llm.neardup import near_dup
+from carelake.llm.quality import keep_good
+from carelake.session import configure
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    configure(spark)
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated runs of lines; those left without any word by that go."""
+    configure(spark)
+    done = line_dedup(docs).filter("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    cols = {c: F.col(f"`{c}`") for c in docs.columns}
+    if "n_chars" in cols:
+        cols["n_chars"] = length.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return done.select(*cols.values())
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the least doc_id, of each group of near duplicates."""
+    configure(spark)
+    gone = near_dup(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(materialise(gone, "near-gone"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    configure(spark)
+    hit = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
+    hit = materialise(hit.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct(), "leaking")
+    same = F.xxhash64("text").eqNullSafe(F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return docs.join(hit, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the words that each gives to the mix."""
+    configure(spark)
+    return mix(docs)
+
 
-STAGES: list = []
+STAGES = [("quality", quality_stage), ("line dedup", line_stage), ("near dedup", near_stage),
+          ("decontamination", benchmark_stage), ("mixing", mix_stage)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """Apply STAGES to documents; what a stage returns is written before the next reads it."""
+    configure(spark)
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialise(docs, f"stage-{name.replace(' ', '-')}")
     return docs
