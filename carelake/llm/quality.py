@@ -26,7 +26,7 @@ from .common import LOWER, UPPER, hash60, materialise
 
 MAX_TRAIN, THRESHOLD = 12_000, 0.3
 TREES, DEPTH, SAMPLE, CUTS = 60, 3, 2000, 24
-PENALTY = 2e-4
+PENALTY = 1e-4
 SYMBOLS, DIGITS, STOPS = "|%$#&*!@^~=+<>{}[]\\/_", "0123456789", ".,;:?'\"()-"
 
 
@@ -96,7 +96,7 @@ def _fires(x: np.ndarray, rule: Rule) -> np.ndarray:
     return out
 
 
-def _lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tuple[np.ndarray, float]:
+def _lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 800) -> tuple[np.ndarray, float]:
     """Logistic regression with an L1 penalty on the weights, by accelerated proximal gradient."""
     n, k = r.shape
     w, b, u, c, t = np.zeros(k), 0.0, np.zeros(k), 0.0, 1.0
