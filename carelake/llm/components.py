@@ -26,6 +26,14 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return moved.filter("a <> b").distinct().select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and that one has none."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.filter("up > 1 or (up > 0 and down > 0)").limit(1).count()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the (u, v) links; component is the least node reachable.
 
@@ -34,12 +42,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = materialise(links.filter("u is not null and v is not null and u <> v")
                         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
-    before = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if not state["n"] or (state["n"], state["x"]) == before:
-            break
-        before = (state["n"], state["x"])
+    while not _stars(edges):
         large = materialise(_star(edges, small=False), "cc-large")
         edges = materialise(_star(large, small=True), "cc-small")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -5,13 +5,16 @@
 2. ``bands * rows`` multiply-shift hash minima make a signature; ``rows`` minima at a
    time make a band key.  A pair at the threshold shares no band with probability
    ``(1 - similarity**rows)**bands``: 4e-7 with the defaults.
-3. Stars: in each band bucket every member is paired with one pivot.  Pairs whose
-   signatures agree in too few places for the threshold (under a chance of 1e-9 for a
-   true link) go; the others are confirmed on the full sets.  A few rounds with other
-   pivots join almost everything that belongs together.
-4. The rest: members of a bucket that are still in different components are compared
-   in blocks of bounded size, signature by signature inside a task, and only pairs
-   that pass are confirmed on the full sets.  No bucket, however large, is skipped.
+3. Stars: each band bucket has a pivot, the member with the most company in all its buckets
+   (of a group of copies that is the text they were made from), and every member is
+   paired with the pivots of its buckets only.  Pairs whose signatures agree in too few places for
+   the threshold (under a chance of 1e-9 for a true link) go; the others are
+   confirmed on the full sets.  This joins almost everything that belongs together.
+4. The rest: members of a pivot's buckets that are still in different components are
+   compared on their full sets inside tasks, in blocks of bounded size.  A task counts
+   the common shingles of a block of members outside the largest component with another block
+   through an inverted index, and returns at most one link per member.  No bucket, however
+   large, is skipped.
 5. Components of the confirmed links by alternating large-star and small-star.
 
 Defined cases: null or empty texts and texts without words have an empty set and are
@@ -38,8 +41,8 @@ BANDS, ROWS = 25, 5
 #: Least equal signature places of a pair that goes on to the full sets, as a share of
 #: the similarity asked for: 0.76 * 0.85 * 125 = 80 places, 6.5 standard deviations below 106.
 SLACK = 0.76
-BLOCK_ROWS = 1024
-STAR_ROUNDS = 2
+#: Shingles of the members that one task compares on either side.
+BLOCK_SHINGLES = 1 << 19
 
 
 def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,10 +138,6 @@ def confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return map_batches(both, run, "u long, v long").distinct()
 
 
-def _agreeing(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    return (s == t).sum(axis=-1)
-
-
 def similar_signatures(pairs: DataFrame, signs: DataFrame, least: int) -> DataFrame:
     """The (u, v) pairs whose signatures agree in ``least`` places."""
     left = signs.select(F.col("doc_id").alias("u"), F.col("signature").alias("s"))
@@ -149,7 +148,7 @@ def similar_signatures(pairs: DataFrame, signs: DataFrame, least: int) -> DataFr
             if batch.num_rows:
                 s, t = (np.frombuffer(b"".join(x.as_py() for x in batch.column(c)), np.uint32).reshape(batch.num_rows, -1)
                         for c in "st")
-                yield batch.select(["u", "v"]).filter(pa.array(_agreeing(s, t) >= least))
+                yield batch.select(["u", "v"]).filter(pa.array((s == t).sum(axis=1) >= least))
     both = pairs.select("u", "v").join(left, "u").join(right, "v")
     return map_batches(both, run, "u long, v long")
 
@@ -159,32 +158,72 @@ def _fits(n: str, m: str, num: int, den: int):
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
-def _blocked_pairs(rest: DataFrame, least: int, num: int, den: int) -> DataFrame:
-    """Pairs of different components in one bucket with similar signatures, block against block."""
-    sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
-    dealt = rest.join(materialise(sizes, "nd-sizes"), "bucket").withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("blocks")).cast("int"))
-    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") <= F.col("other")).alias("row"), (F.col("block") >= F.col("other")).alias("col"),
-        "doc_id", "component", "n_shingles", "signature")
+def spokes_of(members: DataFrame) -> DataFrame:
+    """(pivot, doc_id, n_shingles): the members of each pivot's buckets, the pivot among them."""
+    sizes = materialise(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")), "nd-sizes")
+    score = materialise(members.join(sizes, "bucket").groupBy("doc_id").agg(F.sum("company").alias("score")), "nd-scores")
+    rank = F.struct("score", F.xxhash64("doc_id"))
+    pivots = members.join(score, "doc_id").groupBy("bucket").agg(F.max_by("doc_id", rank).alias("pivot"))
+    return members.join(materialise(pivots, "nd-pivots"), "bucket").select("pivot", "doc_id", "n_shingles").distinct()
+
+
+def links_of_rest(spokes: DataFrame, part: DataFrame | None, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between members of a pivot's buckets in different components, block against block."""
+    state = spokes.withColumn("component", F.col("doc_id"))
+    if part is not None:
+        state = spokes.join(part, F.col("doc_id") == F.col("node"), "left").select(
+            "pivot", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+    state = materialise(state, "nd-state")
+    each = state.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    # a pair with the pivot itself is judged already, so two members leave nothing to do
+    groups = each.groupBy("pivot").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"),
+                                       F.max_by("component", "shingles").alias("largest"),
+                                       F.sum("shingles").alias("shingles"), F.max("shingles").alias("most"))
+    groups = materialise(groups.filter("n > 2 and parts > 1").select(
+        "pivot", "largest", F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+        F.ceil((F.col("shingles") - F.col("most") + 1) / BLOCK_SHINGLES).cast("int").alias("small")), "nd-groups")
+    dealt = state.join(groups, "pivot").withColumns({
+        "side": F.col("component") != F.col("largest"),
+        "i": F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("small")).cast("int"),
+        "j": F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("blocks")).cast("int")})
+    # on the right every member, for each block on the left; on the left those outside the largest component
+    right = dealt.select("pivot", F.explode(F.sequence(F.lit(0), F.col("small") - 1)).alias("i"), "j",
+                         F.lit(False).alias("left"), "doc_id", "component")
+    left = dealt.filter("side").select("pivot", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
+                                       F.lit(True).alias("left"), "doc_id", "component")
+    rows = right.unionByName(left).join(sets, "doc_id")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(pdf.signature), np.uint32).reshape(len(pdf), -1)
-        ids, comp, n = pdf.doc_id.to_numpy(), pdf.component.to_numpy(), pdf.n_shingles.to_numpy()
-        left, right = np.flatnonzero(pdf.row.to_numpy()), np.flatnonzero(pdf.col.to_numpy())
-        u, v = [], []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & (np.minimum(n[right], n[x]) * den >= np.maximum(n[right], n[x]) * num)
-                      & ((ids[right] > ids[x]) | (pdf.i.iat[0] != pdf.j.iat[0]))]
-            y = y[_agreeing(sig[y], sig[x]) >= least]
-            u += [ids[x]] * len(y)
-            v += ids[y].tolist()
-        u, v = np.array(u, np.int64), np.array(v, np.int64)
-        return pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)})
-    importable(rest.sparkSession)
-    return each.groupBy("bucket", "i", "j").applyInPandas(run, "u long, v long").distinct()
+        side = pdf.left.to_numpy()
+        every = [np.frombuffer(x, np.uint64) for x in pdf.shingles]
+        ids, comp = pdf.doc_id.to_numpy(), pdf.component.to_numpy()
+        size = np.array([len(x) for x in every])
+        right, up, out = np.flatnonzero(~side), {}, []
+        if not len(right) or not side.any():
+            return pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
+
+        def root(x):
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+        values = np.concatenate([every[r] for r in right])
+        owner = np.repeat(np.arange(len(right)), size[right])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        for x in np.flatnonzero(side):
+            lo, hi = np.searchsorted(values, every[x], "left"), np.searchsorted(values, every[x], "right")
+            n = hi - lo
+            at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            same = np.bincount(owner[at], minlength=len(right))
+            ok = (den * same >= num * (size[right] + size[x] - same)) & (comp[right] != comp[x])
+            for r in right[np.flatnonzero(ok)]:
+                a, b = root(comp[x]), root(comp[r])
+                if a != b:                             # one link for two components is enough
+                    up[max(a, b)] = min(a, b)
+                    out.append((max(ids[x], ids[r]), min(ids[x], ids[r])))
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+    importable(spokes.sparkSession)
+    return rows.groupBy("pivot", "i", "j").applyInPandas(run, "u long, v long").distinct()
 
 
 def near_dup(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), bands: int = BANDS,
@@ -209,35 +248,16 @@ def near_dup(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100
     shared = members.groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     members = materialise(members.join(materialise(shared.select("bucket"), "nd-buckets"), "bucket"), "nd-members")
     signs = heads.select("doc_id", "signature")
-    # one pass moves the texts of documents that share a bucket; all rounds confirm on these sets
+    # one pass moves the texts of documents that share a bucket; both steps confirm on these sets
     sets = materialise(full_sets(docs, members.select("doc_id").distinct(), k), "nd-sets")
-    links, part = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        state = members.withColumn("component", F.col("doc_id"))
-        if part is not None:
-            state = members.join(part, F.col("doc_id") == F.col("node"), "left").select(
-                "bucket", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
-            spread = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            state = materialise(state.join(materialise(spread.filter("lo < hi").select("bucket"), "nd-open"), "bucket"),
-                                "nd-rest")
-        if turn < STAR_ROUNDS:
-            pivot = state.groupBy("bucket").agg(
-                F.min_by(F.struct("doc_id", "n_shingles", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("p"))
-            pivot = materialise(pivot.select("bucket", F.col("p.doc_id").alias("pivot"), F.col("p.n_shingles").alias("m"),
-                                             F.col("p.component").alias("held")), "nd-pivots")
-            star = state.join(pivot, "bucket").filter((F.col("component") != F.col("held"))
-                                                      & _fits("n_shingles", "m", num, den))
-            star = star.select(F.greatest("doc_id", "pivot").alias("u"), F.least("doc_id", "pivot").alias("v")).distinct()
-            pairs = similar_signatures(star, signs, least)
-        else:
-            pairs = _blocked_pairs(state.join(signs, "doc_id"), least, num, den)
-        found = materialise(confirm(pairs, sets, num, den), f"nd-links{turn}")
-        if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            if turn < STAR_ROUNDS:
-                part = materialise(components(links), "nd-part")
-    links = same if links is None else links.unionByName(same)
-    part = materialise(components(links), "nd-components")
+    spokes = materialise(spokes_of(members), "nd-spokes")
+    sizes = members.select(F.col("doc_id").alias("pivot"), F.col("n_shingles").alias("m")).distinct()
+    star = spokes.filter("doc_id <> pivot").join(sizes, "pivot").filter(_fits("n_shingles", "m", num, den))
+    star = star.select(F.greatest("doc_id", "pivot").alias("u"), F.least("doc_id", "pivot").alias("v")).distinct()
+    links = materialise(confirm(similar_signatures(star, signs, least), sets, num, den), "nd-links")
+    part = materialise(components(links), "nd-part")
+    rest = materialise(links_of_rest(spokes, part, sets, num, den), "nd-rest")
+    part = materialise(components(links.unionByName(rest).unionByName(same)), "nd-components")
     out = feats.select("doc_id", "n_shingles").join(part, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
