@@ -11,7 +11,8 @@ each of their terms stands in the corpus is summed over the index (the positions
 read).  In every shard the postings of a window's rarest term, less its offset, are
 intersected with those of the next rarer terms - for all windows at once, by binary
 search in (term, position) keys - until none is left or the phrase is complete.  With
-``slop`` each term may stand that many words off its place (proximity matches).
+``slop`` each term may stand that many words off its place beside the rarest one
+(proximity matches).
 
 Defined cases: null texts and texts without words have no words; an item of fewer words
 than the window, but some, is one window; items that share an id are one item, items
@@ -161,8 +162,8 @@ def _near(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def phrase_matches(terms: np.ndarray, ends: np.ndarray, positions: np.ndarray, doc_ends: np.ndarray, wanted: np.ndarray,
-                   plan: dict[str, np.ndarray], slop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(window, start position) of the matches in one shard, chunk by chunk."""
+                   plan: dict[str, np.ndarray], slop: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(window, document, first word, end) of the matches in one shard, chunk by chunk."""
     at = np.searchsorted(terms, wanted)
     here = np.full(len(wanted) + 1, -1)                            # the place in this shard of each test term
     ok = np.flatnonzero(at < len(terms))
@@ -188,7 +189,7 @@ def phrase_matches(terms: np.ndarray, ends: np.ndarray, positions: np.ndarray, d
         win = np.repeat(w, n)
         start = positions[at].astype(np.int64) - plan["offset"][win, 0]
         doc = np.searchsorted(doc_ends, positions[at], "right")
-        ok = (start >= doc_starts[doc]) & (start + plan["len"][win] <= doc_ends[doc])
+        ok = (start >= doc_starts[doc] - slop) & (start + plan["len"][win] <= doc_ends[doc] + slop)
         win, start, doc = win[ok], start[ok], doc[ok]
         for j in range(1, plan["term"].shape[1]):
             t = local[win, j]
@@ -196,7 +197,7 @@ def phrase_matches(terms: np.ndarray, ends: np.ndarray, positions: np.ndarray, d
             low, high = np.maximum(place - slop, doc_starts[doc]), np.minimum(place + slop, doc_ends[doc] - 1)
             ok = (plan["term"][win, j] < 0) | _near(keys, (t << 32) + low, (t << 32) + high)
             win, start, doc = win[ok], start[ok], doc[ok]
-        yield win, start
+        yield win, doc, np.maximum(start, doc_starts[doc]), np.minimum(start + plan["len"][win], doc_ends[doc])
         lo = hi
 
 
@@ -216,21 +217,20 @@ def _search(index: DataFrame, block: dict[str, np.ndarray], slop: int) -> DataFr
                 positions = get("positions", np.uint32)
                 cover = np.zeros(len(positions) + 1, np.int64)
                 pairs = []
-                for win, start in phrase_matches(get("terms", np.uint64), get("ends", np.uint32).astype(np.int64),
-                                                 positions, doc_ends, wanted, plan, slop):
+                for win, doc, start, stop in phrase_matches(get("terms", np.uint64), get("ends", np.uint32).astype(np.int64),
+                                                             positions, doc_ends, wanted, plan, slop):
                     np.add.at(cover, start, 1)
-                    np.add.at(cover, start + plan["len"][win], -1)
-                    doc = np.searchsorted(doc_ends, start, "right")
+                    np.add.at(cover, stop, -1)
                     pairs.append(np.unique(doc * np.int64(len(ids)) + plan["item"][win]))
-                if not pairs:
+                pairs = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+                if not len(pairs):
                     continue
-                pairs = np.unique(np.concatenate(pairs))
                 docs, item = pairs // len(ids), pairs % len(ids)
                 hit = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
                 of = np.searchsorted(doc_ends, hit, "right")
                 some = np.unique(docs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("shard")[row].as_py()] * len(some)), pa.array(some, pa.int64()),
+                    [pa.array([batch.column("shard")[row].as_py()] * len(some), pa.string()), pa.array(some, pa.int64()),
                      pa.array([(hit[of == d] - (doc_ends[d] - n[d])).tolist() for d in some], pa.list_(pa.int64())),
                      pa.array([ids[item[docs == d]].tolist() for d in some], pa.list_(pa.string()))],
                     ["shard", "place", "hits", "items"])
