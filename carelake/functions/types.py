@@ -47,8 +47,8 @@ def to_fee(c, fee_type: str = PARITY_FEE_TYPE) -> Column:
 
 
 def id_number(c) -> Column:
-    """Numeric suffix of an id like ``E000123`` (compares correctly past 999999)."""
-    return F.substring(_c(c), 2, 1 << 30).cast("bigint")
+    """Numeric suffix of an id like ``E000123`` (compares correctly past 999999); NULL if it is no number."""
+    return F.substring(_c(c), 2, 1 << 30).try_cast("bigint")
 
 
 def wire_value(df_cols: list[str], name: str, wire_type: str) -> Column:

@@ -3,7 +3,9 @@
 Same rules, same precedence as the consumer the survey describes:
 no payload -> reject; unknown topic -> reject; op c/u/r with an ``after``
 image -> upsert (emit ``after``); op d with a ``before`` image -> delete
-(emit ``before`` with ``_deleted = true``); anything else -> reject.
+(emit ``before`` with ``_deleted = true``); anything else -> reject, and so
+is an image that is no JSON object.  Accepted rows carry the whole ``image``
+beside the typed wire columns, so fields the registry does not know survive.
 Every row lands in exactly one class, so ``upserts + deletes + rejects``
 equals the input.
 """
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..registry import WIRE_TYPES
-from ..sources.envelope import DELETE_OP, UPSERT_OPS, _present, typed_image
+from ..sources.envelope import DELETE_OP, UPSERT_OPS, _is_object, _present, typed_image
 
 
 def classify(decoded: DataFrame) -> DataFrame:
@@ -21,11 +23,12 @@ def classify(decoded: DataFrame) -> DataFrame:
     ok, known, op = F.col("payload_ok"), F.col("known_table"), F.col("op")
     up = ok & known & op.isin(*UPSERT_OPS) & _present(F.col("after"))
     dl = ok & known & (op == DELETE_OP) & _present(F.col("before"))
-    kind = F.when(up, "upsert").when(dl, "delete").otherwise("reject")
+    image = F.when(up, F.col("after")).when(dl, F.col("before"))
+    sound = F.coalesce(_is_object(image), F.lit(False))
+    kind = F.when(up & sound, "upsert").when(dl & sound, "delete").otherwise("reject")
     reason = (F.when(F.col("value").isNull(), "tombstone")      # key-only record after a delete
               .when(~ok, "no_payload").when(~known, "unknown_topic")
-              .when(~(up | dl), "invalid_op"))
-    image = F.when(up, F.col("after")).when(dl, F.col("before"))
+              .when(~F.coalesce(up | dl, F.lit(False)), "invalid_op").when(~sound, "invalid_image"))
     # The three outputs are produced by a one-row generator: consumers filter
     # on ``kind``, and a filter over plain projections would be rewritten
     # into the scan-side filter with every alias substituted - re-parsing the
@@ -36,9 +39,9 @@ def classify(decoded: DataFrame) -> DataFrame:
 
 
 def _typed(df: DataFrame, table: str, extra=()) -> DataFrame:
-    t = df.select("table_name", typed_image(F.col("image"), table).alias("_r"), "position", *extra)
+    t = df.select("table_name", typed_image(F.col("image"), table).alias("_r"), "position", *extra, "image")
     return t.select("table_name", *[F.col(f"_r.{n}").alias(n) for n, _ in WIRE_TYPES[table]],
-                    "position", *extra)
+                    "position", *extra, "image")
 
 
 def upserts(classified: DataFrame, table: str) -> DataFrame:
@@ -59,17 +62,6 @@ def unified(classified: DataFrame, table: str) -> DataFrame:
     return _typed(c, table, ("_deleted",))
 
 
-def raw_images(classified: DataFrame) -> DataFrame:
-    """Accepted images of all tables as raw rows: (table_name, v, _deleted, position, op).
-
-    ``v`` is the image as a VARIANT; ``_deleted`` is true on delete images
-    and NULL otherwise, as in the lake files."""
-    acc = classified.where(F.col("kind") != "reject")
-    return acc.select("table_name", F.parse_json(F.col("image")).alias("v"),
-                      F.when(F.col("kind") == "delete", F.lit(True)).alias("_deleted"),
-                      "position", "op")
-
-
 def rejects(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("kind") == "reject").select("position", "topic", "op", "reason")
 

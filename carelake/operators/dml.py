@@ -4,9 +4,10 @@ The reference changes one row per request; a Spark job applies a whole batch
 of requests at once, and each form below is one or two joins on the key:
 
 * ``insert_if_absent`` - existing row wins; within the batch the first
-  request wins (``min_by``, partial aggregation, so a hot key is cheap).
-* ``update_by_key``    - only the listed columns change; a matched flag lets
-                         an update set NULL; unmatched updates do nothing.
+  request in ``order`` wins (``min_by``, one row per key leaves each task).
+* ``update_by_key``    - only the listed columns change; the last request in
+                         ``order`` wins; a matched flag lets an update set
+                         NULL; unmatched updates do nothing.
 * ``delete_by_key``    - ``left_anti``.
 * ``append_rows``      - plain union with the write time stamped.
 * ``allocate_ids``     - next ids = max numeric suffix + dense sequence.
@@ -41,26 +42,29 @@ def last_per_key(df: DataFrame, key: str, order: Sequence) -> DataFrame:
     return agg.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+#: All white space that may surround a typed key: ASCII, its separators, and Unicode spaces.
+KEY_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+             "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def normalize_key(c) -> Column:
-    """Form keys are trimmed and upper-cased before use."""
-    return F.upper(F.trim(_c(c)))
+    """Form keys lose surrounding white space of any kind and are upper-cased before use."""
+    return F.upper(F.btrim(_c(c), F.lit(KEY_SPACE)))
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str,
-                     order: Sequence | None = None) -> DataFrame:
-    inc = incoming.select(*target.columns)
-    if order:
-        inc = first_per_key(inc, key, order).select(*target.columns)
+def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str, order: Sequence) -> DataFrame:
+    """``order`` says which request for a key comes first (``order=[]``: any one of them)."""
+    inc = first_per_key(incoming.select(*target.columns), key, order or [F.lit(0)]).select(*target.columns)
     new = inc.join(target.select(key), key, "left_anti")
     return target.unionByName(new)
 
 
 def update_by_key(target: DataFrame, updates: DataFrame, key: str, set_cols: Sequence[str],
-                  order: Sequence | None = None) -> DataFrame:
-    u = updates.select(key, *set_cols)
-    if order:
-        u = last_per_key(updates.select(key, *set_cols, *[_c(o).alias(f"_o{i}") for i, o in enumerate(order)]),
-                         key, [F.col(f"_o{i}") for i in range(len(order))]).select(key, *set_cols)
+                  order: Sequence) -> DataFrame:
+    """``order`` says which request for a key comes last (``order=[]``: any one of them)."""
+    order = list(order) or [F.lit(0)]
+    u = last_per_key(updates.select(key, *set_cols, *[_c(o).alias(f"_o{i}") for i, o in enumerate(order)]),
+                     key, [F.col(f"_o{i}") for i in range(len(order))]).select(key, *set_cols)
     u = u.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_u_{c}") for c in set_cols],
                  F.lit(True).alias("_matched"))
     j = target.join(u, target[key] == F.col("_k"), "left")
@@ -110,6 +114,11 @@ def allocate_ids(requests: DataFrame, existing: DataFrame, id_col: str, order: S
     return seq.withColumn(name or id_col, F.format_string(f"{prefix}%0{width}d", F.col("_seq"))).drop("_seq")
 
 
+def parse_number(text, kind: str = "double") -> Column:
+    """Form text -> number of ``kind`` (double, int); NULL when it is none, with white space around it ignored."""
+    return F.btrim(_c(text), F.lit(KEY_SPACE)).try_cast(kind)
+
+
 def domain_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, violations) for every rule broken at least once.
 

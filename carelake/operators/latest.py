@@ -11,9 +11,10 @@ Two physical forms, same result:
   filtered to ``rn = 1``.  Catalyst turns the filter into a WindowGroupLimit,
   which keeps one row per key *inside each map task* before the shuffle, so
   a key holding a third of all rows ships one row per task, not its rows.
-* ``latest_by_max_by``: ``groupBy(key).agg(max_by(struct(*), order))`` -
-  a plain aggregate with map-side partial aggregation; it is also the form
-  Structured Streaming accepts (row_number is refused on streams).
+* ``latest_by_max_by``: ``groupBy(key).agg(max_by(struct(*), order))`` - one
+  row per key leaves each map task, but ``max_by`` over a struct is a sort
+  aggregate, so every task sorts its rows first; it is the form Structured
+  Streaming accepts (row_number is refused on streams).
 """
 
 from __future__ import annotations
@@ -47,11 +48,10 @@ def latest_by_rank(df: DataFrame, key: str | Sequence[str], order: Sequence,
 
 
 def order_struct(order: Sequence, tiebreak: Sequence = ()) -> Column:
-    """A struct whose max is the newest-first winner (NULL order values win)."""
+    """A struct whose max is the newest-first winner (NULLs win, in order columns and tie-breaks alike)."""
     parts = []
-    for i, c in enumerate(_cols(order)):
+    for i, c in enumerate([*_cols(order), *_cols(tiebreak)]):
         parts += [c.isNull().alias(f"_n{i}"), c.alias(f"_o{i}")]
-    parts += [c.alias(f"_t{i}") for i, c in enumerate(_cols(tiebreak))]
     return F.struct(*parts)
 
 

@@ -10,9 +10,11 @@ Version selection for the dimension side of the fact joins:
                 sort-merge join with a residual range condition.
 
 No join below forces a broadcast: the snapshot sides grow with the data.
-AQE converts a side to a broadcast only when its *measured* shuffle size is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits skewed
-partitions of the event side (left outer joins may split the left side).
+The jobs run with the static threshold off (``session.joins_by_measure``), so
+a side is broadcast only when its *measured* shuffle size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise skewed
+partitions of the event side are split (left outer joins may split the left
+side).
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.display import no_show_flag
 
+# Fixed values that must equal the reference's for right results: the
+# attributes of the dimensions and the columns of the fact, in order.
 DIM_ATTRS = {
     "doctor": ("doctor_id", "doctor_name", "specialty", "experience_years"),
     "hospital": ("hospital_id", "hospital_name", "city", "country", "bed_capacity"),

@@ -13,10 +13,12 @@ closed when their staged row is a delete image (``deletes='close'``).
 
 Two ways to compute it:
 
-* ``merge`` - one run against stored history: closed versions pass through
-  untouched; only open versions and staged rows meet in one full outer join
-  on the key (both sides unique per key, so no skew), and one ``explode``
-  emits the 0-2 output rows of each key in a single pass.
+* ``merge`` - one run against stored history, which is read once: one full
+  outer join on the key, in which closed versions match nothing and pass
+  through (open versions and staged rows are unique per key), and one
+  ``explode`` emits the 0-2 output rows of each joined row.  So plans grow by
+  one join per run, and callers that keep closed versions elsewhere pass only
+  the open ones.
 * ``replay`` - all runs at once from the raw changes: reduce to one row per
   (key, run) with map-side partial aggregation (so a hot key costs one row
   per run), carry the newest row forward with a running ``max_by``, keep the
@@ -80,10 +82,9 @@ def merge(history: DataFrame | None, staged: DataFrame, spec: EntitySpec, run_ts
     hist_cols = history.columns
     staged_cols = [c for c in hist_cols if c not in SCD_COLS]
     k = spec.key
-    closed = history.where(F.col("dbt_valid_to").isNotNull())
-    open_ = history.where(F.col("dbt_valid_to").isNull())
     s = staged if "_deleted" in staged.columns else staged.withColumn("_deleted", F.lit(None).cast("boolean"))
-    j = open_.alias("o").join(s.alias("s"), F.col(f"o.{k}") == F.col(f"s.{k}"), "full_outer")
+    on = (F.col(f"o.{k}") == F.col(f"s.{k}")) & F.col("o.dbt_valid_to").isNull()
+    j = history.alias("o").join(s.alias("s"), on, "full_outer")
     o_here, s_here = F.col(f"o.{k}").isNotNull(), F.col(f"s.{k}").isNotNull()
     is_del = F.coalesce(F.col("s._deleted"), F.lit(False)) if deletes == "close" else F.lit(False)
     chg = o_here & s_here & ~is_del & changed(spec.check_cols, "o", "s")
@@ -101,7 +102,7 @@ def merge(history: DataFrame | None, staged: DataFrame, spec: EntitySpec, run_ts
         run_ts.alias("dbt_valid_from"),
         _null_ts().alias("dbt_valid_to")))
     rows = j.select(F.explode(F.filter(F.array(old_row, new_row), lambda x: x.isNotNull())).alias("r"))
-    return closed.unionByName(rows.select("r.*"))
+    return rows.select("r.*")
 
 
 def fold(raw: DataFrame, spec: EntitySpec, runs: Sequence[tuple[int, Column]], **stage_kw) -> DataFrame:
@@ -114,10 +115,14 @@ def fold(raw: DataFrame, spec: EntitySpec, runs: Sequence[tuple[int, Column]], *
 
 
 def replay(raw: DataFrame, spec: EntitySpec, run_ts_col: str = "run_ts", *,
-           runs: Sequence[tuple[int, Column]] | None = None,
+           runs: Sequence[tuple[int, Column]] | None = None, deletes: str = "ignore",
            fee_type: str = PARITY_FEE_TYPE, date_base: str = PATIENT_DATE_BASE) -> DataFrame:
     """All snapshot runs in one set-based pass over the raw changes.
 
+    ``deletes='close'``: a run whose newest change of a key is a delete image
+    (``_deleted``) closes the open version and opens none; a later change
+    opens one again.
+
     ``raw`` carries the load run ``b`` and its time ``run_ts`` per row (or
     ``runs`` maps each run number to its time).
     """
@@ -128,7 +133,8 @@ def replay(raw: DataFrame, spec: EntitySpec, run_ts_col: str = "run_ts", *,
         for b, ts in reversed(list(runs)):
             t = F.when(F.col("b") == b, ts).otherwise(t)
         raw = raw.withColumn(run_ts_col, t)
-    w = wire_columns(raw, spec, ("b", run_ts_col, "position"))
+    w = wire_columns(raw, spec, ("b", run_ts_col, "position", "_deleted"))
+    gone = F.coalesce(F.col("_deleted"), F.lit(False)) if deletes == "close" and "_deleted" in w.columns else F.lit(False)
     for key in spec.required:
         w = w.where(F.col(key).isNotNull())
     k = spec.key
@@ -138,7 +144,7 @@ def replay(raw: DataFrame, spec: EntitySpec, run_ts_col: str = "run_ts", *,
     ordk = order_struct([F.col(spec.order_col)], tiebreak_for(spec, w))
     # (1) newest change per (key, run): partial aggregation map-side.
     per_run = w.groupBy(k, "b").agg(
-        F.max_by(F.struct(*typed_cols), ordk).alias("row"),
+        F.max_by(F.struct(*typed_cols, gone.alias("_gone")), ordk).alias("row"),
         F.max(ordk).alias("ord"),
         F.max(run_ts_col).alias("run_ts"))
     # (2) what staging would return at each run: newest row seen so far.
@@ -146,7 +152,7 @@ def replay(raw: DataFrame, spec: EntitySpec, run_ts_col: str = "run_ts", *,
     upto = wk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     staged = per_run.select(k, "b", "run_ts", F.max_by("row", "ord").over(upto).alias("row"))
     # (3) keep runs whose tracked values changed; first appearance always kept.
-    chk = [F.col(f"row.{c}") for c in spec.check_cols]
+    chk = [F.col(f"row.{c}") for c in (*spec.check_cols, "_gone")]
     prev = [F.lag(c).over(wk) for c in chk]
     first = F.lag("b").over(wk).isNull()
     diff = F.lit(False)
@@ -162,8 +168,9 @@ def replay(raw: DataFrame, spec: EntitySpec, run_ts_col: str = "run_ts", *,
         F.col("run_ts").alias("dbt_updated_at"),
         F.col("run_ts").alias("dbt_valid_from"),
         F.lead("run_ts").over(Window.partitionBy(k).orderBy("b")).alias("dbt_valid_to"),
+        F.col("row._gone").alias("_gone"),
     )
-    return out
+    return out.where(~F.col("_gone")).drop("_gone")
 
 
 def with_validity_checks(snap: DataFrame, spec: EntitySpec) -> DataFrame:

@@ -3,8 +3,8 @@
 ``stage(raw, spec)`` = required-key filter, typed projection, latest per key.
 ``raw`` is either a raw table with a variant column ``v`` or a table whose
 columns are already the wire columns; a load-batch column ``b`` (when
-present) is the tie-break "later load wins" for entity tables, and the
-numeric part of ``event_id`` for the appointment events.
+present) is the tie-break "later load wins" for entity tables, then the source
+position; events without one go by the numeric part of ``event_id``.
 """
 
 from __future__ import annotations
@@ -46,12 +46,15 @@ def wire_columns(raw: DataFrame, spec: EntitySpec, extra: tuple[str, ...] = ())
 
 
 def tiebreak_for(spec: EntitySpec, df: DataFrame) -> list[Column]:
-    """Later change wins ties: load run, then source position (offset / LSN)."""
+    """Later change wins ties: load run, then source position (offset / LSN).
+
+    Events without a position go by the number in their id (unreadable: NULL)."""
+    base = [F.col("b")] if "b" in df.columns and spec.name != "appointment_events" else []
+    if "position" in df.columns:
+        base.append(F.col("position"))
     if spec.name == "appointment_events":
-        base = [id_number(F.col("event_id"))]
-    else:
-        base = [F.col("b")] if "b" in df.columns else []
-    return base + ([F.col("position")] if "position" in df.columns else [])
+        base.append(id_number(F.col("event_id")))
+    return base
 
 
 def stage(raw: DataFrame, spec: EntitySpec, run_ts: Column | None = None, *,

@@ -1,16 +1,15 @@
 """Query catalogue: every operator of the survey as a runnable query.
 
 Each entry is ``name -> (spark_fn(spark, sf_dir) -> DataFrame, oracle_sql | None)``.
-Results pass through ``report`` so both engines hand the comparer the same
-value types: scale-0 decimals are reported as DOUBLE and dates as
-TIMESTAMP (midnight) - the values are unchanged.
+Results pass through ``report``: DECIMAL and DATE are reported as text, by
+both engines, so that every digit is compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions import display as dsp
 from ..functions.types import UNIX_DATE_BASE, days_to_date, id_number, micros_to_ts, to_fee, ts_lit
@@ -19,10 +18,10 @@ from ..operators import cdc, dml, scd2
 from ..operators.latest import latest_by_max_by, latest_by_rank, row_number_by_key
 from ..operators.marts import build_dim, build_fact
 from ..operators.staging import stage
-from ..operators.topk import listing, top_k
+from ..operators.topk import listing, rows_of_top, top_k
 from ..registry import (APPOINTMENT_EVENTS, ENTITIES, EVENT_TYPES, EXPERIENCE_YEARS_RANGE, GENDERS,
-                        MIN_BED_CAPACITY, MIN_FEE, PREFIX_ROUTING_ORDER, SPECIALTIES, WIRE_TYPES)
-from ..session import scratch_path
+                        MIN_BED_CAPACITY, MIN_FEE, PREFIX_ROUTING_ORDER, SPECIALTIES, WIRE_TYPES, wire_ddl)
+from ..session import joins_by_measure, scratch_path
 from ..sinks import lake as lakesink, tables as tablesink
 from ..sources import files as lakefiles, fixtures as fx
 from ..sources.envelope import decode
@@ -39,6 +38,7 @@ DAY = "2024-01-20"                   # "today" of the dashboard queries
 def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            joins_by_measure(spark)
             return report(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -50,10 +50,8 @@ def query(name: str, sql: str | None = None):
 def report(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.DecimalType):
-            out.append(F.col(f.name).cast("double").alias(f.name))
-        elif isinstance(f.dataType, T.DateType):
-            out.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+        if isinstance(f.dataType, (T.DecimalType, T.DateType)):
+            out.append(F.col(f.name).cast("string").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -94,6 +92,13 @@ def fact(spark, sf, mode="all"):
                       snapshot(spark, sf, "doctor"), snapshot(spark, sf, "hospital"), mode)
 
 
+def weighted_events(spark, sf, mode="all"):
+    """Staged events with the number of fact rows each stands for."""
+    snaps = {f"{e}_id": snapshot(spark, sf, e) for e in ("patient", "doctor", "hospital")}
+    cols = ["appointment_time", "event_type", "patient_id", "doctor_id", "hospital_id"]
+    return agg.fan_out(staged_events(spark, sf).select(*cols), snaps, mode)
+
+
 def dim(spark, sf, entity):
     return build_dim(snapshot(spark, sf, entity), entity)
 
@@ -111,7 +116,7 @@ def q_raw_variant_extract(spark, sf):
 
 
 @query("typed_projection", with_("fx_event") + """
-select event_id, cast(cast(consultation_fee as decimal(38,0)) as double) as consultation_fee,
+select event_id, cast(cast(consultation_fee as decimal(38,0)) as varchar) as consultation_fee,
        make_timestamp(appointment_time) as appointment_time,
        make_timestamp(event_timestamp) as event_timestamp,
        lower(event_type) as event_type,
@@ -129,8 +134,8 @@ def q_typed_projection(spark, sf):
 
 @query("load_timestamp_projection", with_("fx_patient") + f"""
 select patient_id, b, make_timestamp(created_at) as created_at,
-       cast(date '2000-01-01' + date_of_birth as timestamp) as date_of_birth,
-       cast(date '1970-01-01' + date_of_birth as timestamp) as date_of_birth_unix,
+       cast(cast(date '2000-01-01' + date_of_birth as date) as varchar) as date_of_birth,
+       cast(cast(date '1970-01-01' + date_of_birth as date) as varchar) as date_of_birth_unix,
        timestamp '{LOAD_TS}' as load_timestamp
 from fx_patient""")
 def q_load_timestamp_projection(spark, sf):
@@ -205,8 +210,8 @@ def q_latest_per_order(spark, sf):
 
 def _stg_sql(entity: str) -> str:
     cte = "stg_events" if entity == "appointment_events" else f"stg_{entity}"
-    dob = ", cast(date_of_birth as timestamp) as date_of_birth" if entity == "patient" else ""
-    fee = ", cast(consultation_fee as double) as consultation_fee" if entity == "appointment_events" else ""
+    dob = ", cast(date_of_birth as varchar) as date_of_birth" if entity == "patient" else ""
+    fee = ", cast(consultation_fee as varchar) as consultation_fee" if entity == "appointment_events" else ""
     excl = [c for c, on in (("date_of_birth", dob), ("consultation_fee", fee)) if on]
     star = f"* exclude ({', '.join(excl)})" if excl else "*"
     return with_(cte) + f"select {star}{dob}{fee} from {cte}"
@@ -232,7 +237,7 @@ for _e in ("doctor", "hospital", "patient"):
 # ---------------------------------------------------------------- SCD2
 
 def _snap_sql(entity: str, where: str = "", cols: str | None = None) -> str:
-    dob = ", cast(date_of_birth as timestamp) as date_of_birth" if entity == "patient" and cols is None else ""
+    dob = ", cast(date_of_birth as varchar) as date_of_birth" if entity == "patient" and cols is None else ""
     star = cols or ("* exclude (date_of_birth)" if dob else "*")
     return with_(f"{entity}_snapshot") + f"select {star}{dob} from {entity}_snapshot {where}"
 
@@ -240,7 +245,7 @@ def _snap_sql(entity: str, where: str = "", cols: str | None = None) -> str:
 def _hist_sql_upto(entity: str, last_run: int) -> str:
     """History as it stands after runs 0..last_run (valid_to past the run is still open)."""
     return with_(f"{entity}_snapshot") + f"""
-select * exclude (date_of_birth, dbt_valid_to), cast(date_of_birth as timestamp) as date_of_birth,
+select * exclude (date_of_birth, dbt_valid_to), cast(date_of_birth as varchar) as date_of_birth,
        case when dbt_valid_to <= (select run_ts from run where b = {last_run}) then dbt_valid_to end as dbt_valid_to
 from {entity}_snapshot where dbt_valid_from <= (select run_ts from run where b = {last_run})"""
 
@@ -285,7 +290,7 @@ for _e, _id in (("doctor", "DIM-01"), ("hospital", "DIM-02"), ("patient", "DIM-0
             return dim(spark, sf, e)
         fn.__doc__ = f"{i}: {e}_dim."
         return fn
-    _dob = ", cast(date_of_birth as timestamp) as date_of_birth" if _e == "patient" else ""
+    _dob = ", cast(date_of_birth as varchar) as date_of_birth" if _e == "patient" else ""
     _star = "* exclude (date_of_birth)" if _dob else "*"
     query(f"dim_{_e}", with_(f"{_e}_dim") + f"select {_star}{_dob} from {_e}_dim")(_mkd())
 
@@ -295,8 +300,8 @@ for _e, _id in (("doctor", "DIM-01"), ("hospital", "DIM-02"), ("patient", "DIM-0
 def _fact_sql(mode: str) -> str:
     return with_(f"fact_{mode}") + f"""
 select * exclude (consultation_fee, date_of_birth),
-       cast(consultation_fee as double) as consultation_fee,
-       cast(date_of_birth as timestamp) as date_of_birth
+       cast(consultation_fee as varchar) as consultation_fee,
+       cast(date_of_birth as varchar) as date_of_birth
 from fact_{mode}"""
 
 
@@ -319,7 +324,7 @@ select count(*) as cnt from fact_all
 where appointment_time >= timestamp '{DAY} 00:00:00' and appointment_time < timestamp '{_NEXT} 00:00:00'""")
 def q_appointments_on_day(spark, sf):
     """AGG-01 / FLT-02."""
-    return agg.count_on_day(fact(spark, sf), DAY)
+    return agg.count_on_day(weighted_events(spark, sf), DAY, weight="n_rows")
 
 
 @query("active_on_day_exact", with_("fact_all") + f"""
@@ -327,7 +332,7 @@ select count(*) as cnt from fact_all where event_type = 'CONFIRMED'
   and appointment_time >= timestamp '{DAY} 00:00:00' and appointment_time < timestamp '{_NEXT} 00:00:00'""")
 def q_active_on_day_exact(spark, sf):
     """AGG-02 / FLT-03: exact status literal against lower-cased staged values (parity: 0)."""
-    return agg.count_on_day(fact(spark, sf), DAY, "CONFIRMED", case_sensitive=True)
+    return agg.count_on_day(weighted_events(spark, sf), DAY, "CONFIRMED", case_sensitive=True, weight="n_rows")
 
 
 @query("active_on_day_ci", with_("fact_all") + f"""
@@ -335,7 +340,7 @@ select count(*) as cnt from fact_all where lower(event_type) = 'confirmed'
   and appointment_time >= timestamp '{DAY} 00:00:00' and appointment_time < timestamp '{_NEXT} 00:00:00'""")
 def q_active_on_day_ci(spark, sf):
     """AGG-02 with a case-insensitive status match."""
-    return agg.count_on_day(fact(spark, sf), DAY, "CONFIRMED", case_sensitive=False)
+    return agg.count_on_day(weighted_events(spark, sf), DAY, "CONFIRMED", case_sensitive=False, weight="n_rows")
 
 
 @query("distinct_entities", with_("patient_dim", "doctor_dim", "hospital_dim") + """
@@ -348,36 +353,45 @@ def q_distinct_entities(spark, sf):
                                  dim(spark, sf, "hospital"))
 
 
+# rows of the fact per doctor, times the doctor's versions per specialty
 _SPEC_SQL = """
-select d.specialty, count(*) as cnt
-from {f} f join {d} d on f.doctor_id = d.doctor_id
-group by d.specialty"""
+select specialty, cast(sum(rows_of_fact * versions) as bigint) as cnt
+from (select doctor_id as k, count(*) as rows_of_fact from {f} group by 1) x
+join (select doctor_id as k, specialty, count(*) as versions from {d} group by 1, 2) y using (k)
+group by specialty"""
 
 
 @query("specialty_counts", with_("fact_all", "doctor_dim") + _SPEC_SQL.format(f="fact_all", d="doctor_dim"))
 def q_specialty_counts(spark, sf):
     """AGG-04 / JON-02: fact (all versions) x doctor_dim (all versions)."""
-    return agg.specialty_counts(fact(spark, sf), dim(spark, sf, "doctor"))
+    return agg.specialty_counts(weighted_events(spark, sf), dim(spark, sf, "doctor"), "n_rows")
 
 
 @query("specialty_counts_current", with_("fact_current", "doctor_dim") + _SPEC_SQL.format(
     f="fact_current", d="(select * from doctor_dim where is_current)"))
 def q_specialty_counts_current(spark, sf):
     """AGG-04 with current versions on both sides (no fan-out)."""
-    return agg.specialty_counts(fact(spark, sf, "current"),
-                                dim(spark, sf, "doctor").where("is_current"))
+    return agg.specialty_counts(weighted_events(spark, sf, "current"),
+                                dim(spark, sf, "doctor").where("is_current"), "n_rows")
 
 
 @query("specialty_share", with_("fact_all", "doctor_dim") + "select *, round_even(cnt / greatest(max(cnt) over (), 1) * 100, 0) as share from ("
        + _SPEC_SQL.format(f="fact_all", d="doctor_dim") + ") s")
 def q_specialty_share(spark, sf):
     """AGG-06: bar width relative to the largest specialty, half-even rounding."""
-    return agg.with_share(agg.specialty_counts(fact(spark, sf), dim(spark, sf, "doctor")))
+    return agg.with_share(agg.specialty_counts(weighted_events(spark, sf), dim(spark, sf, "doctor"), "n_rows"))
 
 
 # ---------------------------------------------------------------- top-k and listings
 
 
+def top_fact(spark, sf, k, descending=True):
+    """The fact of the events that can be among the first ``k``: the joins see those only."""
+    events = rows_of_top(staged_events(spark, sf), k, "appointment_time", descending)
+    return build_fact(events, snapshot(spark, sf, "patient"), snapshot(spark, sf, "doctor"),
+                      snapshot(spark, sf, "hospital"))
+
+
 _RECENT_COLS = ["appointment_time", "doctor_name", "patient_id", "event_type"]
 
 
@@ -388,7 +402,7 @@ order by appointment_time desc nulls first, doctor_name asc nulls last, patient_
 limit 10""")
 def q_recent_appointments(spark, sf):
     """SRT-01: ten newest appointments of the fact."""
-    return top_k(fact(spark, sf).select(*_RECENT_COLS), 10, "appointment_time", _RECENT_COLS[1:])
+    return top_k(top_fact(spark, sf, 10).select(*_RECENT_COLS), 10, "appointment_time", _RECENT_COLS[1:])
 
 
 @query("oldest_appointments", with_("fact_all") + """
@@ -398,8 +412,8 @@ order by appointment_time asc nulls last, doctor_name asc nulls last, patient_id
 limit 5""")
 def q_oldest_appointments(spark, sf):
     """SRT-02: five oldest (ascending, NULLs last)."""
-    return top_k(fact(spark, sf).select(*_RECENT_COLS), 5, "appointment_time", _RECENT_COLS[1:],
-                 descending=False)
+    return top_k(top_fact(spark, sf, 5, descending=False).select(*_RECENT_COLS), 5, "appointment_time",
+                 _RECENT_COLS[1:], descending=False)
 
 
 @query("recent_events", with_("fx_event") + """
@@ -512,10 +526,10 @@ select count(*) filter (where appointment_time >= timestamp '{DAY} 00:00:00'
        (select count(distinct hospital_id) from hospital_dim) as total_hospitals
 from fact_all""")
 def q_dashboard_summary(spark, sf):
-    """DSH-01: the dashboard's five numbers in one row (one pass over the fact)."""
+    """DSH-01: the dashboard's five numbers in one row (one pass over the weighted events)."""
     from .dashboard import summary
-    return summary(fact(spark, sf), dim(spark, sf, "patient"), dim(spark, sf, "doctor"),
-                   dim(spark, sf, "hospital"), DAY)
+    return summary(weighted_events(spark, sf), dim(spark, sf, "patient"), dim(spark, sf, "doctor"),
+                   dim(spark, sf, "hospital"), DAY, weight="n_rows")
 
 
 # ---------------------------------------------------------------- CDC
@@ -536,7 +550,7 @@ where fault <> 'null_payload' and topic = 'server.public.appointment_events'
   and op in ('c', 'u', 'r') and fault <> 'null_after'""")
 def q_cdc_upserts(spark, sf):
     """SRC-01/03/05, CDC-01: upsert images of the appointment table."""
-    return cdc.upserts(classified(spark, sf), "appointment_events")
+    return cdc.upserts(classified(spark, sf), "appointment_events").drop("image")
 
 
 @query("cdc_deletes", with_("fx_op") + f"""
@@ -544,7 +558,7 @@ select 'appointment_events' as table_name, {_EV_COLS}, position, true as _delete
 where fault <> 'null_payload' and topic = 'server.public.appointment_events' and op = 'd'""")
 def q_cdc_deletes(spark, sf):
     """CDC-02: delete images flagged ``_deleted``."""
-    return cdc.deletes(classified(spark, sf), "appointment_events")
+    return cdc.deletes(classified(spark, sf), "appointment_events").drop("image")
 
 
 @query("cdc_rejects", with_("fx_op") + """
@@ -568,7 +582,37 @@ where fault <> 'null_payload' and topic = 'server.public.appointment_events'
   and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')""")
 def q_cdc_unified(spark, sf):
     """CDC-04: upserts and deletes in one frame with a nullable ``_deleted``."""
-    return cdc.unified(classified(spark, sf), "appointment_events")
+    return cdc.unified(classified(spark, sf), "appointment_events").drop("image")
+
+
+def _unified_sql(entity: str) -> str:
+    log = "fx_patient_log" if entity == "patient" else f"fx_{entity}"
+    cols = ", ".join(n for n, _ in WIRE_TYPES[entity])
+    more = "position, _deleted" if entity == "patient" else (
+        f"cast(substring({entity}_id, 2) as bigint) * 10 + b * 2 as position, cast(null as boolean) as _deleted")
+    return with_(log) + f"select '{entity}' as table_name, {cols}, {more} from {log}"
+
+
+for _e in ("patient", "doctor", "hospital"):
+    def _mku(e=_e):
+        def fn(spark, sf):
+            env = fx.fx_entity_envelope(spark, sf, e).drop("b")
+            return cdc.unified(cdc.classify(decode(env)), e).drop("image")
+        fn.__doc__ = f"SRC-02/05, CDC-04: change images of {e} (snapshot reads, updates, deletes)."
+        return fn
+    query(f"cdc_unified_{_e}", _unified_sql(_e))(_mku())
+
+
+@query("schema_drift_roundtrip", with_("fx_patient_log") + """
+select patient_id, position, 'n' || position as note, _deleted from fx_patient_log""")
+def q_schema_drift_roundtrip(spark, sf):
+    """SRC-11, CDC-04: a source field unknown to the registry goes through the lake into the raw VARIANT."""
+    root = scratch_path(spark, "drift")
+    env = fx.fx_entity_envelope(spark, sf, "patient").drop("b")
+    lakesink.write_lake(cdc.unified(cdc.classify(decode(env)), "patient").drop("table_name"), root, "patient", LAKE_DATE)
+    raw = lakesink.read_lake_table(spark, root, "patient").select(F.parse_json("image").alias("v"), "position", "_deleted")
+    return raw.select(F.try_variant_get("v", "$.patient_id", "string").alias("patient_id"), "position",
+                      F.try_variant_get("v", "$.note", "string").alias("note"), "_deleted")
 
 
 @query("cdc_op_counts", with_("fx_op") + """
@@ -615,7 +659,7 @@ left join (select * from fx_hospital where b = 2) u on t.hospital_id = u.hospita
 def q_update_by_key(spark, sf):
     """DML-02: listed columns updated by key; created_at untouched."""
     return dml.update_by_key(_wire(spark, sf, "hospital", 0), _wire(spark, sf, "hospital", 2),
-                             "hospital_id", ["hospital_name", "city", "country", "bed_capacity"])
+                             "hospital_id", ["hospital_name", "city", "country", "bed_capacity"], order=["created_at"])
 
 
 @query("delete_by_key", with_("fx_op") + f"""
@@ -670,15 +714,15 @@ def q_append_events(spark, sf):
 
 
 @query("normalize_keys", with_("fx_event") + """
-select event_id, raw_key, upper(trim(raw_key)) as doctor_id from (
+select event_id, raw_key, upper(trim(raw_key, ' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(8195))) as doctor_id from (
   select event_id, case when cast(substring(event_id, 2) as bigint) % 2 = 0
-                        then '  ' || lower(doctor_id) || ' ' else doctor_id end as raw_key
+                        then chr(9) || ' ' || lower(doctor_id) || chr(8195) || chr(160) || chr(10) else doctor_id end as raw_key
   from fx_event) z""")
 def q_normalize_keys(spark, sf):
     """DML-06: keys typed in forms are trimmed and upper-cased."""
     e = fx.fx_event(spark, sf)
     raw = F.when(id_number(F.col("event_id")) % 2 == 0,
-                 F.concat(F.lit("  "), F.lower("doctor_id"), F.lit(" "))).otherwise(F.col("doctor_id"))
+                 F.concat(F.lit("\t "), F.lower("doctor_id"), F.lit("\u2003\xa0\n"))).otherwise(F.col("doctor_id"))
     return e.select("event_id", raw.alias("raw_key")).withColumn("doctor_id", dml.normalize_key("raw_key"))
 
 
@@ -695,53 +739,73 @@ def q_parse_numbers(spark, sf):
     n = id_number(F.col("event_id"))
     txt = F.when(n % 13 == 0, F.lit("n/a")).when(n % 17 == 0, F.lit("")).otherwise(
         F.col("consultation_fee").cast("string"))
-    parsed = txt.try_cast("double")
+    parsed = dml.parse_number(txt)
     return e.select("event_id", parsed.alias("consultation_fee"), parsed.isNotNull().alias("parse_ok"))
 
 
+@query("parse_integers", with_("fx_hospital", "fx_doctor") + """
+select id, try_cast(trim(txt, ' ' || chr(9)) as integer) as n, try_cast(trim(txt, ' ' || chr(9)) as integer) is not null as parse_ok
+from (select hospital_id as id, case when bed_capacity % 100 = 90 then 'many' else chr(9) || bed_capacity || ' ' end as txt
+      from fx_hospital where b = 2
+      union all
+      select doctor_id, case when experience_years % 7 = 3 then '' when experience_years % 7 = 4 then experience_years || ' yrs'
+                             else cast(experience_years as varchar) end
+      from fx_doctor where b = 2) z""")
+def q_parse_integers(spark, sf):
+    """DML-07: the forms' integer fields (beds, years)."""
+    h, d = fx.source_table(spark, sf, "hospital"), fx.source_table(spark, sf, "doctor")
+    beds, years = F.col("bed_capacity"), F.col("experience_years")
+    rows = h.select(F.col("hospital_id").alias("id"), F.when(beds % 100 == 90, F.lit("many")).otherwise(
+        F.concat(F.lit("\t"), beds.cast("string"), F.lit(" "))).alias("txt"))
+    rows = rows.unionByName(d.select(F.col("doctor_id").alias("id"), F.when(years % 7 == 3, F.lit("")).when(
+        years % 7 == 4, F.concat(years.cast("string"), F.lit(" yrs"))).otherwise(years.cast("string")).alias("txt")))
+    n = dml.parse_number("txt", "int")
+    return rows.select("id", n.alias("n"), n.isNotNull().alias("parse_ok"))
+
+
 def _in(vals):
     return "(" + ", ".join(f"'{v}'" for v in vals) + ")"
 
 
-_VIOL_SQL = with_("fx_event", "fx_doctor", "fx_hospital", "fx_patient") + f"""
-select rule, violations from (
-  select 'appointment_events.appointment_id.required' as rule, count(*) filter (where appointment_id is null) as violations from fx_event
-  union all select 'appointment_events.patient_id.required', count(*) filter (where patient_id is null) from fx_event
-  union all select 'appointment_events.event_type.domain', count(*) filter (where not coalesce(event_type in {_in(EVENT_TYPES)}, false)) from fx_event
-  union all select 'appointment_events.consultation_fee.min', count(*) filter (where not coalesce(consultation_fee >= {MIN_FEE}, false)) from fx_event
-  union all select 'doctor.hospital_id.required', count(*) filter (where hospital_id is null) from fx_doctor where b = 2
-  union all select 'doctor.specialty.domain', count(*) filter (where not coalesce(specialty in {_in(SPECIALTIES)}, false)) from fx_doctor where b = 2
-  union all select 'doctor.experience_years.range', count(*) filter (where not coalesce(experience_years between {EXPERIENCE_YEARS_RANGE[0]} and {EXPERIENCE_YEARS_RANGE[1]}, false)) from fx_doctor where b = 2
-  union all select 'hospital.bed_capacity.min', count(*) filter (where not coalesce(bed_capacity >= {MIN_BED_CAPACITY}, false)) from fx_hospital where b = 2
-  union all select 'patient.gender.domain', count(*) filter (where not coalesce(gender in {_in(GENDERS)}, false)) from fx_patient where b = 2
-) z where violations > 0"""
+#: Required form fields per table.
+REQUIRED = {
+    "appointment_events": ("appointment_id", "patient_id", "doctor_id", "hospital_id", "event_type", "appointment_time"),
+    "doctor": ("doctor_id", "doctor_name", "hospital_id", "specialty"),
+    "hospital": ("hospital_id", "hospital_name", "city", "country"),
+    "patient": ("patient_id", "patient_name", "gender", "date_of_birth", "city"),
+}
+#: Domains: (table, column, rule, condition in SQL that both engines read alike).
+DOMAINS = (
+    ("appointment_events", "event_type", "domain", f"event_type in {_in(EVENT_TYPES)}"),
+    ("appointment_events", "consultation_fee", "min", f"consultation_fee >= {MIN_FEE}"),
+    ("doctor", "specialty", "domain", f"specialty in {_in(SPECIALTIES)}"),
+    ("doctor", "experience_years", "range",
+     f"experience_years between {EXPERIENCE_YEARS_RANGE[0]} and {EXPERIENCE_YEARS_RANGE[1]}"),
+    ("hospital", "bed_capacity", "min", f"bed_capacity >= {MIN_BED_CAPACITY}"),
+    ("patient", "gender", "domain", f"gender in {_in(GENDERS)}"),
+)
+
+
+def _form_rules(table: str) -> dict[str, str]:
+    """Rule name -> SQL condition of one table (a blank text is missing, too)."""
+    rules = {f"{table}.{c}.required": f"trim(cast({c} as string)) <> ''" for c in REQUIRED[table]}
+    return rules | {f"{t}.{c}.{kind}": cond for t, c, kind, cond in DOMAINS if t == table}
+
+
+_VIOL_SQL = with_("fx_event", "fx_doctor", "fx_hospital", "fx_patient") + (
+    "select rule, violations from (" + " union all ".join(
+        f"select '{rule}' as rule, count(*) filter (where not coalesce({cond}, false)) as violations from "
+        + ("fx_event" if t == "appointment_events" else f"fx_{t} where b = 2")
+        for t in REQUIRED for rule, cond in _form_rules(t).items()) + ") z where violations > 0")
 
 
 @query("domain_violations", _VIOL_SQL)
 def q_domain_violations(spark, sf):
-    """DML-08: form rules checked over the source tables; broken rules counted."""
-    ev = fx.fx_event(spark, sf)
-    doc = fx.source_table(spark, sf, "doctor")
-    hos = fx.source_table(spark, sf, "hospital")
-    pat = fx.source_table(spark, sf, "patient")
-    lo, hi = EXPERIENCE_YEARS_RANGE
-    parts = [
-        dml.domain_violations(ev, {
-            "appointment_events.appointment_id.required": F.col("appointment_id").isNotNull(),
-            "appointment_events.patient_id.required": F.col("patient_id").isNotNull(),
-            "appointment_events.event_type.domain": F.col("event_type").isin(*EVENT_TYPES),
-            "appointment_events.consultation_fee.min": F.col("consultation_fee") >= MIN_FEE}),
-        dml.domain_violations(doc, {
-            "doctor.hospital_id.required": F.col("hospital_id").isNotNull(),
-            "doctor.specialty.domain": F.col("specialty").isin(*SPECIALTIES),
-            "doctor.experience_years.range": F.col("experience_years").between(lo, hi)}),
-        dml.domain_violations(hos, {"hospital.bed_capacity.min": F.col("bed_capacity") >= MIN_BED_CAPACITY}),
-        dml.domain_violations(pat, {"patient.gender.domain": F.col("gender").isin(*GENDERS)}),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """DML-08: all form rules checked over the source tables; broken rules counted."""
+    from functools import reduce
+    parts = [dml.domain_violations(fx.source_table(spark, sf, t), {r: F.expr(c) for r, c in _form_rules(t).items()})
+             for t in REQUIRED]
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 # ---------------------------------------------------------------- file routing
@@ -805,16 +869,18 @@ where fault <> 'null_payload' and topic = 'server.public.appointment_events'
 
 @query("lake_write_roundtrip", with_("fx_op") + f"""
 select {_EV_COLS}, position, case when op = 'd' then true end as _deleted,
-       timestamp '{LAKE_DATE} 00:00:00' as date {_UNIFIED_ROWS}""")
+       '{LAKE_DATE}' as date {_UNIFIED_ROWS}""")
 def q_lake_write_roundtrip(spark, sf):
     """SNK-01/04: accepted images -> date-partitioned Parquet -> read back with a fixed schema."""
     root = scratch_path(spark, "lake")
     rows = cdc.unified(classified(spark, sf), "appointment_events").drop("table_name")
     lakesink.write_lake(rows, root, "appointment_events", LAKE_DATE)
-    return lakesink.read_lake_table(spark, root, "appointment_events")
+    return lakesink.read_lake_table(spark, root, "appointment_events").drop("image")
 
 
-@query("view_and_table", with_("hospital_dim") + "select * from hospital_dim")
+@query("view_and_table", with_("hospital_dim", "stg_hospital") + """
+select d.*, v.load_timestamp as staged_at, v.hospital_name as staged_name
+from hospital_dim d left join stg_hospital v on d.hospital_id = v.hospital_id and d.is_current""")
 def q_view_and_table(spark, sf):
     """SNK-05/06: staging as a view, the dimension as a versioned full-refresh table."""
     root = scratch_path(spark, "tables")
@@ -822,13 +888,16 @@ def q_view_and_table(spark, sf):
                       "stg_hospital_view")
     tablesink.write_version(dim(spark, sf, "hospital"), root, "hospital_dim")
     tablesink.write_version(dim(spark, sf, "hospital"), root, "hospital_dim")   # refresh = new version
-    return tablesink.read_current(spark, root, "hospital_dim")
+    view = spark.table("stg_hospital_view").select(F.col("hospital_id").alias("_h"), F.col("load_timestamp").alias("staged_at"),
+                                                   F.col("hospital_name").alias("staged_name"))
+    dims = tablesink.read_current(spark, root, "hospital_dim")
+    return dims.join(view, (F.col("hospital_id") == F.col("_h")) & F.col("is_current"), "left").drop("_h")
 
 
 def _fact_report_sql(body: str) -> str:
     return with_("fact_all") + f"""
-select * exclude (consultation_fee, date_of_birth), cast(consultation_fee as double) as consultation_fee,
-       cast(date_of_birth as timestamp) as date_of_birth from ({body}) z"""
+select * exclude (consultation_fee, date_of_birth), cast(consultation_fee as varchar) as consultation_fee,
+       cast(date_of_birth as varchar) as date_of_birth from ({body}) z"""
 
 
 @query("fact_append_twice", _fact_report_sql("select * from fact_all union all select * from fact_all"))
@@ -852,24 +921,87 @@ def q_fact_idempotent(spark, sf):
 CUTOFF = "2024-01-15 00:00:00"
 
 
+def _early(ev):
+    from ..functions.types import ts_to_micros
+    return F.coalesce(F.col("event_timestamp") < ts_to_micros(ts_lit(CUTOFF)), F.lit(False))
+
+
 @query("incremental_files", with_("fx_event") + f"""
 select {_EV_COLS} from fx_event
 where not coalesce(event_timestamp < epoch_us(timestamp '{CUTOFF}'), false)""")
 def q_incremental_files(spark, sf):
-    """SRC-06/07/08/12: recursive *.parquet scan, ledger of loaded files, only new files read."""
-    from ..functions.types import ts_to_micros
+    """SRC-06/08: recursive *.parquet listing, ledger of loaded paths, only new files opened."""
     root = scratch_path(spark, "incoming")
     ev = fx.fx_event(spark, sf)
-    early = F.coalesce(F.col("event_timestamp") < ts_to_micros(ts_lit(CUTOFF)), F.lit(False))
-    lakesink.write_lake(ev.where(early), root, "appointment_events", "2024-01-14")
-    ledger_path = root + "/_ledger"
-    lakefiles.files_of(lakefiles.read_lake(spark, root + "/appointment_events")).write.parquet(ledger_path)
-    lakesink.write_lake(ev.where(~early), root, "appointment_events", "2024-01-15")
+    lakesink.write_lake(ev.where(_early(ev)), root, "appointment_events", "2024-01-14")
+    ledger_path = root + "_ledger"
+    lakefiles.list_files(spark, root).write.parquet(ledger_path)
+    lakesink.write_lake(ev.where(~_early(ev)), root, "appointment_events", "2024-01-15")
     spark.createDataFrame([("not a parquet file",)], "value string").write.text(
         root + "/appointment_events/date=2024-01-15/notes")
-    lake = lakefiles.read_lake(spark, root + "/appointment_events", lakesink.lake_schema("appointment_events")
-                               .replace(", position bigint, _deleted boolean, date date", ""))
-    return lakefiles.new_files(lake, spark.read.parquet(ledger_path)).select(*_EV_LIST)
+    new = lakefiles.new_files(lakefiles.list_files(spark, root), spark.read.parquet(ledger_path))
+    paths = [r["path"] for r in new.select("path").collect()]
+    return spark.read.schema(wire_ddl("appointment_events")).parquet(*paths)
+
+
+def _by_folder(base: str):
+    """Route by the folder below ``base``: the key is the path from there on."""
+    def route(files):
+        key = F.concat(F.lit("raw"), F.element_at(F.split("path", base.rstrip("/").rsplit("/", 1)[-1]), -1))
+        return lakefiles.route_by_folder(files.withColumn("key", key)).drop("key")
+    return route
+
+
+@query("load_new_files", with_("fx_event", "fx_patient", "fx_doctor", "fx_hospital") + """
+select 'appointment_events' as table_name, 2 as loads, count(*) as n_rows, max(event_id) as last_key from fx_event
+union all select 'doctor', 1, count(*), max(doctor_id) from fx_doctor
+union all select 'hospital', 1, count(*), max(hospital_id) from fx_hospital
+union all select 'patient', 1, count(*), max(patient_id) from fx_patient""")
+def q_load_new_files(spark, sf):
+    """SRC-08/09/10, STR-02: list, drop known files, route, load, commit - twice, with a file no table takes."""
+    from functools import reduce
+    root = scratch_path(spark, "landing")
+    base, state, raw = root + "/lake", root + "/state", root + "/raw"
+    ev = fx.fx_event(spark, sf)
+    load = lambda: lakefiles.load_new_files(spark, base, state, raw, wire_ddl, _by_folder(base))
+    for name in ("patient", "doctor", "hospital"):
+        cols = [n for n, _ in WIRE_TYPES[name]]
+        fx.fx_entity(spark, sf, name).select(*cols).write.parquet(f"{base}/{name}/date=2024-01-14")
+    ev.where(_early(ev)).write.parquet(f"{base}/appointment_events/date=2024-01-14")
+    ev.limit(1).write.parquet(f"{base}/unknown_table/date=2024-01-14")
+    load()
+    ev.where(~_early(ev)).write.parquet(f"{base}/appointment_events/date=2024-01-15")
+    load()
+    load()                                              # nothing new: no third copy
+    parts = []
+    for name, key in (("appointment_events", "event_id"), ("doctor", "doctor_id"), ("hospital", "hospital_id"),
+                      ("patient", "patient_id")):
+        t = spark.read.schema(wire_ddl(name) + ", load_id string").parquet(f"{raw}/{name}")
+        parts.append(t.agg(F.count_distinct("load_id").cast("int").alias("loads"), F.count(F.lit(1)).alias("n_rows"),
+                           F.max(key).alias("last_key")).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+@query("corrupt_file_quarantine", with_("fx_event") + """
+select 'corrupt' as status, 2 as files, cast(0 as bigint) as n_rows
+union all select 'loaded', 1, count(*) from fx_event""")
+def q_corrupt_file_quarantine(spark, sf):
+    """SRC-12: unreadable files are set aside whole and reported; sound files load."""
+    root = scratch_path(spark, "damaged")
+    base, state, raw = root + "/lake", root + "/state", root + "/raw"
+    fx.fx_event(spark, sf).coalesce(1).write.parquet(f"{base}/appointment_events/date=2024-01-14")
+    for d in ("15", "16"):                              # text under a Parquet name
+        spark.range(1).select(F.lit("PAR1 but no footer PAR1").alias("value")).coalesce(1).write.option(
+            "compression", "none").format("text").save(f"{root}/text{d}")
+    bad = [r[0] for d in ("15", "16") for r in spark.read.format("binaryFile").load(f"{root}/text{d}").select("path").collect()]
+    plan = spark.createDataFrame([("load", p, "appointment_events") for p in bad], lakefiles.PLAN)
+    sound = lakefiles.list_files(spark, base).select(F.lit("load").alias("load_id"), "path",
+                                                     F.lit("appointment_events").alias("table_name"))
+    sound.unionByName(plan).coalesce(1).write.parquet(f"{state}/plan")
+    ledger = lakefiles.load_new_files(spark, base, state, raw, wire_ddl, _by_folder(base))
+    rows = spark.read.schema(wire_ddl("appointment_events")).parquet(f"{raw}/appointment_events").agg(F.count(F.lit(1))).scalar()
+    return ledger.groupBy("status").agg(F.count(F.lit(1)).cast("int").alias("files")).select(
+        "status", "files", F.when(F.col("status") == "loaded", rows).otherwise(F.lit(0)).cast("bigint").alias("n_rows"))
 
 
 def _write_envelope_files(spark, sf, folder: str, chunks: int = 3) -> None:
@@ -926,17 +1058,93 @@ def q_stream_current_state(spark, sf):
     return ingest.read_current_state(spark, root + "/log", APPOINTMENT_EVENTS)
 
 
-@query("end_to_end_dashboard", REGISTRY["dashboard_summary"][1])
+_E2E = ("e2e_fact", "patient_log_dim", "doctor_dim", "hospital_dim")
+
+
+@query("end_to_end_dashboard", with_(*_E2E) + f"""
+select count(*) filter (where appointment_time >= timestamp '{DAY} 00:00:00'
+                          and appointment_time < timestamp '{_NEXT} 00:00:00') as today_appointments,
+       count(*) filter (where event_type = 'CONFIRMED' and appointment_time >= timestamp '{DAY} 00:00:00'
+                          and appointment_time < timestamp '{_NEXT} 00:00:00') as active_appointments,
+       (select count(distinct patient_id) from patient_log_dim) as total_patients,
+       (select count(distinct doctor_id) from doctor_dim) as total_doctors,
+       (select count(distinct hospital_id) from hospital_dim) as total_hospitals,
+       (select cast(sum(cnt) as bigint) from ({_SPEC_SQL.format(f='e2e_fact', d='doctor_dim')}) z) as specialty_total,
+       (select string_agg(patient_id, ',' order by appointment_time desc, doctor_name asc nulls last, patient_id, event_type)
+        from (select * from e2e_fact order by appointment_time desc nulls first, doctor_name asc nulls last,
+                                              patient_id asc nulls last, event_type asc nulls last limit 10) z) as recent_patients
+from e2e_fact""")
 def q_end_to_end_dashboard(spark, sf):
-    """SNK-08: raw load, three snapshot runs, marts, dashboard - every step written."""
+    """SNK-08: change stream of four tables -> lake -> raw -> snapshots -> marts -> whole dashboard, three loads."""
     from .daily_job import run_pipeline
-    return run_pipeline(spark, sf, scratch_path(spark, "pipeline"), DAY)
+    loads = [(b, ts, fx.fx_changes(spark, sf, b)) for b, ts in runs()]
+    page = run_pipeline(spark, loads, scratch_path(spark, "pipeline"), DAY, run_date=LAKE_DATE)
+    total = page["specialty"].agg(F.sum("cnt").cast("bigint")).scalar()
+    rank = Window.partitionBy().orderBy(F.col("appointment_time").desc_nulls_first(), F.col("doctor_name").asc_nulls_last(),
+                                        F.col("patient_id").asc_nulls_last(), F.col("event_type").asc_nulls_last())
+    ten = page["recent"].select(F.row_number().over(rank).alias("i"), "patient_id")      # ten rows
+    names = ten.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "patient_id"))),
+                                             lambda x: x["patient_id"]), ",").alias("p")).scalar()
+    return page["summary"].select("*", total.alias("specialty_total"), names.alias("recent_patients"))
+
+
+@query("dashboard_recent", with_("fact_all") + """
+select appointment_time, doctor_name, patient_id, event_type from fact_all
+order by appointment_time desc nulls first, doctor_name asc nulls last, patient_id asc nulls last,
+         event_type asc nulls last limit 10""")
+def q_dashboard_recent(spark, sf):
+    """DSH-01: the ten newest appointments of the page, in order."""
+    from .dashboard import recent
+    return recent(top_fact(spark, sf, 10))
+
+
+@query("dashboard_specialty", with_("fact_all", "doctor_dim") + """
+select specialty, cnt, round_even(cnt / greatest(max(cnt) over (), 1) * 100, 0) as share,
+       cast(row_number() over (order by cnt desc, specialty asc nulls last) as integer) as place from ("""
+       + _SPEC_SQL.format(f="fact_all", d="doctor_dim") + ") s")
+def q_dashboard_specialty(spark, sf):
+    """DSH-01 / AGG-04/06: specialty shares of the page, largest first."""
+    from .dashboard import specialty_stats
+    stats = specialty_stats(weighted_events(spark, sf), dim(spark, sf, "doctor"), "n_rows")
+    place = Window.partitionBy().orderBy(F.col("cnt").desc(), F.col("specialty").asc_nulls_last())   # one row per specialty
+    return stats.withColumn("place", F.row_number().over(place)).orderBy("place")
+
+
+@query("scd2_patient_log", with_("patient_log_snapshot") + """
+select * exclude (date_of_birth), cast(date_of_birth as varchar) as date_of_birth from patient_log_snapshot""")
+def q_scd2_patient_log(spark, sf):
+    """SCD-01/04: one merge per run over a log with several rows per key and run, reverts, NULL and tied times."""
+    return scd2.fold(fx.fx_patient_log(spark, sf), ENTITIES["patient"], runs())
+
+
+@query("scd2_close_deleted", with_("patient_close_snapshot") + """
+select * exclude (date_of_birth), cast(date_of_birth as varchar) as date_of_birth from patient_close_snapshot""")
+def q_scd2_close_deleted(spark, sf):
+    """SCD-05 with deletes: a delete image closes the open version, a later change opens one."""
+    return scd2.replay(fx.fx_patient_log(spark, sf), ENTITIES["patient"], deletes="close")
+
+
+for _e, _cols in (("doctor", ["doctor_id", "hospital_id", "doctor_name", "specialty", "experience_years"]),
+                  ("patient", ["patient_id", "patient_name", "gender", "city"])):
+    def _mkl(e=_e, cols=_cols):
+        def fn(spark, sf):
+            return listing(fx.source_table(spark, sf, e), cols, f"{e}_id")
+        fn.__doc__ = f"SRT-04 / SRC-13: {e} listing of the current source table."
+        return fn
+    query(f"{_e}_listing", with_(f"fx_{_e}") + f"select {', '.join(_cols)} from fx_{_e} where b = 2 order by {_e}_id")(_mkl())
+
+for _e in ("doctor", "hospital"):
+    def _mkk(e=_e):
+        def fn(spark, sf):
+            return listing(fx.source_table(spark, sf, e), [f"{e}_id", f"{e}_name"], f"{e}_id")
+        fn.__doc__ = f"SRT-05: (id, name) lookup list of {e}."
+        return fn
+    query(f"{_e}_lookup", with_(f"fx_{_e}") + f"select {_e}_id, {_e}_name from fx_{_e} where b = 2 order by {_e}_id")(_mkk())
 
 
 @query("object_load", with_("fx_event") + f"select {_EV_COLS} from fx_event")
 def q_object_load(spark, sf):
     """SRC-07: load one named object; a non-Parquet key loads nothing."""
-    from ..registry import wire_ddl
     root = scratch_path(spark, "objects")
     key = f"{root}/appointment_events/appointment_events_000000000001.parquet"
     fx.fx_event(spark, sf).write.parquet(key)
@@ -955,7 +1163,7 @@ select *, row_number() over (partition by appointment_id order by event_timestam
 from imgs where appointment_id is not null and patient_id is not null)"""
 _IMG_STG = """select appointment_id, patient_id, doctor_id, hospital_id, lower(event_type) as event_type,
        make_timestamp(appointment_time) as appointment_time, make_timestamp(event_timestamp) as event_timestamp,
-       cast(cast(consultation_fee as decimal(38,0)) as double) as consultation_fee, cast(rn as integer) as rn
+       cast(cast(consultation_fee as decimal(38,0)) as varchar) as consultation_fee, cast(rn as integer) as rn
 from ranked where rn = 1"""
 
 

@@ -1,20 +1,23 @@
-"""The whole job: raw tables -> staging -> snapshot runs -> dims + fact -> dashboard.
+"""The whole job: change stream -> lake -> raw -> staging -> snapshots -> marts -> dashboard.
 
-The reference runs it as scheduled steps (load, snapshot, marts); here it is
-one function with explicit run times.  Every step *writes* its result,
-which also cuts lineage between runs, so a lost executor recomputes at most
-one step and plans stay small however many runs are replayed.  Failures
-raise.
+The reference runs it as scheduled steps (consume, load, snapshot, marts); here
+it is one function over loads with explicit run times.  A load is any
+DataFrame of change records ``(topic, position, value)`` of the captured tables:
+a batch read of the topics, files, or the rows a stream handed over.  Every
+step *writes* its result, which also cuts lineage between runs, so a lost
+executor recomputes at most one step and plans stay small however many runs
+are replayed.  Failures raise, and a rerun of a load replaces that load's own
+partitions.
 
-Per run, work is proportional to what changed, not to history:
+What a run costs:
 
 * staging state  - latest change per key is an associative argmax, so the
-  state after run n is ``latest(state(n-1) ∪ rows loaded by run n)``; the
-  raw history is never re-scanned (the raw table is partitioned by run).
+  state after run n is ``latest(state(n-1) + rows of load n)``; older raw loads
+  are not read again, the state table (one row per key) is rewritten.
 * snapshot store - closed versions never change again: they are appended to
-  an append-only ``closed`` table; only the open versions are rewritten
-  (a new version of the ``open`` table each run).  The full history is
-  ``closed ∪ open``.
+  an append-only ``closed`` table; the open versions (one row per key) are
+  rewritten.  The full history is ``closed + open``.
+* marts          - built from the whole state and history.
 """
 
 from __future__ import annotations
@@ -24,17 +27,22 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators import scd2
+from ..operators import cdc, scd2
 from ..operators.latest import latest_by_rank
 from ..operators.marts import build_dim, build_fact
 from ..operators.staging import stage, tiebreak_for, wire_columns
 from ..registry import ENTITIES, APPOINTMENT_EVENTS, EntitySpec
-from ..sinks import tables
-from ..sources import fixtures as fx
-from .dashboard import summary
+from ..session import joins_by_measure
+from ..sinks import lake, tables
+from ..sources.envelope import decode
+from . import dashboard as dash
 
 SNAPSHOT_ENTITIES = ("patient", "doctor", "hospital")
+RAW = "v variant, _deleted boolean, position bigint, b int"
+REJECTS = "_rejects"
 _BOOK = ("b", "position", "_deleted")
+#: One load: its number, its run time, its change records.
+Load = tuple[int, Column, DataFrame]
 
 
 def _each(fn: Callable, items) -> list:
@@ -49,19 +57,44 @@ def _base(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def load_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Raw tables: typed change rows, partitioned by the load run ``b``."""
+def land(spark: SparkSession, changes: DataFrame, root: str, b: int, run_date: str | Column, topics=None) -> None:
+    """One load of change records into the lake and the raw tables.
+
+    The envelopes are parsed once; what they are is written by table (rejects
+    with their reason), and the lake and raw VARIANT partitions of the load
+    follow from that."""
+    sorted_out = cdc.classify(decode(changes, topics=topics))
+    dest = F.when(F.col("kind") == "reject", F.lit(REJECTS)).otherwise(F.col("table_name"))
+    path = _base(root, f"classified/load={b}")
+    (sorted_out.select("topic", "position", "op", "kind", "reason", "image", F.col("table_name").alias("source_table"),
+                       dest.alias("table_name"))
+     .write.mode("overwrite").partitionBy("table_name").parquet(path))
+    schema = ("topic string, position bigint, op string, kind string, reason string, image string, "
+              "source_table string, table_name string")
+    today = F.lit(run_date) if isinstance(run_date, str) else run_date
+    date = lake.batch_date(spark, _base(root, "lake"), b, today)
+
     def one(name: str) -> None:
-        df = fx.fx_entity(spark, sf_dir, name)
-        w = df.write.mode("overwrite")
-        if "b" in df.columns:
-            w = w.partitionBy("b")
-        w.parquet(_base(root, f"raw/{name}"))
+        rows = spark.read.schema(schema).parquet(path)
+        images = cdc.unified(rows, name).drop("table_name")
+        lake.write_lake(images, _base(root, "lake"), name, date, batch_id=b)
+        landed = (lake.read_lake_table(spark, _base(root, "lake"), name, with_batch=True)
+                  .where(F.col("batch_id") == b))
+        raw = landed.select(F.parse_json("image").alias("v"), "_deleted", "position", F.lit(b).alias("b"))
+        (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b")
+         .parquet(_base(root, f"raw/{name}")))
     _each(one, ENTITIES)
 
 
-def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(_base(root, f"raw/{name}"))
+def read_rejects(spark: SparkSession, root: str, b: int) -> DataFrame:
+    """Records of load ``b`` that no table took, with the first rule they broke."""
+    schema = "topic string, position bigint, op string, reason string, table_name string"
+    rows = spark.read.schema(schema).parquet(_base(root, f"classified/load={b}"))
+    return rows.where(F.col("table_name") == REJECTS).drop("table_name")
+
+
+def read_raw(spark: SparkSession, root: str, name: str, b: int) -> DataFrame:
+    return spark.read.schema(RAW).parquet(_base(root, f"raw/{name}")).where(F.col("b") == b)
 
 
 def _wire(rows: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -79,7 +112,7 @@ def latest_wire(rows: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def advance_state(state: DataFrame | None, loaded: DataFrame, spec: EntitySpec) -> DataFrame:
-    """``latest(state ∪ load)``: one ranking (one shuffle) per run; the
+    """``latest(state + load)``: one ranking (one shuffle) per run; the
     partial WindowGroupLimit still reduces a hot key inside each map task."""
     cand = _wire(loaded, spec)
     if state is not None:
@@ -87,9 +120,9 @@ def advance_state(state: DataFrame | None, loaded: DataFrame, spec: EntitySpec)
     return latest_wire(cand, spec)
 
 
-def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]],
-                  deletes: str = "ignore", entities: Sequence[str] = SNAPSHOT_ENTITIES) -> None:
-    """Apply snapshot runs in order, resuming from the last published state.
+def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]], deletes: str = "ignore",
+                  entities: Sequence[str] = tuple(ENTITIES)) -> None:
+    """Advance the staging state and the snapshots by runs in order, resuming from the last published state.
 
     ``deletes``: ``ignore`` (reference: a delete image is staged like any
     change), ``drop`` (keys whose newest change is a delete leave staging and
@@ -99,31 +132,32 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
     Closed versions of run ``b`` land in partition ``closed_run=b`` with
     dynamic overwrite, so re-running a run after a crash replaces its own
     rows instead of duplicating them."""
-    def one(name: str) -> None:
+    def one(name: str) -> dict[str, str]:
         spec = ENTITIES[name]
-        raw = read_raw(spark, root, name)
         state = tables.read_current(spark, root, f"state_{name}")
         open_ = tables.read_current(spark, root, f"snap_{name}_open")
         if open_ is not None:
             open_ = open_.where(F.col("dbt_valid_to").isNull())
-        closed_path = _base(root, f"snap_{name}_closed")
-        state_path = merged_path = None
+        out: dict[str, str] = {}
         for b, ts in runs:          # runs are sequential per entity: each builds on the last
-            nxt = advance_state(state, raw.where(F.col("b") == b), spec)
-            state_path = tables.write_version(nxt, root, f"state_{name}", publish=False)
-            state = spark.read.schema(nxt.schema).parquet(state_path)     # known schema: no footer scan
+            nxt = advance_state(state, read_raw(spark, root, name, b), spec)
+            out[f"state_{name}"] = tables.write_version(nxt, root, f"state_{name}", publish=False)
+            state = spark.read.schema(nxt.schema).parquet(out[f"state_{name}"])     # known schema: no footer scan
+            if name not in SNAPSHOT_ENTITIES:
+                continue
             if deletes == "close":
                 staged = stage(state, spec, ts, deletes="ignore", keep_deleted=True)
             else:
                 staged = stage(state, spec, ts, deletes=deletes)
             hist = scd2.merge(open_, staged, spec, ts, deletes=deletes)
-            merged_path = tables.write_version(hist, root, f"snap_{name}_open", publish=False)
-            merged = spark.read.schema(hist.schema).parquet(merged_path)
+            out[f"snap_{name}_open"] = tables.write_version(hist, root, f"snap_{name}_open", publish=False)
+            merged = spark.read.schema(hist.schema).parquet(out[f"snap_{name}_open"])
+            # written also when nothing closed: afterwards a missing table is an error
             (merged.where(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(b))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("closed_run").parquet(closed_path))
+             .partitionBy("closed_run").parquet(_base(root, f"snap_{name}_closed")))
             open_ = merged.where(F.col("dbt_valid_to").isNull())
-        return {f"state_{name}": state_path, f"snap_{name}_open": merged_path} if state_path else {}
+        return out
     # readers switch once every table's run sequence is complete: one publish
     new: dict[str, str] = {}
     for versions in _each(one, entities):
@@ -132,20 +166,19 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Full history = closed versions ∪ currently open versions."""
-    open_ = tables.read_current(spark, root, f"snap_{name}_open").where(F.col("dbt_valid_to").isNull())
-    try:
-        closed = spark.read.parquet(_base(root, f"snap_{name}_closed")).drop("closed_run")
-    except Exception:  # noqa: BLE001 - nothing closed yet
-        return open_
-    return closed.unionByName(open_)
+    """Full history = closed versions + currently open versions.  A history that cannot be read raises."""
+    open_ = tables.read_current(spark, root, f"snap_{name}_open")
+    if open_ is None:
+        raise ValueError(f"no snapshot of {name} was ever published under {root}")
+    closed = spark.read.schema(open_.schema).parquet(_base(root, f"snap_{name}_closed")).drop("closed_run")
+    return closed.unionByName(open_.where(F.col("dbt_valid_to").isNull()))
 
 
-def build_marts(spark: SparkSession, root: str, version_mode: str = "all",
-                fact_mode: str = "append") -> None:
+def build_marts(spark: SparkSession, root: str, version_mode: str = "all", fact_mode: str = "append",
+                deletes: str = "ignore") -> None:
     snaps = {n: read_snapshot(spark, root, n) for n in SNAPSHOT_ENTITIES}
-    events = stage(latest_wire(read_raw(spark, root, "appointment_events"), APPOINTMENT_EVENTS),
-                   APPOINTMENT_EVENTS)
+    state = tables.read_current(spark, root, f"state_{APPOINTMENT_EVENTS.name}")
+    events = stage(state, APPOINTMENT_EVENTS, deletes="ignore" if deletes == "ignore" else "drop")
     fact = build_fact(events, snaps["patient"], snaps["doctor"], snaps["hospital"], version_mode)
 
     def step(name: str) -> dict[str, str]:
@@ -161,17 +194,24 @@ def build_marts(spark: SparkSession, root: str, version_mode: str = "all",
     tables.publish_versions(spark, root, new)
 
 
-def dashboard(spark: SparkSession, root: str, day: str, fact_mode: str = "append") -> DataFrame:
+def dashboard(spark: SparkSession, root: str, day: str, fact_mode: str = "append") -> dict[str, DataFrame]:
+    """The page's three parts over the stored marts: summary, recent appointments, specialty shares."""
     fact = tables.read_incremental(spark, root, "appointment_events_fact", fact_mode)
     dims = {n: tables.read_current(spark, root, f"{n}_dim") for n in SNAPSHOT_ENTITIES}
-    return summary(fact, dims["patient"], dims["doctor"], dims["hospital"], day)
-
-
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str, day: str,
-                 runs: Sequence[tuple[int, Column]] | None = None, version_mode: str = "all",
-                 fact_mode: str = "append") -> DataFrame:
-    runs = runs or [(b, fx.run_ts_of(b)) for b, _ in fx.RUNS]
-    load_raw(spark, sf_dir, root)
-    snapshot_runs(spark, root, runs)
-    build_marts(spark, root, version_mode, fact_mode)
+    return {"summary": dash.summary(fact, dims["patient"], dims["doctor"], dims["hospital"], day),
+            "recent": dash.recent(fact),
+            "specialty": dash.specialty_stats(fact, dims["doctor"])}
+
+
+def run_pipeline(spark: SparkSession, loads: Sequence[Load], root: str, day: str, version_mode: str = "all",
+                 fact_mode: str = "append", deletes: str = "ignore", run_date: str | None = None,
+                 topics=None) -> dict[str, DataFrame]:
+    """All steps for ``loads`` in order; ``root`` is a folder that all executors share.
+
+    A later call with the next loads goes on from the published state."""
+    joins_by_measure(spark)
+    for b, _ts, changes in loads:
+        land(spark, changes, root, b, run_date or F.current_date(), topics)
+    snapshot_runs(spark, root, [(b, ts) for b, ts, _ in loads], deletes)
+    build_marts(spark, root, version_mode, fact_mode, deletes)
     return dashboard(spark, root, day, fact_mode)

@@ -8,6 +8,7 @@ registers only the base tables, so the domain fixtures are inlined as CTEs.
 
 from __future__ import annotations
 
+from ..operators.marts import DIM_ATTRS, FACT_COLUMNS
 from ..registry import ENTITIES, EntitySpec
 
 RUN_VALUES = ("(0, timestamp '2024-01-01 00:00:00'), (1, timestamp '2024-01-11 00:00:00'), "
@@ -53,6 +54,14 @@ select concat('H', n_nationkey) as hospital_id, n_name as hospital_name, concat(
        epoch_us(run_ts) as created_at, b, run_ts
 from nation join region on n_regionkey = r_regionkey cross join run
 where not (n_nationkey = 24 and b = 2))""",
+    "fx_patient_log": """fx_patient_log as (
+select patient_id, patient_name, gender, date_of_birth,
+       case when n % 10 = 1 and seq = 0 then city || ' (old)' when n % 13 = 0 and b = 1 then 'Elsewhere' else city end as city,
+       case when n % 23 = 0 and b = 1 then null else created_at end as created_at, b, run_ts,
+       n * 10 + b * 2 + seq as position,
+       case when (n % 19 = 3 and b = 1) or (n % 29 = 4 and b = 2) then true end as _deleted
+from (select *, cast(substring(patient_id, 2) as bigint) as n from fx_patient) p
+join (values (0), (1)) t(seq) on seq = 0 or n % 10 = 1)""",
     "fx_op": """fx_op as (
 select *, cast(substring(event_id, 2) as bigint) as position,
        case when cast(substring(event_id, 2) as bigint) % 23 = 0 then 'server.public.other'
@@ -73,9 +82,24 @@ from (select *, row_number() over (partition by appointment_id
 where rn = 1)""",
 }
 
+# what the change stream leaves of fx_op, and its staged form
+IMAGES = """topic = 'server.public.appointment_events' and fault <> 'null_payload'
+  and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')"""
+CTE["e2e_events"] = f"""e2e_events as (
+select appointment_id, patient_id, doctor_id, hospital_id, lower(event_type) as event_type,
+       make_timestamp(appointment_time) as appointment_time, make_timestamp(event_timestamp) as event_timestamp,
+       cast(consultation_fee as decimal(38,0)) as consultation_fee
+from (select *, row_number() over (partition by appointment_id
+                                   order by event_timestamp desc nulls first, position desc) as rn
+      from fx_op where {IMAGES} and appointment_id is not null and patient_id is not null) z
+where rn = 1)"""
+
 DEPS = {
+    "e2e_events": ["fx_op"], "patient_log_dim": ["patient_log_snapshot"],
+    "e2e_fact": ["e2e_events", "patient_log_snapshot", "doctor_snapshot", "hospital_snapshot"],
     "fx_patient": ["run"], "fx_doctor": ["run"], "fx_hospital": ["run"],
-    "fx_op": ["fx_event"], "stg_events": ["fx_event"],
+    "fx_op": ["fx_event"], "stg_events": ["fx_event"], "fx_patient_log": ["fx_patient"],
+    "patient_log_snapshot": ["fx_patient_log"], "patient_close_snapshot": ["fx_patient_log"],
     "stg_patient": ["fx_patient"], "stg_doctor": ["fx_doctor"], "stg_hospital": ["fx_hospital"],
     "patient_snapshot": ["fx_patient"], "doctor_snapshot": ["fx_doctor"],
     "hospital_snapshot": ["fx_hospital"],
@@ -113,62 +137,63 @@ from (select *, row_number() over (partition by {spec.key}
 where rn = 1)"""
 
 
-def snapshot_cte(entity: str) -> str:
-    """History after all runs: staging as of each run, then lag/lead."""
+def snapshot_cte(entity: str, log: str | None = None, close: bool = False) -> str:
+    """History after all runs: staging as of each run, then lag/lead.
+
+    ``log`` names a change log with ``position`` as last tie-break; with
+    ``close`` a run that finds a key deleted (``_deleted``) closes its version."""
     spec = ENTITIES[entity]
     k = spec.key
+    name = entity if log is None else f"{entity}_close" if close else f"{entity}_log"
+    tie = "" if log is None else ", x.position desc"
+    gone = "coalesce(_deleted, false)"
     req = " and ".join(f"x.{c} is not null" for c in spec.required)
     lags = ", ".join(f"lag({c}) over w as prev_{c}" for c in spec.check_cols)
     diff = " or ".join(f"{c} is distinct from prev_{c}" for c in spec.check_cols)
-    return f"""{entity}_asof as (
+    if close:
+        lags, diff = f"{lags}, lag({gone}) over w as prev_gone", f"{diff} or {gone} is distinct from prev_gone"
+    changes = f"""{name}_asof as (
 select r.b as run_b, r.run_ts as run_time, x.*,
-       row_number() over (partition by r.b, x.{k} order by x.{spec.order_col} desc nulls first, x.b desc) as rk
-from run r join fx_{entity} x on x.b <= r.b
+       row_number() over (partition by r.b, x.{k} order by x.{spec.order_col} desc nulls first, x.b desc{tie}) as rk
+from run r join {log or 'fx_' + entity} x on x.b <= r.b
 where {req}),
-{entity}_chg as (
+{name}_chg as (
 select *, lag(run_b) over w as prev_b, {lags}
-from {entity}_asof where rk = 1
+from {name}_asof where rk = 1
 window w as (partition by {k} order by run_b)),
-{entity}_snapshot as (
+{name}_kept as (
+select *, lead(run_time) over (partition by {k} order by run_b) as next_time
+from {name}_chg where prev_b is null or {diff})"""
+    return changes + f""",
+{name}_snapshot as (
 select {_staged_cols(spec)}, run_time as load_timestamp, 1 as rn,
        md5({k} || '|' || cast(run_time as varchar)) as dbt_scd_id,
-       run_time as dbt_updated_at, run_time as dbt_valid_from,
-       lead(run_time) over (partition by {k} order by run_b) as dbt_valid_to
-from {entity}_chg
-where prev_b is null or {diff})"""
-
-
-def dim_cte(entity: str) -> str:
-    attrs = {
-        "doctor": "doctor_id, doctor_name, specialty, experience_years",
-        "hospital": "hospital_id, hospital_name, city, country, bed_capacity",
-        "patient": "patient_id, patient_name, gender, date_of_birth, city",
-    }[entity]
-    return f"""{entity}_dim as (
-select {attrs}, created_at, dbt_valid_from as effective_from, dbt_valid_to as effective_to,
-       case when dbt_valid_to is null then true else false end as is_current
-from {entity}_snapshot)"""
-
-
-def fact_cte(mode: str) -> str:
-    def on(alias: str, key: str) -> str:
-        base = f"e.{key} = {alias}.{key}"
-        if mode == "current":
-            return base + f" and {alias}.dbt_valid_to is null"
-        if mode == "as_of":
-            return (base + f" and e.event_timestamp >= {alias}.dbt_valid_from"
-                    f" and ({alias}.dbt_valid_to is null or e.event_timestamp < {alias}.dbt_valid_to)")
-        return base
-    return f"""fact_{mode} as (
-select e.appointment_id, e.appointment_time, e.consultation_fee, e.event_type,
-       e.patient_id, p.patient_name, p.gender, p.date_of_birth,
-       e.doctor_id, d.doctor_name, d.specialty, d.experience_years,
-       e.hospital_id, h.hospital_name, h.city as hospital_city, h.country,
-       case when lower(e.event_type) = 'no_show' then 1 else 0 end as no_show_flag
-from stg_events e
-left join patient_snapshot p on {on('p', 'patient_id')}
-left join doctor_snapshot d on {on('d', 'doctor_id')}
-left join hospital_snapshot h on {on('h', 'hospital_id')})"""
+       run_time as dbt_updated_at, run_time as dbt_valid_from, next_time as dbt_valid_to
+from {name}_kept{' where not ' + gone if close else ''})"""
+
+
+def dim_cte(entity: str, snapshot: str | None = None) -> str:
+    cols = ", ".join((*DIM_ATTRS[entity], "created_at"))
+    return (f"{snapshot or entity}_dim as (select {cols}, dbt_valid_from as effective_from, dbt_valid_to as effective_to, "
+            f"dbt_valid_to is null as is_current from {snapshot or entity}_snapshot)")
+
+
+def fact_cte(mode: str, events: str = "stg_events", patient: str = "patient", name: str | None = None) -> str:
+    """One subquery per dimension side with renamed columns, then the fact's columns picked by name."""
+    sides, picked = [], {}
+    for i, (entity, snap) in enumerate((("patient", patient), ("doctor", "doctor"), ("hospital", "hospital"))):
+        attrs = [c for c in DIM_ATTRS[entity] if c != f"{entity}_id"]
+        only = " where dbt_valid_to is null" if mode == "current" else ""
+        inner = ", ".join([f"{entity}_id as k{i}", f"dbt_valid_from as vf{i}", f"dbt_valid_to as vt{i}"]
+                          + [f"{c} as s{i}_{c}" for c in attrs])
+        when = (f" and event_timestamp >= vf{i} and event_timestamp < coalesce(vt{i}, timestamp '9999-01-01')"
+                if mode == "as_of" else "")
+        sides.append(f"left join (select {inner} from {snap}_snapshot{only}) side{i} on {entity}_id = k{i}{when}")
+        picked |= {("hospital_city" if (entity, c) == ("hospital", "city") else c): f"s{i}_{c}" for c in attrs
+                   if (entity, c) != ("patient", "city")}
+    picked["no_show_flag"] = "cast(event_type = 'no_show' as integer)"
+    cols = ", ".join(f"{picked[c]} as {c}" if c in picked else c for c in FACT_COLUMNS)
+    return f"{name or 'fact_' + mode} as (select {cols} from {events}\n" + "\n".join(sides) + ")"
 
 
 def _cte_text(name: str) -> str:
@@ -176,10 +201,16 @@ def _cte_text(name: str) -> str:
         return CTE[name]
     if name.startswith("stg_"):
         return stg_entity_cte(name[4:])
+    if name in ("patient_log_snapshot", "patient_close_snapshot"):
+        return snapshot_cte("patient", "fx_patient_log", name == "patient_close_snapshot")
     if name.endswith("_snapshot"):
         return snapshot_cte(name[: -len("_snapshot")])
-    if name.endswith("_dim"):
+    if name.endswith("_dim") and name != "patient_log_dim":
         return dim_cte(name[: -len("_dim")])
+    if name == "e2e_fact":
+        return fact_cte("all", "e2e_events", "patient_log", "e2e_fact")
+    if name == "patient_log_dim":
+        return dim_cte("patient", "patient_log")
     if name.startswith("fact_"):
         return fact_cte(name[5:])
     raise KeyError(name)

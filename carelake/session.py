@@ -34,6 +34,10 @@ BASE_CONF = {
 }
 
 
+#: Upper bound of a side that adaptive execution may broadcast once it is measured.
+MEASURED_BROADCAST_BYTES = 10 << 20
+
+
 def build_session(master: str | None = None, app: str = "carelake",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -60,21 +64,45 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(master: str) -> bool:
+    """One JVM on one machine (``local-cluster[...]`` starts executors of their own)."""
+    return master == "local" or master.startswith("local[")
+
+
+def joins_by_measure(spark: SparkSession) -> SparkSession:
+    """Broadcast only what adaptive execution has measured.
+
+    The static threshold trusts optimizer estimates, which ``explode`` and
+    filters leave far off; the adaptive one sees shuffled bytes."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(MEASURED_BROADCAST_BYTES))
+    return spark
+
+
+def joins_by_file_size(spark: SparkSession) -> SparkSession:
+    """The cluster's own thresholds, for jobs whose small join sides are tables written just before."""
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        v = spark.sparkContext.getConf().get(k, None)
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for intermediates (``spark.checkpoint.dir``).
 
-    Read from the session; only when unset (local tests) a folder is created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Read from the session.  Only a local session (one machine) gets a folder
+    of its own when it names none; on a cluster that is an error, as executors
+    could not see a folder on the driver's disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                             "that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="carelake-shared-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - a session that refuses the setting still gets the folder below
-            pass
+        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(d, "rdd-checkpoints"))
     return d

@@ -3,8 +3,12 @@
 Layout ``<root>/[<prefix>/]<table>/date=YYYY-MM-DD/...``; ``date`` is the
 *processing* date of the write.  Streaming writers add a ``batch_id``
 partition level and overwrite only their own batch (dynamic partition
-overwrite), so a micro-batch replayed after a failure replaces its own
-files instead of duplicating rows.
+overwrite).  A batch's date is recorded before its first write and read back
+by a replay (``batch_date``), so a batch replayed after midnight replaces its
+own files instead of adding a second copy.
+
+Every row keeps the whole change image as JSON text (``image``) beside the
+typed columns: source fields that the registry does not know are not lost.
 """
 
 from __future__ import annotations
@@ -12,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..registry import WIRE_TYPES
+from .tables import if_exists
+
+BATCHES = "batch_id bigint, date date"
 
 
 def clean_prefix(prefix: str | None) -> str:
@@ -26,12 +33,24 @@ def table_path(root: str, table: str, prefix: str | None = None) -> str:
 
 def lake_schema(table: str, with_batch: bool = False) -> str:
     ddl = ", ".join(f"{n} {t}" for n, t in WIRE_TYPES[table])
-    ddl += ", position bigint, _deleted boolean, date date"
+    ddl += ", position bigint, _deleted boolean, image string, date date"
     if with_batch:
         ddl += ", batch_id bigint"
     return ddl
 
 
+def batch_date(spark: SparkSession, root: str, batch_id: int, today: Column) -> Column:
+    """The date a micro-batch belongs to: the one recorded at its first attempt, else ``today``."""
+    path = f"{root.rstrip('/')}/_batches"
+    known = if_exists(lambda: spark.read.schema(BATCHES).parquet(path))
+    row = known.where(F.col("batch_id") == batch_id).agg(F.min("date")).first() if known is not None else None
+    if row is not None and row[0] is not None:
+        return F.lit(row[0])
+    first = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"), today.cast("date").alias("date"))
+    first.write.mode("append").parquet(path)
+    return batch_date(spark, root, batch_id, today)
+
+
 def write_lake(df: DataFrame, root: str, table: str, run_date: str | Column,
                prefix: str | None = None, batch_id: int | None = None) -> None:
     d = F.lit(run_date).cast("date") if isinstance(run_date, str) else run_date.cast("date")

@@ -1,10 +1,11 @@
 """Table materializations on plain Parquet.
 
 * view        - a lazy DataFrame registered with ``createOrReplaceTempView``
-* table       - full refresh: written to a *new version folder*, then the
-                table's one-line pointer is switched; readers never see
-                a half-written table, and a job may read the version it
-                replaces (Parquet cannot be overwritten while being read).
+* table       - full refresh: written to a *new version folder*, then a
+                pointer row is appended; the newest pointer counts, so
+                readers see the old version or the new one and never a gap,
+                and a job may read the version it replaces (Parquet cannot
+                be overwritten while being read).
 * incremental - ``append`` (reference: every run appends the whole set
                 again), ``replace`` or ``keyed`` (delete + insert by key:
                 rerunning a batch is a no-op).
@@ -13,15 +14,28 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+POINTERS = "name string, path string, seq bigint"
 
 
 def _base(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """``read()``, or None when its path does not exist; every other error is raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
@@ -37,29 +51,20 @@ def write_version(df: DataFrame, root: str, name: str, publish: bool = True) ->
 
 
 def publish_versions(spark: SparkSession, root: str, versions: dict[str, str]) -> None:
-    """Switch readers of several tables at once: one small write job.
-
-    Pointers live in ``<root>/_catalog/name=<table>/`` (one line: the version
-    path).  Dynamic partition overwrite replaces exactly the named tables'
-    pointers and leaves every other table's pointer alone."""
+    """Switch readers of several tables at once: one file of pointer rows is appended."""
     if not versions:
         return
-    rows = [(path, name) for name, path in versions.items()]
-    (spark.createDataFrame(rows, "path string, name string").coalesce(1).write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("name").text(f"{root.rstrip('/')}/_catalog"))
-
-
-def publish_version(spark: SparkSession, root: str, name: str, path: str) -> None:
-    publish_versions(spark, root, {name: path})
+    rows = [(name, path, time.time_ns()) for name, path in versions.items()]
+    (spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append")
+     .parquet(f"{root.rstrip('/')}/_catalog"))
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    try:
-        row = spark.read.text(f"{root.rstrip('/')}/_catalog/name={name}").first()
-    except Exception:  # noqa: BLE001 - no table yet
+    """The published version's path; None only when nothing was ever published."""
+    log = if_exists(lambda: spark.read.schema(POINTERS).parquet(f"{root.rstrip('/')}/_catalog"))
+    if log is None:
         return None
-    return row[0] if row else None
+    return log.where(F.col("name") == name).agg(F.max_by("path", "seq")).first()[0]
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame | None:

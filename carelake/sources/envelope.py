@@ -18,12 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..registry import ENTITIES, wire_ddl
+from .kafka import topics_for
 
 UPSERT_OPS = ("c", "u", "r")     # create, update, snapshot read
 DELETE_OP = "d"
 
 _BODY = "op string, before string, after string"
 ENVELOPE_DDL = f"payload struct<{_BODY}>, {_BODY}"
+#: Server name of the topics that the jobs subscribe to unless told otherwise.
+SERVER = "server"
 
 
 def table_of_topic(topic: Column) -> Column:
@@ -32,14 +35,22 @@ def table_of_topic(topic: Column) -> Column:
 
 
 def _present(img: Column) -> Column:
-    """A row image counts only when it is a non-empty object."""
+    """A row image is there: neither null nor an empty object."""
     t = F.trim(img)
     return img.isNotNull() & (t != F.lit("{}")) & (t != F.lit("null"))
 
 
-def decode(df: DataFrame, accept_flat: bool = False, tables=None) -> DataFrame:
-    """Add ``table_name, known_table, payload_ok, op, before, after``."""
-    known = list(tables or ENTITIES)
+def _is_object(img: Column) -> Column:
+    """The image is a JSON object (its raw text parses as one)."""
+    return F.startswith(F.trim(img), F.lit("{")) & F.try_parse_json(img).isNotNull()
+
+
+def decode(df: DataFrame, accept_flat: bool = False, topics=None) -> DataFrame:
+    """Add ``table_name, known_table, payload_ok, op, before, after``.
+
+    ``topics``: the subscribed topics, compared whole (default: those of the
+    four captured tables on ``SERVER``)."""
+    known = list(topics or topics_for(SERVER, ENTITIES))
     env = F.from_json(F.col("value").cast("string"), ENVELOPE_DDL)
     out = df.select("*", env.alias("_env"), table_of_topic(F.col("topic")).alias("table_name"))
     p = F.col("_env.payload")
@@ -53,7 +64,7 @@ def decode(df: DataFrame, accept_flat: bool = False, tables=None) -> DataFrame:
         ok = p_ok
     return out.select(
         *[c for c in df.columns], "table_name",
-        F.col("table_name").isin(known).alias("known_table"),
+        F.coalesce(F.col("topic").isin(known), F.lit(False)).alias("known_table"),
         ok.alias("payload_ok"),
         F.when(ok, pick("op")).alias("op"),
         F.when(ok, pick("before")).alias("before"),

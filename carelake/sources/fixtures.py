@@ -113,6 +113,24 @@ def fx_hospital(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_patient_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_patient as a change log with several rows per key and run, an A-B-A
+    city, NULL and tied ``created_at``, deletes, and the log position."""
+    p = fx_patient(spark, sf_dir)
+    n = F.substring("patient_id", 2, 1 << 30).cast("bigint")
+    b = F.col("b")
+    again = F.explode(F.when(n % 10 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    log = p.select("*", n.alias("n"), again.alias("seq"))
+    n, seq = F.col("n"), F.col("seq")
+    city = (F.when((n % 10 == 1) & (seq == 0), F.concat("city", F.lit(" (old)")))
+            .when((n % 13 == 0) & (b == 1), F.lit("Elsewhere")).otherwise(F.col("city")))
+    return log.select(
+        "patient_id", "patient_name", "gender", "date_of_birth", city.alias("city"),
+        F.when((n % 23 == 0) & (b == 1), F.lit(None).cast("bigint")).otherwise(F.col("created_at")).alias("created_at"),
+        "b", "run_ts", (n * 10 + b * 2 + seq).alias("position"),
+        F.when((n % 19 == 3) & (b == 1) | (n % 29 == 4) & (b == 2), F.lit(True)).alias("_deleted"))
+
+
 FIXTURES = {
     "appointment_events": fx_event,
     "patient": fx_patient,
@@ -157,6 +175,38 @@ def fx_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_entity_log(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Change rows of an entity table with ``position`` and ``_deleted``."""
+    if name == "patient":
+        return fx_patient_log(spark, sf_dir)
+    key = F.substring(f"{name}_id", 2, 1 << 30).cast("bigint")
+    return fx_entity(spark, sf_dir, name).select("*", (key * 10 + F.col("b") * 2).alias("position"),
+                                                 F.lit(None).cast("boolean").alias("_deleted"))
+
+
+def fx_entity_envelope(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """fx_entity_log as change-event JSON: ``r`` at the first run, then ``u``, ``d`` for deletes.
+
+    Every image carries a field that the registry does not know (``note``)."""
+    from ..registry import WIRE_TYPES
+    log = fx_entity_log(spark, sf_dir, name)
+    row = F.struct(*[F.col(n) for n, _ in WIRE_TYPES[name]], F.concat(F.lit("n"), F.col("position")).alias("note"))
+    null_row = F.lit(None).cast(log.select(row.alias("x")).schema["x"].dataType)
+    op = F.when(F.col("_deleted"), "d").when(F.col("b") == 0, "r").otherwise("u")
+    payload = F.struct(op.alias("op"), F.when(F.col("_deleted"), row).otherwise(null_row).alias("before"),
+                       F.when(F.col("_deleted"), null_row).otherwise(row).alias("after"))
+    return log.select(F.lit(f"server.public.{name}").alias("topic"), "position",
+                      F.to_json(F.struct(payload.alias("payload"))).alias("value"), "b")
+
+
+def fx_changes(spark: SparkSession, sf_dir: str, b: int) -> DataFrame:
+    """The change records of load ``b``: one stream, four tables; events are dealt to the loads by position."""
+    out = fx_envelope(spark, sf_dir).where(F.col("position") % 3 == b)
+    for name in ("patient", "doctor", "hospital"):
+        out = out.unionByName(fx_entity_envelope(spark, sf_dir, name).where(F.col("b") == b).drop("b"))
+    return out
+
+
 def fx_raw(df: DataFrame, keep: tuple[str, ...] = ("b", "run_ts")) -> DataFrame:
     """A fixture as a raw semi-structured table: one variant column ``v``."""
     cols = [c for c in df.columns if c not in keep]

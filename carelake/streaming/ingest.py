@@ -2,10 +2,11 @@
 
 * ``envelopes_to_lake``  - change stream -> decode -> classify -> per-table
   date-partitioned Parquet + quarantine, in ``foreachBatch`` (empty batches
-  skipped; a replayed batch overwrites its own ``batch_id`` partition, so
-  delivery into the lake is exactly-once with the checkpoint).
-* ``lake_to_raw``        - file stream over a lake table -> raw table with a
-  VARIANT column ``v`` (file sink: exactly-once via its own log).
+  skipped; a replayed batch overwrites its own ``batch_id`` partition under
+  the date of its first attempt, so with the checkpoint each change is in the
+  lake once).
+* ``lake_to_raw``        - file stream over a lake table -> raw table with the
+  whole image in a VARIANT column ``v`` (file sink, with its own log).
 * ``current_state``      - latest row per key from a raw stream: a streaming
   ``max_by`` aggregation in update mode; every batch appends the changed
   keys to a change log partitioned by ``batch_id`` and the current state is
@@ -19,14 +20,19 @@ e.g. ``readStream.format('kafka')`` when its connector is on the classpath
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import cdc
 from ..operators.latest import latest_by_rank, order_struct
 from ..operators.staging import tiebreak_for, typed, wire_columns
-from ..registry import ENTITIES, EntitySpec, WIRE_TYPES
-from ..sinks.lake import table_path, write_lake
+from ..registry import ENTITIES, EntitySpec
+from ..sinks.lake import batch_date, table_path, write_lake
+from ..sinks.tables import if_exists
 from ..sources.envelope import decode
+from ..sources.files import list_files
 from ..functions.types import PARITY_FEE_TYPE, PATIENT_DATE_BASE
 
 ENVELOPE_FILE_SCHEMA = "topic string, position bigint, value string"
@@ -38,8 +44,8 @@ def _trigger(writer, trigger: dict | None):
 
 def envelopes_to_lake(stream: DataFrame, lake_root: str, quarantine_root: str, checkpoint: str,
                       run_date: str | None = None, accept_flat: bool = False,
-                      trigger: dict | None = None, tables=None):
-    classified = cdc.classify(decode(stream, accept_flat=accept_flat, tables=tables))
+                      trigger: dict | None = None, tables=None, topics=None):
+    classified = cdc.classify(decode(stream, accept_flat=accept_flat, topics=topics))
     names = list(tables or ENTITIES)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
@@ -47,7 +53,7 @@ def envelopes_to_lake(stream: DataFrame, lake_root: str, quarantine_root: str, c
             return
         batch.persist()
         try:
-            date = run_date or F.current_date()
+            date = batch_date(batch.sparkSession, lake_root, batch_id, F.lit(run_date) if run_date else F.current_date())
             present = {r[0] for r in batch.where(F.col("kind") != "reject")
                        .select("table_name").distinct().collect()}       # <= number of tables
             for t in names:
@@ -69,8 +75,7 @@ def lake_to_raw(spark: SparkSession, lake_root: str, table: str, raw_root: str,
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     src = r.parquet(table_path(lake_root, table))
-    cols = [n for n, _ in WIRE_TYPES[table]]
-    raw = src.select(F.to_variant_object(F.struct(*cols)).alias("v"), "_deleted", "position",
+    raw = src.select(F.parse_json("image").alias("v"), "_deleted", "position",
                      F.col("_metadata.file_path").alias("_file"), F.current_timestamp().alias("_loaded_at"))
     w = (raw.writeStream.format("parquet").option("path", table_path(raw_root, table))
          .option("checkpointLocation", checkpoint).outputMode("append"))
@@ -133,9 +138,23 @@ def compact_state(spark: SparkSession, log_path: str, spec: EntitySpec, base_roo
 
 
 def await_or_stop(query, timeout_s: float) -> bool:
-    """Bounded wait (the sensor's poke-until-limit): True when the stream
-    finished by itself, False when the limit was reached and it was stopped."""
+    """Bounded wait: True when the stream finished by itself, False when the
+    limit was reached and it was stopped."""
     done = query.awaitTermination(timeout_s)
     if not done:
         query.stop()
     return bool(done)
+
+
+def wait_for_file(spark: SparkSession, root: str, matches: Callable[[DataFrame], DataFrame], timeout_s: float,
+                  poke_s: float = 30.0) -> bool:
+    """Look for a matching file every ``poke_s`` seconds; True as soon as there is one, False at the limit."""
+    end = time.monotonic() + timeout_s
+    while True:
+        listing = if_exists(lambda: list_files(spark, root))
+        if listing is not None and matches(listing).limit(1).count():
+            return True
+        left = end - time.monotonic()
+        if left <= 0:
+            return False
+        time.sleep(min(poke_s, left))

@@ -60,6 +60,17 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
     assert not (tmp_path / "lake").exists()
 
 
+def test_batch_replayed_after_midnight_stays_one_copy(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    rows = cdc.unified(cdc.classify(decode(fx.fx_envelope(spark, SF_SMALL))), "appointment_events").drop("table_name")
+    for today in ("2024-01-21", "2024-01-22"):
+        date = lakesink.batch_date(spark, lake, 7, F.lit(today))
+        lakesink.write_lake(rows, lake, "appointment_events", date, batch_id=7)
+    back = lakesink.read_lake_table(spark, lake, "appointment_events", with_batch=True)
+    assert back.count() == rows.count()
+    assert [str(r[0]) for r in back.select("date").distinct().collect()] == ["2024-01-21"]
+
+
 def test_compacted_state_reads_the_same(spark, tmp_path):
     raw = fx.fx_raw(fx.fx_event(spark, SF_SMALL))
     n = F.substring(F.try_variant_get("v", "$.event_id", "string"), 2, 10).cast("bigint")

@@ -149,11 +149,16 @@ def test_t14_flat_and_wrapped_envelopes(spark):
         ("s.public.hospital", 4, '{"payload": {"op": "c", "after": {}}}'),
         ("s.public.other", 5, '{"payload": {"op": "c", "after": {"x": 1}}}'),
         ("s.public.hospital", 6, None),
+        ("rogue.audit.hospital", 7, '{"payload": {"op": "c", "after": {"hospital_id": "H7"}}}'),
+        ("s.public.hospital", 8, '{"payload": {"op": "c", "after": "junk"}}'),
+        ("s.public.hospital", 9, '{"payload": {"op": "d", "before": [1]}}'),
     ], "topic string, position bigint, value string")
-    strict = {r["position"]: (r["kind"], r["reason"]) for r in cdc.classify(decode(env)).collect()}
+    topics = ["s.public.hospital"]
+    strict = {r["position"]: (r["kind"], r["reason"]) for r in cdc.classify(decode(env, topics=topics)).collect()}
     assert strict == {1: ("upsert", None), 2: ("reject", "no_payload"), 3: ("delete", None),
-                      4: ("reject", "invalid_op"), 5: ("reject", "unknown_topic"), 6: ("reject", "tombstone")}
-    flat = {r["position"]: r["kind"] for r in cdc.classify(decode(env, accept_flat=True)).collect()}
+                      4: ("reject", "invalid_op"), 5: ("reject", "unknown_topic"), 6: ("reject", "tombstone"),
+                      7: ("reject", "unknown_topic"), 8: ("reject", "invalid_image"), 9: ("reject", "invalid_image")}
+    flat = {r["position"]: r["kind"] for r in cdc.classify(decode(env, accept_flat=True, topics=topics)).collect()}
     assert flat[2] == "upsert"
 
 
@@ -174,12 +179,15 @@ def test_t16_share_rounds_half_even(spark):
 def test_t17_ledger_prevents_reloads(spark, tmp_path):
     root = str(tmp_path / "in")
     spark.range(5).write.parquet(root + "/t/date=2024-01-01")
-    first = lakefiles.read_lake(spark, root)
-    ledger = lakefiles.files_of(first)
-    assert lakefiles.new_files(lakefiles.read_lake(spark, root), ledger).count() == 0
-    spark.range(3).write.mode("append").parquet(root + "/t/date=2024-01-02")
-    (tmp_path / "in" / "t" / "junk.parquet").write_bytes(b"not parquet")   # corrupt file is skipped
-    assert lakefiles.new_files(lakefiles.read_lake(spark, root), ledger).count() == 3
+    ledger = lakefiles.list_files(spark, root)
+    ledger.write.parquet(str(tmp_path / "ledger"))
+    ledger = spark.read.parquet(str(tmp_path / "ledger"))
+    assert lakefiles.new_files(lakefiles.list_files(spark, root), ledger).count() == 0
+    spark.range(3).coalesce(1).write.mode("append").parquet(root + "/t/date=2024-01-02")
+    new = lakefiles.new_files(lakefiles.list_files(spark, root), ledger)
+    assert new.count() == 1 and "date=2024-01-02" in new.first()["path"]
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert "content" not in plan.split("Relation")[0] and "parquet" not in plan.split("binaryFile")[0].lower()
 
 
 def test_prefix_vs_folder_routing(spark):
@@ -222,6 +230,11 @@ def test_sensor_wait_is_bounded(spark, tmp_path):
     q = s.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "chk")) \
         .trigger(processingTime="1 second").start()
     assert ingest.await_or_stop(q, 2) is False and not q.isActive
+    seen = lambda files: files.where(F.col("path").contains("patient_"))
+    assert ingest.wait_for_file(spark, str(tmp_path / "none"), seen, 0.1, 0.1) is False
+    assert ingest.wait_for_file(spark, str(src), seen, 0.1, 0.1) is False
+    spark.range(1).write.parquet(str(src / "patient_1.parquet"))
+    assert ingest.wait_for_file(spark, str(src), seen, 60) is True        # at once, not at the limit
 
 
 def test_kafka_source_is_configured_not_faked(spark):
@@ -232,6 +245,14 @@ def test_kafka_source_is_configured_not_faked(spark):
         kafka.change_stream(spark, "localhost:9092", ["server.public.patient"])
 
 
+def raw_rows(df):
+    """Typed change rows as the raw table keeps them."""
+    cols = [c for c in df.columns if c not in ("b", "position", "_deleted", "run_ts")]
+    more = {"position": F.lit(None).cast("bigint"), "_deleted": F.lit(None).cast("boolean")}
+    return df.withColumns({k: v for k, v in more.items() if k not in df.columns}).select(
+        F.to_variant_object(F.struct(*cols)).alias("v"), "_deleted", F.col("position").cast("bigint"), "b")
+
+
 def test_t9_daily_job_delete_policies(spark, tmp_path):
     from carelake.plans import daily_job
     cols = HOSP + ", _deleted boolean"
@@ -241,7 +262,7 @@ def test_t9_daily_job_delete_policies(spark, tmp_path):
     got = {}
     for policy in ("ignore", "drop", "close"):
         root = str(tmp_path / policy)
-        spark.createDataFrame(rows, cols).write.partitionBy("b").parquet(root + "/raw/hospital")
+        raw_rows(spark.createDataFrame(rows, cols)).write.partitionBy("b").parquet(root + "/raw/hospital")
         daily_job.snapshot_runs(spark, root, runs, deletes=policy, entities=("hospital",))
         snap = daily_job.read_snapshot(spark, root, "hospital").where("hospital_id = 'H1'").collect()
         got[policy] = [(r["dbt_valid_to"] is None) for r in snap]
