@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .sizing import cluster_conf
+
 # Session settings every job relies on.  Time zone UTC makes epoch
 # conversions and the text form of timestamps engine-independent; AQE picks
 # broadcast vs. sort-merge from runtime sizes and splits skewed join
@@ -40,11 +42,15 @@ MEASURED_BROADCAST_BYTES = 10 << 20
 
 def build_session(master: str | None = None, app: str = "carelake",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, volume: tuple[int, int, int] | None = None) -> SparkSession:
+    """``volume`` = (input bytes, executors, cores each) derives split size,
+    shuffle partitions, skew and broadcast bounds (``sizing.cluster_conf``)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    if volume:
+        conf.update(cluster_conf(*volume))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

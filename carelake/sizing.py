@@ -35,7 +35,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_mb << 20),
         # a side is broadcast only when its measured size is under this bound
-        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_mb << 20),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_mb << 20),
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.session.timeZone": "UTC",

@@ -13,7 +13,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from carelake.session import build_session
-    s = build_session("local[4]", app="carelake-tests", shuffle_partitions=8,
+    s = build_session("local[4]", app="carelake-tests", shuffle_partitions=4,
                       extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="carelake-test-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
