@@ -100,21 +100,22 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     carry = [c for c in (carry if carry is not None else docs.columns) if c.lower() not in OWN]
     measured = docs.select(*[F.col(f"`{c}`") for c in carry if c not in ("source", "doc_id")], "doc_id", "source",
                            word_count(F.col("text")).alias("size"),
-                           hash60(F.lit(seed), F.col("doc_id")).alias("h"))
+                           hash60(F.lit(seed), F.col("doc_id")).alias("_mix_h"))
     narrow = materialise(measured.select(*[c for c in measured.columns if c != "text"]), "mix-sizes")
-    sizes = narrow.select("source", "size", "h")
+    sizes = narrow.select("source", "size", F.col("_mix_h").alias("h"))
     goals = materialise(source_targets(sizes, weights, share, cap), "mix-targets")
-    at = thresholds(sizes, goals)
-    a, g = at.alias("a"), goals.alias("g")
+    a, g = thresholds(sizes, goals).alias("a"), goals.alias("g")
     plan = g.join(a, F.col("g.source").eqNullSafe(F.col("a.source")), "left").select(
-        F.col("g.source").alias("_s"), "source_size", "target", "at", "wanting", "tied",
+        F.col("g.source").alias("_mix_s"), "source_size", "target", F.col("at").alias("_mix_at"),
+        F.col("wanting").alias("_mix_wanting"), F.col("tied").alias("_mix_tied"),
         F.when(F.col("source_size") > 0, F.expr("cast(round(target) as bigint) div source_size"))
         .otherwise(F.lit(0)).alias("copies"))
     plan = materialise(plan, "mix-plan")
     rows = measured if "text" in carry else narrow
-    joined = rows.join(plan, rows["source"].eqNullSafe(plan["_s"]))
-    extra = (F.when(F.col("h") < F.col("at"), F.col("size"))
-             .when(F.col("h") == F.col("at"), F.expr("cast(size * cast(wanting as decimal(20,0)) div tied as bigint)"))
+    joined = rows.join(plan, rows["source"].eqNullSafe(plan["_mix_s"]))
+    hashed, at = F.col("_mix_h"), F.col("_mix_at")
+    part = F.expr("cast(size * cast(_mix_wanting as decimal(20,0)) div _mix_tied as bigint)")
+    extra = (F.when(hashed < at, F.col("size")).when(hashed == at, part)
              .otherwise(F.lit(0)))
     taken = F.coalesce(F.col("copies") * F.col("size") + extra, F.lit(0)).cast("long")
     order = [c for c in carry] + [c for c in ("doc_id", "source") if c not in carry]

@@ -52,13 +52,13 @@ def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFra
 
 
 def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(host, rules) for distinct hosts that some rule fits, through the host's suffixes."""
+    """(host, _rules) for distinct hosts that some rule fits, through the host's suffixes."""
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     each = hosts.filter("host <> ''").select("host", F.explode(suffixes).alias("rule_host"))
     return (each.join(rules, "rule_host").groupBy("host")
-            .agg(F.collect_set(F.struct("rule_path", "rule", "verdict")).alias("rules")))
+            .agg(F.collect_set(F.struct("rule_path", "rule", "verdict")).alias("_rules")))
 
 
 def longest_rule(path: Column, rules: Column) -> Column:
@@ -73,8 +73,8 @@ def _ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``urls`` (url, ...) with host, path, rule and the rule's verdict."""
     split = urls.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     by_host = materialise(rules_by_host(split.select("host").distinct(), rules), "url-rules")
-    hit = split.join(by_host, "host", "left").withColumn("_hit", longest_rule(F.col("path"), F.col("rules")))
-    return hit.withColumns({"rule": F.col("_hit.rule"), "verdict": F.col("_hit.verdict")}).drop("rules", "_hit")
+    hit = split.join(by_host, "host", "left").withColumn("_hit", longest_rule(F.col("path"), F.col("_rules")))
+    return hit.withColumns({"rule": F.col("_hit.rule"), "verdict": F.col("_hit.verdict")}).drop("_rules", "_hit")
 
 
 def _absolute(target: Column, url: Column) -> Column:

@@ -58,8 +58,8 @@ def test_mix_empty(docs_of):
 # -- urls --------------------------------------------------------------------------------
 
 def judge(spark, rows):
-    df = spark.createDataFrame([(i, u, h, "mine") for i, (u, h) in enumerate(rows)],
-                               "page_id long, url string, html string, verdict string")
+    df = spark.createDataFrame([(i, u, h, "mine", "own") for i, (u, h) in enumerate(rows)],
+                               "page_id long, url string, html string, verdict string, rules string")
     return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(df).collect()}
 
 
