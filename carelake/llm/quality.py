@@ -22,17 +22,21 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, UPPER, hash60, materialise
+from .common import hash60, materialise
 
 MAX_TRAIN, THRESHOLD = 12_000, 0.3
 TREES, DEPTH, SAMPLE, CUTS = 60, 3, 2000, 24
 PENALTY = 1e-4
-SYMBOLS, DIGITS, STOPS = "|%$#&*!@^~=+<>{}[]\\/_", "0123456789", ".,;:?'\"()-"
+#: Character classes, as the inside of a regular expression's brackets.
+UPPERS, LOWERS, DIGITS = "A-Z", "a-z", "0-9"
+SYMBOLS, STOPS = r"|%$#&*!@^~=+<>{}\[\]\\/_", r".,;:?'\"()\-"
+#: A word that the next word repeats.
+TWICE = r"(?<!\S)(\S+)\s+(?=\1(?!\S))"
 
 
 def _share(text: Column, chars: str, n: Column) -> Column:
-    """Share of the characters of ``text`` that are in ``chars``."""
-    return (n - F.length(F.translate(text, chars, ""))) / F.greatest(n, F.lit(1))
+    """Share of the characters of ``text`` that are in the class ``chars``."""
+    return F.length(F.regexp_replace(text, f"[^{chars}]+", "")) / F.greatest(n, F.lit(1))
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -42,15 +46,13 @@ def statistics(text: Column) -> dict[str, Column]:
     words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     count = F.greatest(F.size(words), F.lit(1))
     lines = F.split(t, "\n", -1)
-    twice = F.size(F.filter(F.arrays_zip(F.slice(words, 2, count).alias("b"), words.alias("a")),
-                            lambda p: p["a"] == p["b"]))
     return {
         "words": F.log1p(F.size(words).cast("double")),
-        "word_length": F.length(F.translate(t, " \t\r\n", "")) / count,
-        "upper": _share(t, UPPER, n), "lower": _share(t, LOWER, n), "digits": _share(t, DIGITS, n),
+        "word_length": n / count,
+        "upper": _share(t, UPPERS, n), "lower": _share(t, LOWERS, n), "digits": _share(t, DIGITS, n),
         "symbols": _share(t, SYMBOLS, n), "stops": _share(t, STOPS, n),
         "distinct": F.size(F.array_distinct(words)) / count,
-        "twice": twice / count,
+        "twice": F.regexp_count(t, F.lit(TWICE)) / count,
         "line_words": F.size(words) / F.size(lines),
         "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
     }
@@ -148,37 +150,46 @@ class RuleEnsemble:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def learn(stats: DataFrame, labels: DataFrame, names: list[str], max_train: int = MAX_TRAIN) -> RuleEnsemble:
-    """Fit on the labelled rows of ``stats`` (doc_id and the statistics) that are not held out."""
-    known = labels.filter("quality is not null and doc_id is not null").select("doc_id", F.col("quality").alias("_y"))
-    rows = (stats.filter(~held_out(F.col("doc_id"))).join(known, "doc_id")
-            .orderBy(hash60(F.lit("train"), F.col("doc_id")), "doc_id", *names, "_y").limit(max_train))
-    pdf = rows.select(*names, "_y").toPandas()                         # max_train rows of numbers
-    return RuleEnsemble.fit(names, pdf[names].to_numpy(np.float64), (pdf["_y"].to_numpy() > 0).astype(np.int64))
-
+def measured(docs: DataFrame, carry: list[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """(``carry`` and the statistics of every row, written once; the statistics by name).
 
-def measured(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(doc_id and the statistics of every row, written once; the statistics' names)."""
+    Fitting and scoring read the numbers only."""
     stats = statistics(F.col("text"))
-    table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[c.alias(k) for k, c in stats.items()])
-    return materialise(table, "text-statistics"), list(stats)
+    table = docs.select(*[F.col(f"`{c}`") for c in carry], *[c.alias(f"_q_{k}") for k, c in stats.items()])
+    return materialise(table, "text-statistics"), {k: F.col(f"_q_{k}") for k in stats}
+
+
+def learn(table: DataFrame, stats: dict[str, Column], labels: DataFrame, max_train: int = MAX_TRAIN) -> RuleEnsemble:
+    """Fit on the labelled rows of ``table`` that are not held out."""
+    names = list(stats)
+    known = labels.filter("quality is not null and doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("_id"), F.col("quality").alias("_y"))
+    rows = (table.select(F.col("doc_id").cast("long").alias("_id"), *[c.alias(k) for k, c in stats.items()])
+            .filter(~held_out(F.col("_id"))).join(known, "_id")
+            .orderBy(hash60(F.lit("train"), F.col("_id")), "_id", *names, "_y").limit(max_train))
+    pdf = rows.select(*names, "_y").toPandas()                         # max_train rows of numbers
+    return RuleEnsemble.fit(names, pdf[names].to_numpy(np.float64), (pdf["_y"].to_numpy() > 0).astype(np.int64))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
                    threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``."""
-    table, names = measured(docs)
-    model = learn(table, labels, names, max_train)
-    score = model.column({k: F.col(k) for k in names})
-    out = table.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    table, stats = measured(docs, ["doc_id"])
+    score = learn(table, stats, labels, max_train).column(stats)
+    out = table.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"),
+                       score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with their columns."""
-    table, names = measured(docs.select("doc_id", "text"))
-    model = learn(table, labels, names, max_train)
-    stats = statistics(F.col("text"))
-    named = docs.withColumns({f"_q_{k}": c for k, c in stats.items()})
-    good = named.filter(model.column({k: F.col(f"_q_{k}") for k in names}) >= threshold)
+    """The rows of ``docs`` that the classifier does not reject, with their columns.
+
+    Fitting reads a written table of numbers; the texts are then measured once
+    more rather than written or moved."""
+    table, stats = measured(docs, ["doc_id"])
+    score = learn(table, stats, labels, max_train).column(stats)
+    # A column drawn at random keeps the filter above the projection: pushed below it,
+    # every rule would measure the text anew.
+    again = docs.select("*", *[c.alias(f"_q_{k}") for k, c in statistics(F.col("text")).items()], F.rand().alias("_q_"))
+    good = again.filter((score >= threshold) & (F.col("_q_") >= 0))
     return good.select(*[F.col(f"`{c}`") for c in docs.columns])
