@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import joins_by_file_size
 from . import oracle_sql as sql
 from .chat import Template, format_chats, loss_text, read_back
 from .common import table
@@ -24,7 +25,10 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        REGISTRY[name] = (fn, oracle)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(joins_by_file_size(spark), sf_dir)
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = (run, oracle)
         return fn
     return deco
 
