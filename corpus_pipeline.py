@@ -23,7 +23,7 @@ from carelake.llm.lines import line_dedup
 from carelake.llm.mixing import mix
 from carelake.llm.neardup import near_dup
 from carelake.llm.quality import keep_good
-from carelake.session import configure
+from carelake.session import configure, joins_by_file_size
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a passage of a benchmark item."""
     configure(spark)
     hit = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    hit = materialise(hit.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct(), "leaking")
-    same = F.xxhash64("text").eqNullSafe(F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    hit = materialise(hit.select(F.col("doc_id").alias("_leak_id"), F.col("key").alias("_leak_key")).distinct(), "leaking")
+    same = F.xxhash64("text").eqNullSafe(F.col("_leak_key")) & F.col("doc_id").eqNullSafe(F.col("_leak_id"))
     return docs.join(hit, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -72,7 +72,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply STAGES to documents; what a stage returns is written before the next reads it."""
-    configure(spark)
+    joins_by_file_size(configure(spark))
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
