@@ -11,6 +11,8 @@ from ..session import scratch_path
 
 #: A word for sizes and shingles: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of rows that are handed to a Python worker at once.
+BATCH_BYTES = 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,6 +38,8 @@ def importable(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    # long texts and packed rows: a batch is bounded by its bytes, not by 10,000 rows
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
