@@ -116,8 +116,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                                                   pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  ["doc_id", "shingles"])
                 done += len(sets)
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(
-        wanted.select("doc_id"), "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    picked = texts.join(wanted.select("doc_id").hint("merge"), "doc_id", "left_semi")     # one plan at every size
     return map_batches(picked, run, "doc_id long, shingles binary")
 
 
