@@ -99,3 +99,21 @@ def line_cut(docs, min_words):
             gone[i] |= set(range(p, last + 1))
     return {i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i])
             for i, t in docs}
+
+
+def whole_line_cut(docs, min_words):
+    """Like line_cut, from the definition: lines of any run of ``min_words`` words or more that stands at an earlier place."""
+    first, places, gone = {}, [], defaultdict(set)
+    for i, t in sorted((d for d in docs if d[1] is not None)):
+        full = [(p, x.strip(" \t\r"), len(SPACED.findall(x))) for p, x in enumerate(t.split("\n")) if SPACED.search(x)]
+        for a in range(len(full)):
+            for b in range(a + 1, len(full) + 1):
+                if sum(n for _, _, n in full[a:b]) >= min_words:
+                    run = tuple(x for _, x, _ in full[a:b])
+                    first.setdefault(run, (i, a))
+                    places.append((i, a, run, range(full[a][0], full[b - 1][0] + 1)))
+    for i, a, run, at in places:
+        if first[run] < (i, a):
+            gone[i] |= set(at)
+    return {i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i])
+            for i, t in docs}

@@ -139,6 +139,23 @@ def test_lines_odd_rows(docs_of):
     assert lines.line_dedup(docs_of([])).collect() == []
 
 
+def test_whole_runs_by_brute_force(docs_of):
+    """A run goes with the lines behind its last window, at a document's end and before other lines."""
+    r = random.Random(7)
+    pool = [prose(r.choice([1, 2, 5, 9, 14, 40]), 350 + i) for i in range(30)] + ["", " \t"]
+    rows = [(i, "\n".join(r.choice(pool) + r.choice(["", " ", "\r"]) for _ in range(r.randint(0, 14))), "s") for i in range(40)]
+    long, short, tail = prose(100, 400), prose(8, 401), [prose(1, 402 + i) for i in range(29)]
+    rows += [(100, f"{long}\n{short}", "s"), (101, f"{long}\n{short}", "s"), (102, f"a\n{long}\n\n{short} \nb c", "s"),
+             (103, "\n".join([long] + tail), "s"), (104, "\n".join([long] + tail), "s"), (105, "\n".join([long] + tail[:9] + ["z"]), "s"),
+             (106, f"{short}\n{long}", "s"), (107, "\n".join(["a b c"] * 50), "s"), (108, None, "s"), (109, "", "s"), (110, short, None)]
+    for words in (1, 12, 30):
+        got = lines.line_dedup(docs_of(rows), words, extend=True).collect()
+        assert {x.doc_id: x.text for x in got} == brute.whole_line_cut([x[:2] for x in rows], words)
+        assert all(x.n_runs <= x.n_removed <= x.n_lines for x in got)
+    assert {x.doc_id: x.text for x in got}[101] == "" and {x.doc_id: x.text for x in got}[102] == "a\nb c"
+    assert lines.line_dedup(docs_of([]), extend=True).collect() == []
+
+
 # -- near duplicates ---------------------------------------------------------------------
 
 def vary(text, share, seed):
