@@ -7,8 +7,14 @@ refresh target that their html names, classes are the connected components of th
 links, a blocked member blocks its aliases, and an explicit allow in the class goes
 before a block.  Without either the verdict is allow.
 
+Targets are resolved as a browser does: against the page's url or its first ``base`` tag, also
+those that are relative to its folder, start with ``..`` or are a query only.  A node
+is a url with scheme and host in lower case, without ``.`` and ``..`` segments and without
+fragment, so all spellings of a page's url share its class.
+
 Defined cases: null url, or none with ``://``: empty host and path, no rule, allow
-(such a row takes no part in links); null html has no links; repeated urls are one
+(such a row takes no part in links); null html has no links; targets of other schemes
+(``mailto:``) are no links; an empty path and ``/`` are two nodes, as for rules; repeated urls are one
 node; an empty table gives an empty result; further columns are kept, those called
 host, path, rule or verdict are replaced.
 """
@@ -25,7 +31,9 @@ from .components import components
 #: Rules of the registered query: (host and path, verdict).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block"))
-CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical["']?[^>]*>"""
+CANONICAL = (r"""(?i)<link\b[^>]*(?<![\w-])rel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|"""
+             r"""'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))[^>]*>""")
+BASE = r"""(?i)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh["']?[^>]*>"""
 HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
 TARGET = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""
@@ -77,24 +85,56 @@ def _ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return hit.withColumns({"rule": F.col("_hit.rule"), "verdict": F.col("_hit.verdict")}).drop("_rules", "_hit")
 
 
-def _absolute(target: Column, url: Column) -> Column:
-    """``target`` as an absolute url; null unless it has a scheme or starts at the host's root."""
-    root = F.concat(F.substring_index(url, "://", 1), F.lit("://"), host_of(url))
-    target = F.replace(target, F.lit("&amp;"), F.lit("&"))
-    return (F.when(F.contains(target, F.lit("://")), target)
-            .when(F.startswith(target, F.lit("//")), F.concat(F.substring_index(url, "://", 1), F.lit(":"), target))
-            .when(F.startswith(target, F.lit("/")), F.concat(root, target)))
+def _without_dots(path: Column) -> Column:
+    """``path`` less its ``.`` and ``..`` segments; empty stays empty."""
+    segments = F.split(F.regexp_replace(path, r"/(\.\.?)$", "/$1/"), "/", -1)
+    left = F.aggregate(F.slice(segments, 2, F.size(segments)), F.slice(segments, 1, 1), lambda done, x: (
+        F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(x)))))
+    return F.when(F.contains(path, F.lit("/.")), F.array_join(left, "/")).otherwise(path)
+
+
+def node_of(url: Column) -> Column:
+    """``url`` as a node: lower-case scheme and host, no dot segments, no fragment; null without ``://``."""
+    scheme = F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)
+    query = F.regexp_extract(_after_scheme(url), r"(?s)^[^?#]*(\?[^#]*)", 1)
+    return F.when(F.contains(url, F.lit("://")),
+                  F.concat(scheme, F.lit("://"), host_of(url), _without_dots(path_of(url)), query))
+
+
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` bound to a variable, so that nested uses do not multiply the expression."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _absolute(target: Column, base: Column) -> Column:
+    """The node that variable ``target`` names on a page or base tag at ``base``; null if empty or of a scheme without ``//``."""
+    scheme = F.concat(F.substring_index(base, "://", 1), F.lit(":"))
+    root = F.concat(scheme, F.lit("//"), host_of(base))
+    folder = F.regexp_replace(path_of(base), r"(?s)[^/]*$", "")
+    joined = (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+              .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (target == ""), F.lit(None))
+              .when(F.startswith(target, F.lit("//")), F.concat(scheme, target))
+              .when(F.startswith(target, F.lit("/")), F.concat(root, target))
+              .when(F.startswith(target, F.lit("?")), F.concat(root, path_of(base), target))
+              .when(F.startswith(target, F.lit("#")), base)
+              .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
+    return _once(joined, node_of)
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
-    """(u, v): each page's url and the canonical or refresh target that its html names."""
+    """(u, v): the node of each page and of the canonical or refresh target that its html names."""
     html, url = F.col("html"), F.col("url")
     tags = F.concat(F.transform(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0)),
                                 lambda t: F.regexp_extract(t, HREF, 1)),
                     F.transform(F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0)),
                                 lambda t: F.regexp_extract(t, TARGET, 1)))
-    named = pages.filter(F.contains(url, F.lit("://"))).select(url.alias("u"), F.explode(tags).alias("t"))
-    return named.select("u", _absolute(F.col("t"), F.col("u")).alias("v")).filter("v is not null and u <> v").distinct()
+    tags = F.transform(tags, lambda t: F.replace(t, F.lit("&amp;"), F.lit("&")))
+    own = _once(F.regexp_extract(html, BASE, 1), lambda t: F.coalesce(_absolute(t, url), url))
+    named = pages.filter(F.contains(url, F.lit("://"))).select(
+        "url", _once(own, lambda b: F.transform(tags, lambda t: _absolute(t, b))).alias("vs"))
+    links = named.select("url", F.explode("vs").alias("v")).select(node_of(F.col("url")).alias("u"), "v")
+    return links.filter("v is not null and u <> v").distinct()
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
@@ -107,8 +147,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
         nodes.groupBy("component").agg(F.max(F.col("verdict") == "block").alias("b"),
                                        F.max(F.col("verdict") == "allow").alias("a"))
         .filter("b and not coalesce(a, false)").select("component"), "url-blocked")
-    blocked = materialise(classes.join(class_verdict, "component").select(F.col("node").alias("url"),
+    blocked = materialise(classes.join(class_verdict, "component").select(F.col("node").alias("_url_node"),
                                                                           F.lit(True).alias("_blocked")), "url-aliases")
-    ruled = _ruled(without(pages, "host", "path", "rule", "verdict"), rule_df).join(blocked, "url", "left")
+    ruled = _ruled(without(pages, "host", "path", "rule", "verdict"), rule_df)
+    ruled = ruled.withColumn("_url_node", node_of(F.col("url"))).join(blocked, "_url_node", "left")
     verdict = F.coalesce("verdict", F.when(F.col("_blocked"), F.lit("block")).otherwise(F.lit("allow")))
-    return ruled.withColumn("verdict", verdict).drop("_blocked")
+    return ruled.withColumn("verdict", verdict).drop("_blocked", "_url_node")

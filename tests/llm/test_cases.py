@@ -86,6 +86,21 @@ def test_url_aliases(spark):
     assert [got[i][3] for i in range(9)] == ["block", "block", "block", "block", "allow", "allow", "allow", "allow", "block"]
 
 
+def test_url_targets_resolved(spark):
+    """Every page but those that name no url of x.com/de/ is an alias of a blocked one."""
+    canon, fresh = "<link rel=%s href='%s'>", '<meta http-equiv=refresh content="0; url=%s">'
+    cases = [("http://x.com/de/a/1", ""), ("http://x.com/a/2", fresh % "../de/z"), ("http://x.com/b/3?u=/c/", fresh % "./../de/./y"),
+             ("http://h.net/d/p", fresh % "page2.html"), ("http://h.net/d/page2.html", canon % ("canonical", "//x.com/de/1")),
+             ("http://h.net/q?id=2", fresh % "?id=3&amp;n=1"), ("HTTP://H.net/q?id=3&n=1#top", canon % ('"nofollow canonical"', "http://X.COM/de/2#f")),
+             ("http://h.net", fresh % "root"), ("http://H.NET/e/../root", canon % ("'canonical nofollow'", "http://x.com/fr/../de/3")),
+             ("http://h.net/base", "<base href='/f/'>" + fresh % "g"), ("http://h.net/f/g", fresh % "http://x.com/de/4"),
+             ("http://h.net/login", fresh % "/go?next=http://x.com/de/5"), ("http://h.net/go?next=http://x.com/de/5", ""),
+             ("http://h.net/m", canon % ("canonical", "mailto:x@x.com")), ("http://h.net/n", canon % ("canonicals", "http://x.com/de/6")),
+             ("http://h.net/o", fresh % "#de"), ("http://h.net/Root", ""), ("http://h.net/r", "<base href='http://x.com/de/'><link rel=canonical>")]
+    got = judge(spark, [("http://w.net/", None)] + cases)
+    assert [i for i, r in sorted(got.items()) if r[3] == "block"] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+
+
 def test_urls_empty(spark):
     assert judge(spark, []) == {}
 
