@@ -4,11 +4,12 @@
    class, and only the class's least doc_id goes on (copies are never paired).
 2. ``bands * rows`` multiply-shift hash minima make a signature; ``rows`` minima at a
    time make a band key.  A pair at the threshold shares no band with probability
-   ``(1 - similarity**rows)**bands``: 4e-7 with the defaults.
+   ``(1 - similarity**rows)**bands``, and bands are as many as bring that under 4.4e-7: 25 for
+   0.85 (4.3e-7), 37 for 0.80 (4.2e-7).
 3. Stars: each band bucket has a pivot, the member with the most company in all its buckets
    (of a group of copies that is the text they were made from), and every member is
    paired with the pivots of its buckets only.  Pairs whose signatures agree in too few places for
-   the threshold (under a chance of 1e-9 for a true link) go; the others are
+   the threshold (a chance of 2e-9 for a true link at 0.85, 4e-10 at 0.80) go; the others are
    confirmed on the full sets.  This joins almost everything that belongs together.
 4. The rest: members of a pivot's buckets that are still in different components are
    compared on their full sets inside tasks, in blocks of bounded size.  A task counts
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil, log, log1p
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,9 @@ from . import textkernel as tk
 from .common import importable, map_batches, materialise
 from .components import components
 
-BANDS, ROWS = 25, 5
+ROWS = 5
+#: Fewest bands, and the greatest chance that a pair at the similarity asked for shares none.
+BANDS, MISS = 25, 4.4e-7
 #: Least equal signature places of a pair that goes on to the full sets, as a share of
 #: the similarity asked for: 0.76 * 0.85 * 125 = 80 places, 6.5 standard deviations below 106.
 SLACK = 0.76
@@ -45,6 +49,12 @@ SLACK = 0.76
 BLOCK_SHINGLES = 1 << 19
 
 
+def bands_for(similarity: tuple[int, int], rows: int = ROWS) -> int:
+    """The bands with which a pair at ``similarity`` shares none with a chance of MISS at most."""
+    one = (similarity[0] / similarity[1]) ** rows
+    return BANDS if one >= 1 else max(BANDS, ceil(log(MISS) / log1p(-one)))
+
+
 def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(77)
     a = rng.integers(1, 2**64 - 1, n, dtype=np.uint64) | np.uint64(1)
@@ -226,14 +236,15 @@ def links_of_rest(spokes: DataFrame, part: DataFrame | None, sets: DataFrame, nu
     return rows.groupBy("pivot", "i", "j").applyInPandas(run, "u long, v long").distinct()
 
 
-def near_dup(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), bands: int = BANDS,
+def near_dup(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), bands: int | None = None,
              rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     ``similarity`` is a fraction (numerator, denominator) of the union that the
-    intersection of two k-word shingle sets must reach.
+    intersection of two k-word shingle sets must reach; ``bands`` follow from it if not given.
     """
     num, den = similarity
+    bands = bands or bands_for(similarity, rows)
     least = int(SLACK * num / den * bands * rows)
     feats = materialise(features(docs, k, bands, rows), "nd-features")
     named = feats.filter("doc_id is not null and set_key is not null")

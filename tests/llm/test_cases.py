@@ -187,6 +187,19 @@ def test_near_by_brute_force(docs_of):
         assert got == brute.near([x[:2] for x in rows], k, *sim)
 
 
+def test_near_bands_follow_the_similarity(docs_of, monkeypatch):
+    """A pair at the threshold shares no band with a chance of 4.4e-7 at most, also at the default similarity."""
+    used = []
+    plain = neardup.features
+    monkeypatch.setattr(neardup, "features", lambda docs, k, bands, rows: used.append((bands, rows)) or plain(docs, k, bands, rows))
+    rows = docs_of([(1, "a b c d e f", "s"), (2, "a b c d e f", "s")])
+    for similarity, got in (((80, 100), neardup.near_dup(rows)), ((85, 100), neardup.near_dup(rows, 3, (85, 100)))):
+        bands, per = used.pop(0)
+        assert (1 - (similarity[0] / similarity[1]) ** per) ** bands <= 4.4e-7
+        assert {r.component_id for r in got.collect()} == {1}
+    assert neardup.bands_for((85, 100)) == neardup.bands_for((1, 1)) == 25
+
+
 def test_near_rest_in_blocks(spark, docs_of, monkeypatch):
     """Chains that no pivot sees whole, and no star at all: the rest finds every link."""
     rows = [(i, vary(prose(100, i // 20), 0.02, i), "s") for i in range(60)]
