@@ -15,6 +15,7 @@ from .exact import exact_dedup
 from .lines import line_dedup
 from .mixing import mix
 from .neardup import near_dup
+from .periods import periodic_runs, with_periodic_tails
 from .quality import quality_scores
 from .suffixes import repeated_bytes
 from .tokens import count_tokens
@@ -108,3 +109,21 @@ def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document; a tenth of the documents get a periodic tail first."""
+    found = periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    # greatest length, then smallest start, then smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.withColumn("_best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"),
+        F.col("_best.length").alias("length"), (-F.col("_best.period")).alias("period"),
+        F.expr("(1000 * _best.length) div -_best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("collapsed_sha256"))
