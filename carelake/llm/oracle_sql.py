@@ -118,3 +118,21 @@ select d.doc_id, len(ls)::bigint as n_lines, count(g.pos)::bigint as n_removed,
        sha256(coalesce(string_agg(ls[i], chr(10) order by i) filter (where g.pos is null), '')) as kept_sha256
 from d, unnest(range(1, len(ls) + 1)) as r(i) left join gone g on g.doc_id = d.doc_id and g.pos = r.i - 1
 group by d.doc_id, ls"""
+
+# every document is scored for every item that shares a term with it
+RANKED = rf"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+           from documents),
+n as (select r, doc_id, len(w)::bigint as n from d where len(w) > 0),
+total as (select count(*)::bigint as docs, sum(n)::bigint as terms from n),
+f as (select r, term, count(*)::bigint as tf from (select r, unnest(w) as term from d) group by r, term),
+q as (select item_id, term, count(*)::bigint as k from (
+        select item_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term
+        from (select distinct item_id, text from benchmark)) group by item_id, term),
+g as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+      from f, total where term in (select term from q) group by term, docs),
+s as (select item_id, r, sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::bigint as score
+      from q join g using (term) join f using (term) join n using (r), total group by item_id, r),
+o as (select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank
+      from s join n using (r) where score > 0)
+select item_id, rank::int as rank, doc_id, score from o where rank <= 20"""

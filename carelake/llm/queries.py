@@ -12,6 +12,7 @@ from .chat import Template, format_chats, loss_text, read_back
 from .common import table
 from .decontam import decontaminate
 from .exact import exact_dedup
+from .lexical import search
 from .lines import line_dedup
 from .mixing import mix
 from .neardup import near_dup
@@ -111,6 +112,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_ranked_search", sql.RANKED)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document; a tenth of the documents get a periodic tail first."""

@@ -1,9 +1,10 @@
 """Plain Python versions of the operators, for small fixtures."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -157,3 +158,25 @@ def periodic_tail(i, words):
     a = g % n
     p = 1 + (n - a) // (3 + g % 8)
     return words[:a] + [words[a + (k - a) % p] for k in range(a, n)]
+
+
+def ranked(docs, items, k):
+    """[(item_id, rank, doc_id, score)] of (doc_id, text) and (item_id, text) rows; every document is scored for every item."""
+    rows = [(i, ALNUM.findall(lower(t))) for i, t in docs]
+    rows = [(i, Counter(w), len(w)) for i, w in rows if w]
+    n_docs, n_terms = len(rows), sum(n for _, _, n in rows)
+    df = Counter(t for _, c, _ in rows for t in c)
+    wanted = defaultdict(Counter)
+    for i, t in {(i, t) for i, t in items}:
+        wanted[i].update(ALNUM.findall(lower(t)))
+    out = []
+    for item, terms in wanted.items():
+        w = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in terms}
+        scores = []
+        for i, c, n in rows:
+            m = 100 - 25 + (25 * n * n_docs) // n_terms
+            s = sum(q * w[t] * ((10**9 * c[t]) // (1000 * c[t] + 12 * m)) for t, q in terms.items() if t in c)
+            if s > 0:
+                scores.append((-s, i is None, i or 0))
+        out += [(item, r, None if null else i, -s) for r, (s, null, i) in enumerate(sorted(scores)[:k], 1)]
+    return out
