@@ -18,6 +18,7 @@ from .mixing import mix
 from .neardup import near_dup
 from .periods import periodic_runs, with_periodic_tails
 from .quality import quality_scores
+from .secretspans import KINDS, secret_spans
 from .suffixes import repeated_bytes
 from .tokens import count_tokens
 from .urls import judge_urls
@@ -118,6 +119,17 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+@query("op12_secret_scan")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: those of the fixed patterns, and all with those the random field adds."""
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    listed = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
+    base = F.filter("spans", lambda x: x["kind"].isin(*KINDS[:3]))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS[:3]],
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document; a tenth of the documents get a periodic tail first."""

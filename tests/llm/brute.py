@@ -180,3 +180,15 @@ def ranked(docs, items, k):
                 scores.append((-s, i is None, i or 0))
         out += [(item, r, None if null else i, -s) for r, (s, null, i) in enumerate(sorted(scores)[:k], 1)]
     return out
+
+
+SECRETS = (("assign", re.compile("([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"
+                                 "[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), lambda m: len(m[2]) >= 8),
+           ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 32))
+
+
+def secrets(text):
+    """[(kind, start, stop)] of the fixed patterns, by start, then kind as listed."""
+    found = [(m.start(), k, name, m.end()) for k, (name, pattern, ok) in enumerate(SECRETS)
+             for m in pattern.finditer(text or "") if ok(m)]
+    return [(name, a, b) for a, _, name, b in sorted(found)]
