@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..registry import WIRE_TYPES
 from ..sources.envelope import DELETE_OP, UPSERT_OPS, _is_object, _present, typed_image
 
+#: Why a record is a reject; the first rule it breaks.
+REASONS = ("tombstone", "no_payload", "unknown_topic", "invalid_op", "invalid_image")
+
 
 def classify(decoded: DataFrame) -> DataFrame:
     """Add ``kind`` (upsert/delete/reject), ``reason`` and the emitted image text ``image``."""

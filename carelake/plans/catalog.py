@@ -26,7 +26,7 @@ from ..sinks import lake as lakesink, tables as tablesink
 from ..sources import files as lakefiles, fixtures as fx
 from ..sources.envelope import decode
 from ..streaming import ingest
-from .oracle_sql import with_
+from .oracle_sql import IMAGES, with_
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -1088,6 +1088,81 @@ def q_end_to_end_dashboard(spark, sf):
     return page["summary"].select("*", total.alias("specialty_total"), names.alias("recent_patients"))
 
 
+def _overlapping_loads(spark, sf):
+    """Three loads, each of which also holds a part of what the one before it had: events and patients."""
+    env = fx.fx_envelope(spark, sf)
+    last = fx.table(spark, sf, "events").agg(F.max("event_id")).scalar()
+    at = F.col("position") * 10
+    events = [env.where(cond) for cond in (at <= 4 * last, (at > 3 * last) & (at <= 8 * last), at > 6 * last)]
+    pat = fx.fx_entity_envelope(spark, sf, "patient")
+    pat = pat.withColumn("position", F.shiftleft(F.col("b").cast("bigint"), 32) + F.col("position"))     # the log's order
+    return [e.unionByName(pat.where(F.col("b").between(b - 1, b)).drop("b")) for b, e in enumerate(events)]
+
+
+@query("land_overlapping_loads", with_("fx_op", "fx_patient_log") + f"""
+select load, table_name, n_rows as lake_rows, n_rows as raw_rows, n_rows as counted from (
+  select case when position * 10 <= 4 * last then 0 when position * 10 <= 8 * last then 1 else 2 end as load,
+         'appointment_events' as table_name, count(*) as n_rows
+  from fx_op, (select max(event_id) as last from events) m where {IMAGES} group by 1
+  union all select b, 'patient', count(*) from fx_patient_log group by 1) z""")
+def q_land_overlapping_loads(spark, sf):
+    """STR-05 / CDC-05 / SNK-04: loads that overlap, one of them landed twice: each change is in lake and raw once."""
+    from functools import reduce
+    from .daily_job import land, read_raw
+    root = scratch_path(spark, "landing")
+    loads = _overlapping_loads(spark, sf)
+    counted = {}
+    for b in (0, 1, 1, 2):
+        counted[b] = land(spark, loads[b], root, b, LAKE_DATE)
+    rows = [(b, t, counted[b][t]) for b in range(3) for t in ("appointment_events", "patient")]
+    out = []
+    for t in ("appointment_events", "patient"):
+        in_lake = lakesink.read_lake_table(spark, root + "/lake", t, with_batch=True)
+        in_raw = reduce(lambda x, y: x.unionByName(y), [read_raw(spark, root, t, b) for b in range(3)])
+        lake_n = in_lake.groupBy(F.col("batch_id").cast("int").alias("load")).agg(F.count(F.lit(1)).alias("lake_rows"))
+        raw_n = in_raw.groupBy(F.col("b").alias("load")).agg(F.count("v").alias("raw_rows"))
+        out.append(lake_n.join(raw_n, "load", "full").withColumn("table_name", F.lit(t)))
+    seen = spark.createDataFrame(rows, "load int, table_name string, counted bigint")
+    return out[0].unionByName(out[1]).join(seen, ["load", "table_name"], "left").select(
+        "load", "table_name", "lake_rows", "raw_rows", "counted")
+
+
+_LOG_UPTO = lambda phase, b: f"""
+select '{phase}' as phase, * exclude (date_of_birth, dbt_valid_to), cast(date_of_birth as varchar) as date_of_birth,
+       case when dbt_valid_to <= (select run_ts from run where b = {b}) then dbt_valid_to end as dbt_valid_to
+from patient_log_snapshot where dbt_valid_from <= (select run_ts from run where b = {b})"""
+
+
+@query("snapshot_crash_restart", with_("patient_log_snapshot") + " union all ".join(
+    [_LOG_UPTO("crashed", 1), _LOG_UPTO("restarted", 2), _LOG_UPTO("run 1 again", 1), _LOG_UPTO("run 2 again", 2)]))
+def q_snapshot_crash_restart(spark, sf):
+    """SNK-08 / SCD-01: readers of the history while a run has died before its publish, after its restart, and
+    after earlier runs are done again."""
+    from functools import reduce
+    from . import daily_job as job
+    root = scratch_path(spark, "restart")
+    raw = fx.fx_raw(fx.fx_patient_log(spark, sf).drop("run_ts"), keep=("_deleted", "position", "b"))
+    raw.write.partitionBy("b").parquet(root + "/raw/patient")
+    step, only = runs(), ("patient",)
+    parts = []
+
+    def look(phase):
+        hist = job.read_snapshot(spark, root, "patient")
+        hist.write.parquet(f"{root}/seen/{len(parts)}")              # what a reader sees now
+        parts.append(spark.read.schema(hist.schema).parquet(f"{root}/seen/{len(parts)}").select(F.lit(phase).alias("phase"), "*"))
+    for r in step[:2]:
+        job.snapshot_runs(spark, root, [r], entities=only)
+    job.advance_runs(spark, root, step[2:], entities=only)           # everything written, nothing published
+    look("crashed")
+    job.snapshot_runs(spark, root, step[2:], entities=only)
+    look("restarted")
+    job.snapshot_runs(spark, root, step[1:2], entities=only)
+    look("run 1 again")
+    job.snapshot_runs(spark, root, step[2:], entities=only)
+    look("run 2 again")
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 @query("dashboard_recent", with_("fact_all") + """
 select appointment_time, doctor_name, patient_id, event_type from fact_all
 order by appointment_time desc nulls first, doctor_name asc nulls last, patient_id asc nulls last,

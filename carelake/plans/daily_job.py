@@ -6,17 +6,29 @@ DataFrame of change records ``(topic, position, value)`` of the captured tables:
 a batch read of the topics, files, or the rows a stream handed over.  Every
 step *writes* its result, which also cuts lineage between runs, so a lost
 executor recomputes at most one step and plans stay small however many runs
-are replayed.  Failures raise, and a rerun of a load replaces that load's own
-partitions.
+are replayed.  Failures raise.
+
+Crashes and reruns:
+
+* a load owns its folders (lake, raw, classified) and overwrites them whole, so a
+  rerun replaces everything the load wrote, also in tables it has no rows for any more;
+* each load records the highest position of every topic partition it has seen; a
+  load drops records at or below those of the loads before it, so loads that overlap
+  (or a consumer that starts over) land each change once;
+* a run writes its staging state and the versions it closed or left open into new
+  folders and publishes all of them by one append of pointers: before that, readers see the
+  history as it was, closed versions included;
+* a run done again starts from the state of the runs before it; runs after
+  it count as not done.
 
 What a run costs:
 
 * staging state  - latest change per key is an associative argmax, so the
   state after run n is ``latest(state(n-1) + rows of load n)``; older raw loads
   are not read again, the state table (one row per key) is rewritten.
-* snapshot store - closed versions never change again: they are appended to
-  an append-only ``closed`` table; the open versions (one row per key) are
-  rewritten.  The full history is ``closed + open``.
+* snapshot store - a run's version holds the open versions (one row per key) and,
+  in a partition of their own, those that the run closed, which are never
+  written again.  The full history is all closed partitions + the newest open one.
 * marts          - built from the whole state and history.
 """
 
@@ -25,7 +37,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators import cdc, scd2
 from ..operators.latest import latest_by_rank
@@ -34,12 +46,21 @@ from ..operators.staging import stage, tiebreak_for, wire_columns
 from ..registry import ENTITIES, APPOINTMENT_EVENTS, EntitySpec
 from ..session import joins_by_measure
 from ..sinks import lake, tables
+from ..sinks.tables import if_exists
 from ..sources.envelope import decode
+from ..sources.kafka import OFFSET_BITS
 from . import dashboard as dash
 
 SNAPSHOT_ENTITIES = ("patient", "doctor", "hospital")
 RAW = "v variant, _deleted boolean, position bigint, b int"
 REJECTS = "_rejects"
+CLASSIFIED = ("topic string, position bigint, op string, kind string, reason string, image string, "
+              "source_table string, table_name string")
+MARKS = "topic string, part bigint, high bigint, load int"
+#: Topic partitions whose marks may be broadcast (some 50 bytes each).
+SMALL_MARKS = 100_000
+#: Partition column of a snapshot version: open versions apart from those that the run closed.
+OPEN = "_open"
 _BOOK = ("b", "position", "_deleted")
 #: One load: its number, its run time, its change records.
 Load = tuple[int, Column, DataFrame]
@@ -57,40 +78,57 @@ def _base(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def land(spark: SparkSession, changes: DataFrame, root: str, b: int, run_date: str | Column, topics=None) -> None:
-    """One load of change records into the lake and the raw tables.
+def partition_of(position: Column) -> Column:
+    """The topic partition that a position (``sources.kafka.log_position``) belongs to."""
+    return F.shiftright(position, OFFSET_BITS)
+
+
+def not_landed(spark: SparkSession, changes: DataFrame, root: str, b: int) -> DataFrame:
+    """``changes`` less those that a load before ``b`` has seen: at or below its highest position of
+    their topic partition.  Records without a position always land."""
+    marks = if_exists(lambda: spark.read.schema(MARKS).parquet(_base(root, "_positions")))
+    if marks is None:
+        return changes
+    high = marks.where(F.col("load") < b).groupBy(F.col("topic").alias("_topic"), "part").agg(F.max("high").alias("high"))
+    if high.count() <= SMALL_MARKS:                  # a row per topic partition
+        high = F.broadcast(high)
+    on = (F.col("topic") == F.col("_topic")) & (partition_of(F.col("position")) == F.col("part"))
+    seen = F.coalesce(F.col("position") <= F.col("high"), F.lit(False))
+    return changes.join(high, on, "left").where(~seen).select(*changes.columns)
+
+
+def land(spark: SparkSession, changes: DataFrame, root: str, b: int, run_date: str | Column, topics=None) -> dict[str, int]:
+    """One load of change records into the lake and the raw tables; returns what became of them.
 
     The envelopes are parsed once; what they are is written by table (rejects
-    with their reason), and the lake and raw VARIANT partitions of the load
-    follow from that."""
-    sorted_out = cdc.classify(decode(changes, topics=topics))
-    dest = F.when(F.col("kind") == "reject", F.lit(REJECTS)).otherwise(F.col("table_name"))
+    with their reason), and the lake and raw VARIANT folders of the load
+    follow from that.  The counts (accepted per table, rejects per reason) are observed by that write."""
+    sorted_out = cdc.classify(decode(not_landed(spark, changes, root, b), topics=topics))
+    rejected = F.col("kind") == "reject"
+    counts = Observation()
+    seen = sorted_out.observe(
+        counts, *[F.count_if(~rejected & (F.col("table_name") == t)).alias(t) for t in ENTITIES],
+        *[F.count_if(rejected & (F.col("reason") == r)).alias(f"reject_{r}") for r in cdc.REASONS])
     path = _base(root, f"classified/load={b}")
-    (sorted_out.select("topic", "position", "op", "kind", "reason", "image", F.col("table_name").alias("source_table"),
-                       dest.alias("table_name"))
+    (seen.select("topic", "position", "op", "kind", "reason", "image", F.col("table_name").alias("source_table"),
+                 F.when(rejected, F.lit(REJECTS)).otherwise(F.col("table_name")).alias("table_name"))
      .write.mode("overwrite").partitionBy("table_name").parquet(path))
-    schema = ("topic string, position bigint, op string, kind string, reason string, image string, "
-              "source_table string, table_name string")
+    rows = spark.read.schema(CLASSIFIED).parquet(path)
     today = F.lit(run_date) if isinstance(run_date, str) else run_date
     date = lake.batch_date(spark, _base(root, "lake"), b, today)
 
-    def one(name: str) -> None:
-        rows = spark.read.schema(schema).parquet(path)
-        images = cdc.unified(rows, name).drop("table_name")
-        lake.write_lake(images, _base(root, "lake"), name, date, batch_id=b)
-        landed = (lake.read_lake_table(spark, _base(root, "lake"), name, with_batch=True)
-                  .where(F.col("batch_id") == b))
-        raw = landed.select(F.parse_json("image").alias("v"), "_deleted", "position", F.lit(b).alias("b"))
-        (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b")
-         .parquet(_base(root, f"raw/{name}")))
-    _each(one, ENTITIES)
-
+    def to_lake(name: str) -> None:
+        lake.write_lake(cdc.unified(rows, name).drop("table_name"), _base(root, "lake"), name, date, batch_id=b)
 
-def read_rejects(spark: SparkSession, root: str, b: int) -> DataFrame:
-    """Records of load ``b`` that no table took, with the first rule they broke."""
-    schema = "topic string, position bigint, op string, reason string, table_name string"
-    rows = spark.read.schema(schema).parquet(_base(root, f"classified/load={b}"))
-    return rows.where(F.col("table_name") == REJECTS).drop("table_name")
+    def to_raw(name: str) -> None:
+        own = rows.where(F.col("table_name") == name)
+        (own.select(F.parse_json("image").alias("v"), F.when(F.col("kind") == "delete", F.lit(True)).alias("_deleted"), "position")
+         .write.mode("overwrite").parquet(_base(root, f"raw/{name}/b={b}")))
+    _each(lambda step: step[0](step[1]), [(sink, t) for t in ENTITIES for sink in (to_lake, to_raw)])
+    # last: from here on the load counts as landed
+    (rows.where(F.col("position").isNotNull()).groupBy("topic", partition_of(F.col("position")).alias("part"))
+     .agg(F.max("position").alias("high")).write.mode("overwrite").parquet(_base(root, f"_positions/load={b}")))
+    return counts.get
 
 
 def read_raw(spark: SparkSession, root: str, name: str, b: int) -> DataFrame:
@@ -120,29 +158,20 @@ def advance_state(state: DataFrame | None, loaded: DataFrame, spec: EntitySpec)
     return latest_wire(cand, spec)
 
 
-def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]], deletes: str = "ignore",
-                  entities: Sequence[str] = tuple(ENTITIES)) -> None:
-    """Advance the staging state and the snapshots by runs in order, resuming from the last published state.
+def advance_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]], deletes: str = "ignore",
+                 entities: Sequence[str] = tuple(ENTITIES)) -> list[tuple[str, str, int]]:
+    """Write the states and snapshots after each of ``runs``; returns the pointers that publish them.
 
-    ``deletes``: ``ignore`` (reference: a delete image is staged like any
-    change), ``drop`` (keys whose newest change is a delete leave staging and
-    their open version stays open) or ``close`` (such keys' open version is
-    closed at the run).
-
-    Closed versions of run ``b`` land in partition ``closed_run=b`` with
-    dynamic overwrite, so re-running a run after a crash replaces its own
-    rows instead of duplicating them."""
-    def one(name: str) -> dict[str, str]:
-        spec = ENTITIES[name]
-        state = tables.read_current(spark, root, f"state_{name}")
-        open_ = tables.read_current(spark, root, f"snap_{name}_open")
-        if open_ is not None:
-            open_ = open_.where(F.col("dbt_valid_to").isNull())
-        out: dict[str, str] = {}
+    The first run starts from what the runs before it published."""
+    def one(name: str) -> list[tuple[str, str, int]]:
+        spec, first = ENTITIES[name], runs[0][0]
+        state = tables.read_current(spark, root, f"state_{name}", before=first)
+        open_ = read_open(spark, root, name, before=first) if name in SNAPSHOT_ENTITIES else None
+        out = []
         for b, ts in runs:          # runs are sequential per entity: each builds on the last
             nxt = advance_state(state, read_raw(spark, root, name, b), spec)
-            out[f"state_{name}"] = tables.write_version(nxt, root, f"state_{name}", publish=False)
-            state = spark.read.schema(nxt.schema).parquet(out[f"state_{name}"])     # known schema: no footer scan
+            out.append((f"state_{name}", tables.write_version(nxt, root, f"state_{name}", publish=False), b))
+            state = spark.read.schema(nxt.schema).parquet(out[-1][1])     # known schema: no footer scan
             if name not in SNAPSHOT_ENTITIES:
                 continue
             if deletes == "close":
@@ -150,28 +179,49 @@ def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Colu
             else:
                 staged = stage(state, spec, ts, deletes=deletes)
             hist = scd2.merge(open_, staged, spec, ts, deletes=deletes)
-            out[f"snap_{name}_open"] = tables.write_version(hist, root, f"snap_{name}_open", publish=False)
-            merged = spark.read.schema(hist.schema).parquet(out[f"snap_{name}_open"])
-            # written also when nothing closed: afterwards a missing table is an error
-            (merged.where(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(b))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("closed_run").parquet(_base(root, f"snap_{name}_closed")))
-            open_ = merged.where(F.col("dbt_valid_to").isNull())
+            out.append((f"snap_{name}", tables.write_version(hist.withColumn(OPEN, F.col("dbt_valid_to").isNull()), root,
+                                                             f"snap_{name}", publish=False, partition_by=[OPEN]), b))
+            open_ = _versions(spark, [out[-1][1]], hist.schema, True)
         return out
-    # readers switch once every table's run sequence is complete: one publish
-    new: dict[str, str] = {}
-    for versions in _each(one, entities):
-        new.update(versions)
-    tables.publish_versions(spark, root, new)
+    return [p for pointers in _each(one, entities) for p in pointers]
+
+
+def snapshot_runs(spark: SparkSession, root: str, runs: Sequence[tuple[int, Column]], deletes: str = "ignore",
+                  entities: Sequence[str] = tuple(ENTITIES)) -> None:
+    """Advance the staging state and the snapshots by runs in order, from the published state of the runs before them.
+
+    ``deletes``: ``ignore`` (reference: a delete image is staged like any
+    change), ``drop`` (keys whose newest change is a delete leave staging and
+    their open version stays open) or ``close`` (such keys' open version is
+    closed at the run)."""
+    # readers switch once every table's run sequence is complete: one publish, closed versions included
+    tables.publish_versions(spark, root, sorted(advance_runs(spark, root, runs, deletes, entities), key=lambda p: p[2]))
+
+
+def _versions(spark: SparkSession, paths: Sequence[str], schema, is_open: bool) -> DataFrame:
+    table = paths[0].rsplit("/", 1)[0]                   # the versions' common folder
+    rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField(OPEN, T.BooleanType())]))
+            .option("basePath", table).parquet(*paths))
+    return rows.where(F.col(OPEN) == is_open).select(*schema.names)
+
+
+def _snapshot_schema(spark: SparkSession, path: str) -> T.StructType:
+    return T.StructType([f for f in spark.read.parquet(path).schema if f.name != OPEN])
+
+
+def read_open(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame | None:
+    """The open versions, one row per key; None when no run was published."""
+    path = tables.current_path(spark, root, f"snap_{name}", before)
+    return _versions(spark, [path], _snapshot_schema(spark, path), True) if path else None
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Full history = closed versions + currently open versions.  A history that cannot be read raises."""
-    open_ = tables.read_current(spark, root, f"snap_{name}_open")
-    if open_ is None:
+    """Full history = versions closed by any published run + open versions of the last.  A history that cannot be read raises."""
+    paths = [p for _, p in tables.published(spark, root, f"snap_{name}")]
+    if not paths:
         raise ValueError(f"no snapshot of {name} was ever published under {root}")
-    closed = spark.read.schema(open_.schema).parquet(_base(root, f"snap_{name}_closed")).drop("closed_run")
-    return closed.unionByName(open_.where(F.col("dbt_valid_to").isNull()))
+    schema = _snapshot_schema(spark, paths[0])
+    return _versions(spark, paths, schema, False).unionByName(_versions(spark, paths[:1], schema, True))
 
 
 def build_marts(spark: SparkSession, root: str, version_mode: str = "all", fact_mode: str = "append",
@@ -181,17 +231,13 @@ def build_marts(spark: SparkSession, root: str, version_mode: str = "all", fact_
     events = stage(state, APPOINTMENT_EVENTS, deletes="ignore" if deletes == "ignore" else "drop")
     fact = build_fact(events, snaps["patient"], snaps["doctor"], snaps["hospital"], version_mode)
 
-    def step(name: str) -> dict[str, str]:
+    def step(name: str) -> tuple[str, str, None] | None:
         if name == "fact":
             tables.write_incremental(fact, root, "appointment_events_fact", fact_mode,
                                      key=["appointment_id"] if fact_mode == "keyed" else None)
-            return {}
-        return {f"{name}_dim": tables.write_version(build_dim(snaps[name], name), root, f"{name}_dim",
-                                                    publish=False)}
-    new: dict[str, str] = {}
-    for versions in _each(step, (*SNAPSHOT_ENTITIES, "fact")):
-        new.update(versions)
-    tables.publish_versions(spark, root, new)
+            return None
+        return f"{name}_dim", tables.write_version(build_dim(snaps[name], name), root, f"{name}_dim", publish=False), None
+    tables.publish_versions(spark, root, [p for p in _each(step, (*SNAPSHOT_ENTITIES, "fact")) if p])
 
 
 def dashboard(spark: SparkSession, root: str, day: str, fact_mode: str = "append") -> dict[str, DataFrame]:

@@ -2,8 +2,8 @@
 
 Layout ``<root>/[<prefix>/]<table>/date=YYYY-MM-DD/...``; ``date`` is the
 *processing* date of the write.  Streaming writers add a ``batch_id``
-partition level and overwrite only their own batch (dynamic partition
-overwrite).  A batch's date is recorded before its first write and read back
+partition level and overwrite only their own batch's folder, also when
+nothing is left for it.  A batch's date is recorded before its first write and read back
 by a replay (``batch_date``), so a batch replayed after midnight replaces its
 own files instead of adding a second copy.
 
@@ -39,13 +39,13 @@ def lake_schema(table: str, with_batch: bool = False) -> str:
     return ddl
 
 
-def batch_date(spark: SparkSession, root: str, batch_id: int, today: Column) -> Column:
+def batch_date(spark: SparkSession, root: str, batch_id: int, today: Column) -> str:
     """The date a micro-batch belongs to: the one recorded at its first attempt, else ``today``."""
     path = f"{root.rstrip('/')}/_batches"
     known = if_exists(lambda: spark.read.schema(BATCHES).parquet(path))
     row = known.where(F.col("batch_id") == batch_id).agg(F.min("date")).first() if known is not None else None
     if row is not None and row[0] is not None:
-        return F.lit(row[0])
+        return str(row[0])
     first = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"), today.cast("date").alias("date"))
     first.write.mode("append").parquet(path)
     return batch_date(spark, root, batch_id, today)
@@ -53,15 +53,18 @@ def batch_date(spark: SparkSession, root: str, batch_id: int, today: Column) ->
 
 def write_lake(df: DataFrame, root: str, table: str, run_date: str | Column,
                prefix: str | None = None, batch_id: int | None = None) -> None:
+    if batch_id is not None:
+        if not isinstance(run_date, str):
+            raise ValueError("a batch's folder needs its date as text (batch_date)")
+        df.write.mode("overwrite").parquet(batch_path(root, table, run_date, batch_id, prefix))
+        return
     d = F.lit(run_date).cast("date") if isinstance(run_date, str) else run_date.cast("date")
-    out = df.withColumn("date", d)
-    w = out.write
-    if batch_id is None:
-        w.mode("append").partitionBy("date").parquet(table_path(root, table, prefix))
-    else:
-        (out.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", "batch_id").parquet(table_path(root, table, prefix)))
+    df.withColumn("date", d).write.mode("append").partitionBy("date").parquet(table_path(root, table, prefix))
+
+
+def batch_path(root: str, table: str, date: str, batch_id: int, prefix: str | None = None) -> str:
+    """The folder that one batch owns."""
+    return f"{table_path(root, table, prefix)}/date={date}/batch_id={batch_id}"
 
 
 def read_lake_table(spark: SparkSession, root: str, table: str, prefix: str | None = None,

@@ -5,7 +5,10 @@
                 pointer row is appended; the newest pointer counts, so
                 readers see the old version or the new one and never a gap,
                 and a job may read the version it replaces (Parquet cannot
-                be overwritten while being read).
+                be overwritten while being read).  A pointer may carry the
+                number of the run that made it: a run that is done again
+                starts from the versions of the runs before it, and its
+                pointers take the place of those of its own and later runs.
 * incremental - ``append`` (reference: every run appends the whole set
                 again), ``replace`` or ``keyed`` (delete + insert by key:
                 rerunning a batch is a no-op).
@@ -19,7 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-POINTERS = "name string, path string, seq bigint"
+POINTERS = "name string, path string, seq bigint, run int"
 
 
 def _base(root: str, name: str) -> str:
@@ -41,34 +44,48 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_version(df: DataFrame, root: str, name: str, publish: bool = True) -> str:
+def write_version(df: DataFrame, root: str, name: str, publish: bool = True, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as a new version; ``publish`` switches readers to it."""
     path = f"{_base(root, name)}/v={time.time_ns()}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     if publish:
-        publish_versions(df.sparkSession, root, {name: path})
+        publish_versions(df.sparkSession, root, [(name, path, None)])
     return path
 
 
-def publish_versions(spark: SparkSession, root: str, versions: dict[str, str]) -> None:
-    """Switch readers of several tables at once: one file of pointer rows is appended."""
+def publish_versions(spark: SparkSession, root: str, versions: Sequence[tuple[str, str, int | None]]) -> None:
+    """Switch readers of several tables at once: one file of (name, path, run) pointer rows is appended."""
     if not versions:
         return
-    rows = [(name, path, time.time_ns()) for name, path in versions.items()]
+    rows = [(name, path, time.time_ns(), run) for name, path, run in versions]
     (spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append")
      .parquet(f"{root.rstrip('/')}/_catalog"))
 
 
-def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    """The published version's path; None only when nothing was ever published."""
+def published(spark: SparkSession, root: str, name: str, before: int | None = None) -> list[tuple[int | None, str]]:
+    """(run, path) of the versions that hold, newest first; ``before``: of earlier runs only.
+
+    There are as many as runs of the job.  A run done again drops what it and later runs published."""
     log = if_exists(lambda: spark.read.schema(POINTERS).parquet(f"{root.rstrip('/')}/_catalog"))
     if log is None:
-        return None
-    return log.where(F.col("name") == name).agg(F.max_by("path", "seq")).first()[0]
+        return []
+    out: list[tuple[int | None, str]] = []
+    for r in log.where(F.col("name") == name).orderBy(F.desc("seq"), F.desc("run")).collect():
+        if before is not None and (r["run"] is None or r["run"] >= before):
+            continue
+        if not out or (r["run"] is not None and out[-1][0] is not None and r["run"] < out[-1][0]):
+            out.append((r["run"], r["path"]))
+    return out
+
+
+def current_path(spark: SparkSession, root: str, name: str, before: int | None = None) -> str | None:
+    """The published version's path; None only when nothing was ever published."""
+    found = published(spark, root, name, before)
+    return found[0][1] if found else None
 
 
-def read_current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    p = current_path(spark, root, name)
+def read_current(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame | None:
+    p = current_path(spark, root, name, before)
     return spark.read.parquet(p) if p else None
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.types import ts_lit, ts_to_micros
+from .kafka import log_position
 
 # Snapshot schedule used by the fixtures: run number -> run time.
 RUNS = ((0, "2024-01-01 00:00:00"), (1, "2024-01-11 00:00:00"), (2, "2024-01-21 00:00:00"))
@@ -200,11 +201,13 @@ def fx_entity_envelope(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
 
 
 def fx_changes(spark: SparkSession, sf_dir: str, b: int) -> DataFrame:
-    """The change records of load ``b``: one stream, four tables; events are dealt to the loads by position."""
+    """The change records of load ``b``: one stream, four tables; events are dealt to the loads by position.
+
+    Each load reads a topic partition of its own, so positions go on from load to load."""
     out = fx_envelope(spark, sf_dir).where(F.col("position") % 3 == b)
     for name in ("patient", "doctor", "hospital"):
         out = out.unionByName(fx_entity_envelope(spark, sf_dir, name).where(F.col("b") == b).drop("b"))
-    return out
+    return out.withColumn("position", log_position(F.lit(b), F.col("position")))
 
 
 def fx_raw(df: DataFrame, keep: tuple[str, ...] = ("b", "run_ts")) -> DataFrame:

@@ -13,6 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+#: Low bits of a position that hold the offset; those above hold the partition.
+OFFSET_BITS = 44
+
+
 def topics_for(server: str, tables: Sequence[str], schema: str = "public") -> list[str]:
     """``<server>.<schema>.<table>`` per captured table (include list, trimmed)."""
     return [f"{server}.{schema}.{t.strip()}" for t in tables]
@@ -20,7 +24,7 @@ def topics_for(server: str, tables: Sequence[str], schema: str = "public") -> li
 
 def log_position(partition: Column, offset: Column) -> Column:
     """One comparable number per record: offsets order a partition, and a key stays in one partition."""
-    return F.shiftleft(partition.cast("bigint"), 44) + offset
+    return F.shiftleft(partition.cast("bigint"), OFFSET_BITS) + offset
 
 
 def change_stream(spark: SparkSession, bootstrap: str, topics: Sequence[str],

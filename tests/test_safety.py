@@ -8,7 +8,7 @@ from carelake.operators import dml
 from carelake.operators.staging import stage
 from carelake.plans import daily_job
 from carelake.registry import APPOINTMENT_EVENTS, wire_ddl
-from carelake.sinks import tables
+from carelake.sinks import lake, tables
 from carelake.sources import files, fixtures as fx
 from tests.conftest import SF_SMALL
 from tests.test_traps import raw_rows
@@ -52,7 +52,7 @@ def test_damaged_closed_versions_raise(spark, tmp_path):
     assert whole == 25
     daily_job.snapshot_runs(spark, root, runs[1:], entities=("hospital",))
     assert daily_job.read_snapshot(spark, root, "hospital").count() == 30
-    damage(tmp_path / "snap_hospital_closed")
+    damage(next((tmp_path / "snap_hospital").glob("v=*/_open=false")))
     with pytest.raises(Exception, match="(?i)parquet|read"):
         daily_job.read_snapshot(spark, root, "hospital").collect()
     with pytest.raises(ValueError):
@@ -125,3 +125,60 @@ def test_shared_folder_is_required_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_root(Session())
     assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]") and not session.is_local("yarn")
+
+
+def _changes(spark, *names):
+    from functools import reduce
+    return reduce(lambda x, y: x.unionByName(y), [fx.fx_entity_envelope(spark, SF_SMALL, n).where("b = 0").drop("b") for n in names])
+
+
+def test_rerun_of_a_load_replaces_all_its_tables(spark, tmp_path):
+    """A load done again without hospital rows leaves none of them, in lake and raw."""
+    root = str(tmp_path)
+    got = daily_job.land(spark, _changes(spark, "hospital", "doctor"), root, 0, "2024-01-21")
+    n = daily_job.read_raw(spark, root, "hospital", 0).count()
+    assert n == got["hospital"] == 25 and got["patient"] == 0
+    again = daily_job.land(spark, _changes(spark, "doctor"), root, 0, "2024-01-22")
+    assert again["hospital"] == 0 and again["doctor"] == got["doctor"]
+    assert daily_job.read_raw(spark, root, "hospital", 0).count() == 0
+    assert lake.read_lake_table(spark, root + "/lake", "hospital", with_batch=True).count() == 0
+    doctors = lake.read_lake_table(spark, root + "/lake", "doctor", with_batch=True)
+    assert doctors.count() == got["doctor"] and [str(r[0]) for r in doctors.select("date").distinct().collect()] == ["2024-01-21"]
+
+
+def test_positions_are_marked_last(spark, tmp_path):
+    """A load that died half-way did not land: the next one does not drop its records."""
+    root = str(tmp_path)
+    rows = _changes(spark, "hospital")
+    daily_job.land(spark, rows, root, 0, "2024-01-21")
+    import shutil
+    shutil.rmtree(tmp_path / "_positions" / "load=0")           # as if it had died before its mark
+    assert daily_job.land(spark, rows, root, 1, "2024-01-21")["hospital"] == 25
+    assert daily_job.land(spark, rows, root, 2, "2024-01-21")["hospital"] == 0
+    no_position = rows.withColumn("position", F.lit(None).cast("bigint"))
+    assert daily_job.land(spark, no_position, root, 3, "2024-01-21")["hospital"] == 25
+
+
+def test_rejects_are_counted_by_reason(spark, tmp_path):
+    bad = spark.createDataFrame([("server.public.other", 1, '{"payload":{"op":"c","after":{"a":1}}}'), ("server.public.doctor", 2, None),
+                                 ("server.public.doctor", 3, '{"payload":{"op":"c","after":"[1]"}}'), ("server.public.doctor", 4, "{}"),
+                                 ("server.public.doctor", 5, '{"payload":{"op":"x","after":{"a":1}}}')],
+                                "topic string, position bigint, value string")
+    got = daily_job.land(spark, bad, str(tmp_path), 0, "2024-01-21")
+    assert {k: v for k, v in got.items() if v} == {"reject_tombstone": 1, "reject_no_payload": 1, "reject_unknown_topic": 1,
+                                                   "reject_invalid_op": 1, "reject_invalid_image": 1}
+
+
+def test_published_versions_of_runs(spark, tmp_path):
+    root = str(tmp_path)
+    put = lambda *runs: tables.publish_versions(spark, root, [("t", f"p{n}", r) for n, r in runs])
+    put((0, 0), (1, 1))
+    put((2, 2))
+    assert tables.published(spark, root, "t") == [(2, "p2"), (1, "p1"), (0, "p0")]
+    put((3, 1))                                          # run 1 again: run 2 is to be done again, too
+    assert tables.published(spark, root, "t") == [(1, "p3"), (0, "p0")]
+    assert tables.current_path(spark, root, "t", before=1) == "p0"
+    put((4, 2))
+    assert tables.published(spark, root, "t") == [(2, "p4"), (1, "p3"), (0, "p0")]
+    put((5, 0))
+    assert tables.published(spark, root, "t") == [(0, "p5")] and tables.published(spark, root, "other") == []
