@@ -22,7 +22,7 @@ what goes is every line of a run of ``min_words`` words or more that stands at a
    the windows, each against its own first place.  No line ends more than one of them, so
    they are no more than the lines.
 
-The registered query and the pipeline do not extend: their SQL and brute force are of steps 1 to 4.
+The registered query and the pipeline extend.
 
 A fingerprint or a window that a third of all documents share is one partial minimum per
 task; no positions are paired with each other.  Only DataFrame operations are used.
@@ -57,11 +57,11 @@ def line_windows(docs: DataFrame, min_words: int, extend: bool = False) -> DataF
     measured = F.transform(lines, lambda x: F.struct(F.xxhash64(F.btrim(x, F.lit(" \t\r"))).alias("h"),
                                                      F.regexp_count(x, F.lit(WORD)).alias("n")))
     ended = F.concat(measured, F.array(F.struct(F.lit(0).cast("long").alias("h"), F.lit(1).alias("n"))))
+    # rows that share doc_id and text are one, in each task before the shuffle; all windows below go by its partitions
+    rows = docs.withColumns(_identity(docs)).select(*DOC, ended.alias("xs")).groupBy(*DOC).agg(F.first("xs").alias("xs"))
     # the last row of a document marks its end; blank lines leave
-    rows = docs.withColumns(_identity(docs)).select(
-        *DOC, F.posexplode(ended).alias("pos", "x")).filter("x.n > 0")
-    rows = (rows.select(*DOC, "pos", F.col("x.h").alias("h"), F.col("x.n").cast("long").alias("n"))
-            .repartition(*DOC).groupBy(*DOC, "pos").agg(F.first("h").alias("h"), F.first("n").alias("n")))
+    rows = rows.select(*DOC, F.posexplode("xs").alias("pos", "x")).filter("x.n > 0")
+    rows = rows.select(*DOC, "pos", F.col("x.h").alias("h"), F.col("x.n").cast("long").alias("n"))
     doc = Window.partitionBy(*DOC)
     rows = rows.withColumn("s", F.coalesce(F.sum("n").over(
         doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -273,3 +273,31 @@ def near_dup(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the least doc_id (null last), then text hash.
+
+    Rows that share doc_id and text are one document, of which one row stays.  Rows that share only the doc_id, and rows
+    without one, are documents of their own: for the search they get ids from the hash of id and text.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                   F.xxhash64("text").alias("hash"))
+    twice = docs.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_nd_twice")).agg(
+        F.count(F.lit(1)).alias("_nd_n")).filter("_nd_n > 1")
+    twice = materialise(twice.select("_nd_twice"), "nd-shared-ids")
+    keyed = docs.withColumn("_nd_key", key).join(twice, F.col("doc_id").cast("long") == F.col("_nd_twice"), "left")
+    own = -F.shiftrightunsigned(F.xxhash64("_nd_key"), 1) - 1
+    odd = F.col("doc_id").isNull() | F.col("_nd_twice").isNotNull()
+    keyed = keyed.withColumn("_nd_id", F.when(odd, own).otherwise(F.col("doc_id").cast("long"))).withColumn("_nd_odd", odd)
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    # rows repeated whole meet as one per task before the shuffle
+    once = keyed.filter("_nd_odd").groupBy("_nd_id", "_nd_key").agg(F.first(F.struct(*cols)).alias("_nd_row"))
+    once = once.select("_nd_id", "_nd_key", *[F.col(f"_nd_row.`{c}`") for c in docs.columns])
+    clean = keyed.filter("not _nd_odd").select("_nd_id", "_nd_key", *cols).unionByName(materialise(once, "nd-odd-rows"))
+    found = near_dup(clean.select(F.col("_nd_id").alias("doc_id"), "text"), k, similarity)
+    found = found.select(F.col("doc_id").alias("_nd_id"), F.col("component_id").alias("_nd_group"))
+    both = materialise(clean.select("_nd_id", "_nd_key").join(found, "_nd_id"), "nd-groups-of-rows")
+    stay = both.groupBy("_nd_group").agg(F.min_by("_nd_id", "_nd_key").alias("_nd_stay"), F.count(F.lit(1)).alias("_nd_n"))
+    gone = both.join(stay.filter("_nd_n > 1"), "_nd_group").filter("_nd_id <> _nd_stay").select("_nd_id")
+    return clean.join(materialise(gone, "nd-gone"), "_nd_id", "left_anti").select(*cols)

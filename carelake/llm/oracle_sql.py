@@ -100,20 +100,33 @@ select doc_id, len(w)::bigint as n_words, coalesce(words.n, 0)::bigint as n_hit,
        sha256(coalesce(list, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
 from d left join words using (doc_id) left join items using (doc_id)"""
 
-# windows of whole lines with 30 words, their first place, and the lines that later places cover
+# shortest runs of 30 words from each line on, paired with every earlier equal one; the last pair of a row of pairs
+# is prolonged line by line while both sides agree; the lines of all these runs go
 LINES = r"""
-with d as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
+with recursive d as (select doc_id, string_split(text, chr(10)) as ls from documents where text is not null),
 l as (select doc_id, i - 1 as pos, trim(ls[i], ' ' || chr(9) || chr(13)) as t,
              len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) as n
       from d, unnest(range(1, len(ls) + 1)) as r(i)),
-s as (select *, coalesce(sum(n) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint
+s as (select *, row_number() over (partition by doc_id order by pos) as k,
+             coalesce(sum(n) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint
                 as s from l where n > 0),
 total as (select doc_id, sum(n)::bigint as total from s group by doc_id),
-w as (select doc_id, pos, max(pos) over near as last, string_agg(t, chr(10)) over near as run, s, total
+w as (select doc_id, k, max(k) over near as b, md5(string_agg(t, chr(10)) over near) as run, s, total
       from s join total using (doc_id)
       window near as (partition by doc_id order by s range between current row and 29 following)),
-f as (select *, row_number() over (partition by run order by doc_id, pos) as k from w where s + 30 <= total),
-gone as (select distinct doc_id, x as pos from f, unnest(range(pos, last + 1)) as r(x) where k > 1)
+f as (select doc_id, k, b, run from w where s + 30 <= total),
+p as (select x.doc_id, x.k, x.b, y.doc_id as d2, y.k as k2, y.b as b2
+      from f x join f y on x.run = y.run and (y.doc_id < x.doc_id or (y.doc_id = x.doc_id and y.k < x.k))),
+e(doc_id, k, b, d2, b2) as (
+  select doc_id, k, b, d2, b2 from p
+  where not exists (select 1 from p q where q.doc_id = p.doc_id and q.k = p.k + 1 and q.d2 = p.d2 and q.k2 = p.k2 + 1)
+  union all
+  select e.doc_id, e.k, e.b + 1, e.d2, e.b2 + 1
+  from e join s x on x.doc_id = e.doc_id and x.k = e.b + 1 join s y on y.doc_id = e.d2 and y.k = e.b2 + 1 and y.t = x.t),
+runs as (select doc_id, k, max(b) as b from (select doc_id, k, b from p union all select doc_id, k, b from e) group by 1, 2),
+gone as (select distinct r.doc_id, x as pos
+         from runs r join s a on a.doc_id = r.doc_id and a.k = r.k join s z on z.doc_id = r.doc_id and z.k = r.b,
+              unnest(range(a.pos, z.pos + 1)) as u(x))
 select d.doc_id, len(ls)::bigint as n_lines, count(g.pos)::bigint as n_removed,
        sha256(coalesce(string_agg(ls[i], chr(10) order by i) filter (where g.pos is null), '')) as kept_sha256
 from d, unnest(range(1, len(ls) + 1)) as r(i) left join gone g on g.doc_id = d.doc_id and g.pos = r.i - 1

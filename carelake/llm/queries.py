@@ -57,8 +57,8 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_line_dedup", sql.LINES)
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without repeated runs of lines."""
-    done = line_dedup(table(spark, sf_dir, "documents"))
+    """What is left of every document without repeated runs of lines, each prolonged as far as it goes."""
+    done = line_dedup(table(spark, sf_dir, "documents"), extend=True)
     return done.select("doc_id", "n_lines", "n_removed",
                        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

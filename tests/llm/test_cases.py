@@ -384,3 +384,27 @@ def test_quality_without_labels(spark, docs_of):
     assert {r.predicted for r in quality.quality_scores(docs_of(ODD), none).collect()} == {1}
     zeros = spark.createDataFrame([(i, 0, 0) for i in range(40)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in quality.quality_scores(docs_of(ODD), zeros).collect()} == {0}
+
+
+def test_one_of_each_group(docs_of):
+    """Shared and null ids: neither copies nor texts of their own are lost or doubled."""
+    w, u = prose(80, 900), prose(80, 901)
+    near = w + " x"
+    left = lambda rows: sorted(((r.doc_id, r.text) for r in neardup.one_of_each(docs_of(rows)).collect()), key=str)
+    assert left([(3, w, "s"), (3, w, "s"), (None, w, "s"), (None, w, "s"), (4, w, "s")]) == [(3, w)]
+    assert left([(5, w, "s"), (7, w, "s"), (7, u, "s")]) == [(5, w), (7, u)]
+    assert left([(None, w, "s"), (None, near, "s"), (None, u, "s")]) in ([(None, w), (None, u)], [(None, near), (None, u)],
+                                                                         sorted([(None, w), (None, u)], key=str), sorted([(None, near), (None, u)], key=str))
+    assert left([(9, w, "s"), (2, u, "s"), (2, near, "s"), (2, near, "s"), (-4, "", "s"), (-4, "", "s"), (-4, None, "s"), (None, None, "s")]) == sorted(
+        [(2, u), (2, near), (-4, ""), (-4, None), (None, None)], key=str)
+    many = [(i % 5, w, "s") for i in range(300)] + [(i, prose(40, 1000 + i), "s") for i in range(6, 20)]
+    assert left(many) == sorted([(0, w)] + [(i, prose(40, 1000 + i)) for i in range(6, 20)], key=str)
+    assert neardup.one_of_each(docs_of([])).collect() == []
+    assert neardup.one_of_each(docs_of([(1, w, "s")])).columns == docs_of([]).columns
+
+
+def test_lines_repeated_rows_are_one_per_task(docs_of):
+    """Rows that share id and text meet before the shuffle."""
+    plan = lines.line_windows(docs_of([(1, "a b\nc", "s")]).select("doc_id", "text"), 2)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.split("\n") if "Exchange" in x]
+    assert len(exchanges) == 1 and "Generate" in plan.split(exchanges[0])[0] and "partial_first" in plan.split(exchanges[0])[1]

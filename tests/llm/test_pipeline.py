@@ -49,7 +49,7 @@ def test_quality_rejects_only_what_it_scores_low(spark, stages):
 
 
 def test_lines(stages):
-    cut = brute.line_cut(list(texts(stages[1]).items()), 30)
+    cut = brute.whole_line_cut(list(texts(stages[1]).items()), 30)
     before = texts(stages[1])
     assert texts(stages[2]) == {i: t for i, t in cut.items() if t == before[i] or brute.SPACED.search(t)}
     assert all(r.n_chars == len(r.text) for r in stages[2].collect())
