@@ -8,6 +8,14 @@ Every stage works on all that the one before it kept:
 4. benchmark decontamination - documents with a benchmark passage go
 5. mixing sources to target weights - what every document gives to the mix
 
+Defined cases: null and empty texts go or stay as the quality classifier scores them and have no
+part in stages 2 to 4; very long texts are handled whole; rows that share doc_id and text are one
+document for stages 2 to 4, and stage 3 keeps one of them; rows that share only the doc_id, and rows
+without one, are documents of their own, told apart by the hash of their text; of documents that
+tie in stage 3 the one with the least doc_id (null last), then text hash, stays; an empty table
+stays empty; extra columns go through, whatever their names, but size, source_size, target, taken and
+copies, which the last stage replaces.
+
 Stages 1 to 4 return the columns of documents (n_chars follows the text); the last adds
 size, source_size, target, taken and copies.  No stage can be written as SQL alone (a
 fitted model, a search), so tests hold each against a brute-force version.
@@ -21,7 +29,7 @@ from carelake.llm.common import materialise, table
 from carelake.llm.decontam import decontaminate
 from carelake.llm.lines import line_dedup
 from carelake.llm.mixing import mix
-from carelake.llm.neardup import near_dup
+from carelake.llm.neardup import one_of_each
 from carelake.llm.quality import keep_good
 from carelake.session import configure, joins_by_file_size
 
@@ -35,7 +43,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated runs of lines; those left without any word by that go."""
     configure(spark)
-    done = line_dedup(docs).filter("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    done = line_dedup(docs, extend=True).filter("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     cols = {c: F.col(f"`{c}`") for c in docs.columns}
     if "n_chars" in cols:
@@ -44,10 +52,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least doc_id, of each group of near duplicates."""
+    """One row, that of the least doc_id, of each group of near duplicates."""
     configure(spark)
-    gone = near_dup(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(materialise(gone, "near-gone"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one_of_each(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
