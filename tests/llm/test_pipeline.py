@@ -94,3 +94,21 @@ def test_odd_rows_go_through(spark, docs_of):
         empty = stage(spark, empty, SF_SMALL)
         assert empty.collect() == []
         empty = spark.createDataFrame([], empty.schema)
+
+
+def test_shared_and_null_ids(spark, docs_of):
+    """Each stage but the first on repeated rows and ids: one row of each group, and no text of its own is lost."""
+    w, u = (" ".join(f"{c}{i}" for i in range(80)) for c in "wu")
+    near = dict(corpus_pipeline.STAGES)["near dedup"]
+    left = lambda rows: sorted(map(str, texts_of(near(spark, docs_of(rows), SF_SMALL))))
+    assert left([(3, w, "a"), (3, w, "a"), (None, w, "a"), (None, w, "a"), (4, w, "a")]) == [str((3, w))]
+    assert left([(5, w, "a"), (7, w, "a"), (7, u, "a")]) == sorted([str((5, w)), str((7, u))])
+    # a line of its own keeps the run a run: rows of one document are cut alike, later documents lose it
+    lines = dict(corpus_pipeline.STAGES)["line dedup"]
+    rows = [(3, f"{w}\nb c", "a"), (3, f"{w}\nb c", "a"), (None, f"x\n{w}\nb c", "a"), (9, f"y\n{w}", "a")]
+    assert sorted(map(str, texts_of(lines(spark, docs_of(rows), SF_SMALL)))) == sorted(
+        map(str, [(3, f"{w}\nb c"), (3, f"{w}\nb c"), (None, "x"), (9, "y")]))
+
+
+def texts_of(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
