@@ -23,7 +23,7 @@ from ..registry import (APPOINTMENT_EVENTS, ENTITIES, EVENT_TYPES, EXPERIENCE_YE
                         MIN_BED_CAPACITY, MIN_FEE, PREFIX_ROUTING_ORDER, SPECIALTIES, WIRE_TYPES, wire_ddl)
 from ..session import joins_by_measure, scratch_path
 from ..sinks import lake as lakesink, tables as tablesink
-from ..sources import files as lakefiles, fixtures as fx
+from ..sources import files as lakefiles, fixtures as fx, loader
 from ..sources.envelope import decode
 from ..streaming import ingest
 from .oracle_sql import IMAGES, with_
@@ -926,82 +926,160 @@ def _early(ev):
     return F.coalesce(F.col("event_timestamp") < ts_to_micros(ts_lit(CUTOFF)), F.lit(False))
 
 
+def _fields(rows, table):
+    """The wire columns of a raw table's variant rows."""
+    return rows.select(*[F.try_variant_get("v", f"$.{n}", t).alias(n) for n, t in WIRE_TYPES[table]])
+
+
 @query("incremental_files", with_("fx_event") + f"""
 select {_EV_COLS} from fx_event
 where not coalesce(event_timestamp < epoch_us(timestamp '{CUTOFF}'), false)""")
 def q_incremental_files(spark, sf):
-    """SRC-06/08: recursive *.parquet listing, ledger of loaded paths, only new files opened."""
+    """SRC-06/08: recursive *.parquet scan, files loaded before are left out, only new files opened."""
     root = scratch_path(spark, "incoming")
-    ev = fx.fx_event(spark, sf)
-    lakesink.write_lake(ev.where(_early(ev)), root, "appointment_events", "2024-01-14")
-    ledger_path = root + "_ledger"
-    lakefiles.list_files(spark, root).write.parquet(ledger_path)
-    lakesink.write_lake(ev.where(~_early(ev)), root, "appointment_events", "2024-01-15")
+    ev, ddl = fx.fx_event(spark, sf), ("appointment_events",)
+    lakesink.write_lake(ev.where(_early(ev)), root + "/lake", "appointment_events", "2024-01-14")
+    loader.load_new_files(spark, root + "/lake", root + "/raw", root + "/state", tables=ddl)
+    before = loader.read_raw(spark, root + "/raw", "appointment_events").agg(F.max("load_id")).scalar()
+    lakesink.write_lake(ev.where(~_early(ev)), root + "/lake", "appointment_events", "2024-01-15")
     spark.createDataFrame([("not a parquet file",)], "value string").write.text(
-        root + "/appointment_events/date=2024-01-15/notes")
-    new = lakefiles.new_files(lakefiles.list_files(spark, root), spark.read.parquet(ledger_path))
-    paths = [r["path"] for r in new.select("path").collect()]
-    return spark.read.schema(wire_ddl("appointment_events")).parquet(*paths)
+        root + "/lake/appointment_events/date=2024-01-15/notes")
+    loader.load_new_files(spark, root + "/lake", root + "/raw", root + "/state", tables=ddl)
+    raw = loader.read_raw(spark, root + "/raw", "appointment_events")
+    return _fields(raw.where(F.col("load_id") > before), "appointment_events")
 
 
-def _by_folder(base: str):
-    """Route by the folder below ``base``: the key is the path from there on."""
-    def route(files):
-        key = F.concat(F.lit("raw"), F.element_at(F.split("path", base.rstrip("/").rsplit("/", 1)[-1]), -1))
-        return lakefiles.route_by_folder(files.withColumn("key", key)).drop("key")
-    return route
+def _loaded(spark, raw, key_of):
+    """Per table: arrival folders, rows, largest key."""
+    from functools import reduce
+    parts = []
+    for name, key in key_of:
+        t = loader.read_raw(spark, raw, name)
+        parts.append(t.agg(F.count_distinct(F.regexp_extract("_file", "date=([0-9-]+)", 1)).cast("int").alias("arrivals"),
+                           F.count(F.lit(1)).alias("n_rows"), F.max(F.try_variant_get("v", f"$.{key}", "string")).alias("last_key"))
+                     .select(F.lit(name).alias("table_name"), "*"))
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
-@query("load_new_files", with_("fx_event", "fx_patient", "fx_doctor", "fx_hospital") + """
-select 'appointment_events' as table_name, 2 as loads, count(*) as n_rows, max(event_id) as last_key from fx_event
+_KEYS = (("appointment_events", "event_id"), ("doctor", "doctor_id"), ("hospital", "hospital_id"), ("patient", "patient_id"))
+_LOADED_SQL = with_("fx_event", "fx_patient", "fx_doctor", "fx_hospital") + """
+select 'appointment_events' as table_name, 2 as arrivals, count(*) as n_rows, max(event_id) as last_key from fx_event
 union all select 'doctor', 1, count(*), max(doctor_id) from fx_doctor
 union all select 'hospital', 1, count(*), max(hospital_id) from fx_hospital
-union all select 'patient', 1, count(*), max(patient_id) from fx_patient""")
+union all select 'patient', 1, count(*), max(patient_id) from fx_patient"""
+
+
+def _entity_rows(spark, sf, name):
+    return fx.fx_entity(spark, sf, name).select(*[n for n, _ in WIRE_TYPES[name]])
+
+
+@query("load_new_files", _LOADED_SQL)
 def q_load_new_files(spark, sf):
-    """SRC-08/09/10, STR-02: list, drop known files, route, load, commit - twice, with a file no table takes."""
-    from functools import reduce
+    """SRC-08/10, STR-02: all tables' new files, in micro-batches of two files, three times, with a file no table takes."""
     root = scratch_path(spark, "landing")
     base, state, raw = root + "/lake", root + "/state", root + "/raw"
     ev = fx.fx_event(spark, sf)
-    load = lambda: lakefiles.load_new_files(spark, base, state, raw, wire_ddl, _by_folder(base))
+    load = lambda: loader.load_new_files(spark, base, raw, state, max_files=2)
     for name in ("patient", "doctor", "hospital"):
-        cols = [n for n, _ in WIRE_TYPES[name]]
-        fx.fx_entity(spark, sf, name).select(*cols).write.parquet(f"{base}/{name}/date=2024-01-14")
+        _entity_rows(spark, sf, name).write.parquet(f"{base}/{name}/date=2024-01-14")
     ev.where(_early(ev)).write.parquet(f"{base}/appointment_events/date=2024-01-14")
     ev.limit(1).write.parquet(f"{base}/unknown_table/date=2024-01-14")
     load()
     ev.where(~_early(ev)).write.parquet(f"{base}/appointment_events/date=2024-01-15")
     load()
     load()                                              # nothing new: no third copy
-    parts = []
-    for name, key in (("appointment_events", "event_id"), ("doctor", "doctor_id"), ("hospital", "hospital_id"),
-                      ("patient", "patient_id")):
-        t = spark.read.schema(wire_ddl(name) + ", load_id string").parquet(f"{raw}/{name}")
-        parts.append(t.agg(F.count_distinct("load_id").cast("int").alias("loads"), F.count(F.lit(1)).alias("n_rows"),
-                           F.max(key).alias("last_key")).select(F.lit(name).alias("table_name"), "*"))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    return _loaded(spark, raw, _KEYS)
+
+
+@query("load_by_prefix", _LOADED_SQL)
+def q_load_by_prefix(spark, sf):
+    """SRC-09: files go to the table their name starts with, whatever folder they lie in; others are left."""
+    root = scratch_path(spark, "mixed")
+    base, state, raw = root + "/lake", root + "/state", root + "/raw"
+    ev = fx.fx_event(spark, sf)
+
+    def put(rows, name, folder):
+        rows.write.option("mapreduce.output.basename", f"{name}_000000000001").mode("append").parquet(f"{base}/{folder}")
+    for name in ("patient", "doctor", "hospital"):
+        put(_entity_rows(spark, sf, name), name, "doctor/date=2024-01-14")
+    put(ev.where(_early(ev)), "appointment_events", "doctor/date=2024-01-14")
+    put(ev.limit(1), "misc_patient", "patient/date=2024-01-14")
+    loader.load_new_files(spark, base, raw, state, by="prefix")
+    put(ev.where(~_early(ev)), "appointment_events", "patient/date=2024-01-15")
+    loader.load_new_files(spark, base, raw, state, by="prefix")
+    return _loaded(spark, raw, _KEYS)
+
+
+@query("load_drifting_files", with_("fx_event") + """
+, n as (select *, cast(substring(event_id, 2) as bigint) as n from fx_event)
+select event_id, appointment_id, patient_id, doctor_id, hospital_id, event_type, appointment_time, event_timestamp, consultation_fee,
+       case when n % 3 = 1 and n % 20 = 0 then true end as _deleted, case when n % 3 <> 0 then 'n' || n end as note
+from n""")
+def q_load_drifting_files(spark, sf):
+    """SRC-11/12, SNK-04: arrivals with other columns and other types: nothing is cut, cast or called corrupt."""
+    root = scratch_path(spark, "drift")
+    n = id_number(F.col("event_id"))
+    ev = fx.fx_event(spark, sf).withColumn("n", n)
+    note = F.concat(F.lit("n"), F.col("n")).alias("note")
+    wide = [F.col("appointment_time").cast("decimal(30,0)").alias("appointment_time"), F.col("event_timestamp").cast("string").alias("event_timestamp")]
+    rest = [c for c in _EV_LIST if c not in ("appointment_time", "event_timestamp")]
+    arrivals = (ev.where("n % 3 = 0").select(*_EV_LIST),
+                ev.where("n % 3 = 1").select(*_EV_LIST, note, F.when(F.col("n") % 20 == 0, F.lit(True)).alias("_deleted")),
+                ev.where("n % 3 = 2").select(note, *wide, *rest))
+    for i, rows in enumerate(arrivals):                 # one folder, so one micro-batch sees all of them
+        rows.write.parquet(f"{root}/lake/appointment_events/date=2024-01-1{i}")
+    loader.load_new_files(spark, root + "/lake", root + "/raw", root + "/state", tables=("appointment_events",))
+    raw = loader.read_raw(spark, root + "/raw", "appointment_events")
+    return raw.select(*[F.try_variant_get("v", f"$.{c}", t).alias(c)
+                        for c, t in (*WIRE_TYPES["appointment_events"], ("_deleted", "boolean"), ("note", "string"))])
+
+
+@query("wait_then_load", with_("fx_hospital") + """
+select 'hospital' as table_name, true as came, count(*) as n_rows from fx_hospital
+union all select 'patient', false, 0""")
+def q_wait_then_load(spark, sf):
+    """STR-03: a bounded wait for a table's file, then its load; a file that does not come is given up at the limit."""
+    import threading
+    root = scratch_path(spark, "waiting")
+    base = root + "/lake"
+    rows = _entity_rows(spark, sf, "hospital")
+    late = threading.Timer(0.5, lambda: rows.write.parquet(f"{base}/hospital/date=2024-01-14"))
+    late.start()
+    out = []
+    for t, limit in (("hospital", 600.0), ("patient", 0.2)):
+        of_table = lambda files, t=t: files.where(F.col("path").contains(f"/{t}/"))
+        came = ingest.wait_for_file(spark, base, of_table, limit, poke_s=0.2)
+        if came:
+            late.join()
+            loader.load_new_files(spark, base, root + "/raw", root + "/state", tables=(t,))
+        n = loader.read_raw(spark, root + "/raw", t).agg(F.count(F.lit(1)).alias("n_rows"))
+        out.append(n.select(F.lit(t).alias("table_name"), F.lit(came).alias("came"), "n_rows"))
+    return out[0].unionByName(out[1])
+
+
+def _put(spark, path: str, data: bytes) -> None:
+    """One small file, written through the cluster's file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(data))
+    out.close()
 
 
 @query("corrupt_file_quarantine", with_("fx_event") + """
-select 'corrupt' as status, 2 as files, cast(0 as bigint) as n_rows
-union all select 'loaded', 1, count(*) from fx_event""")
+select 'corrupt' as status, 2 as bad_files, cast(0 as bigint) as n_rows
+union all select 'loaded', 0, count(*) from fx_event""")
 def q_corrupt_file_quarantine(spark, sf):
-    """SRC-12: unreadable files are set aside whole and reported; sound files load."""
+    """SRC-12: unreadable files are set aside whole and reported; sound files of the same batches load."""
     root = scratch_path(spark, "damaged")
     base, state, raw = root + "/lake", root + "/state", root + "/raw"
-    fx.fx_event(spark, sf).coalesce(1).write.parquet(f"{base}/appointment_events/date=2024-01-14")
-    for d in ("15", "16"):                              # text under a Parquet name
-        spark.range(1).select(F.lit("PAR1 but no footer PAR1").alias("value")).coalesce(1).write.option(
-            "compression", "none").format("text").save(f"{root}/text{d}")
-    bad = [r[0] for d in ("15", "16") for r in spark.read.format("binaryFile").load(f"{root}/text{d}").select("path").collect()]
-    plan = spark.createDataFrame([("load", p, "appointment_events") for p in bad], lakefiles.PLAN)
-    sound = lakefiles.list_files(spark, base).select(F.lit("load").alias("load_id"), "path",
-                                                     F.lit("appointment_events").alias("table_name"))
-    sound.unionByName(plan).coalesce(1).write.parquet(f"{state}/plan")
-    ledger = lakefiles.load_new_files(spark, base, state, raw, wire_ddl, _by_folder(base))
-    rows = spark.read.schema(wire_ddl("appointment_events")).parquet(f"{raw}/appointment_events").agg(F.count(F.lit(1))).scalar()
-    return ledger.groupBy("status").agg(F.count(F.lit(1)).cast("int").alias("files")).select(
-        "status", "files", F.when(F.col("status") == "loaded", rows).otherwise(F.lit(0)).cast("bigint").alias("n_rows"))
+    fx.fx_event(spark, sf).write.parquet(f"{base}/appointment_events/date=2024-01-14")
+    for d in ("13", "15"):                              # text in a file with a Parquet name, before and behind the others
+        _put(spark, f"{base}/appointment_events/date=2024-01-{d}/text.parquet", b"PAR1 but no footer PAR1")
+    loader.load_new_files(spark, base, raw, state, max_files=1, tables=("appointment_events",))
+    rows = loader.read_raw(spark, raw, "appointment_events").agg(F.count(F.lit(1))).scalar()
+    report = loader.read_report(spark, state)
+    return report.groupBy("status").agg(F.count_if(F.col("status") == "corrupt").cast("int").alias("bad_files")).select(
+        "status", "bad_files", F.when(F.col("status") == "loaded", rows).otherwise(F.lit(0)).cast("bigint").alias("n_rows"))
 
 
 def _write_envelope_files(spark, sf, folder: str, chunks: int = 3) -> None:

@@ -1,32 +1,20 @@
-"""Lake file discovery, routing and loading.
+"""Lake file discovery and routing; ``sources.loader`` loads what is new.
 
 * ``route_by_prefix`` - table = first registry name the *file name* starts
   with, in the fixed order; no match -> skipped.
 * ``route_by_folder`` - table = second path segment, exact match.
-* ``list_files`` / ``new_files`` - recursive listing with a suffix filter,
-  minus the files the ledger knows.  Only *paths* are compared; files loaded
-  before are never opened again.
-* ``load_new_files`` - list, drop known files, route, load, commit.
-* ``read_sound`` - a strict read: a file that fails anywhere is quarantined
-  whole and reported, none of its rows is used and it never enters the ledger.
+* ``list_files`` / ``new_files`` - recursive listing with a suffix filter, minus the
+  files a ledger knows; only paths are compared.
+* ``load_object``     - one named object.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..registry import PREFIX_ROUTING_ORDER
-from ..sinks.tables import if_exists
 
 PARQUET_SUFFIX = ".parquet"
-PLAN = "load_id string, path string, table_name string"
-DONE = "load_id string, path string, table_name string, status string, reason string"
-#: Errors of a file that cannot be read; any other error of a load is raised.
-UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "Could not read footer", "is not a Parquet file",
-              "CANNOT_MERGE_SCHEMAS", "PARQUET_COLUMN_DATA_TYPE_MISMATCH")
 
 
 def file_name(key: Column) -> Column:
@@ -61,76 +49,6 @@ def new_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return listing if ledger is None else listing.join(ledger.select("path").distinct(), "path", "left_anti")
 
 
-def _unreadable(e: Exception) -> str | None:
-    text = str(e)
-    return next((k for k in UNREADABLE if k in text), None)
-
-
-def read_sound(spark: SparkSession, paths: Sequence[str], schema: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """(sound paths, (path, reason) of the others): every file is read to its end.
-
-    One pass over all files when they are sound; a failing set is halved
-    until the bad files stand alone."""
-    if not paths:
-        return [], []
-    read = (spark.read.schema(schema).option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false")
-            .parquet(*paths))
-    try:
-        read.write.format("noop").mode("overwrite").save()
-        return list(paths), []
-    except Exception as e:  # a failed task reaches Python as a bare JVM error
-        reason = _unreadable(e)
-        if reason is None:
-            raise
-    if len(paths) == 1:
-        return [], [(paths[0], reason)]
-    half = len(paths) // 2
-    left, right = (read_sound(spark, x, schema) for x in (paths[:half], paths[half:]))
-    return left[0] + right[0], left[1] + right[1]
-
-
-def load_new_files(spark: SparkSession, root: str, state: str, raw_root: str, schema_of: Callable[[str], str],
-                   route: Callable[[DataFrame], DataFrame], max_files: int = 10_000) -> DataFrame:
-    """Load the new files under ``root`` into raw tables; returns the ledger rows of this load.
-
-    ``state`` holds the plan of every load and the ledger of finished ones.
-    Order: list -> drop known files -> route -> write the plan -> load each
-    table into its own ``load_id`` partition -> commit the ledger.  A load that
-    died after its plan is redone from that plan, over its own partition, before
-    anything new is listed.  Files no table takes are in no plan and are
-    looked at again next time; corrupt ones are recorded with status ``corrupt``
-    and their reason, outside the ledger of loaded files.  ``max_files``
-    bounds one load, the rest follows in the next.
-    """
-    plans = if_exists(lambda: spark.read.schema(PLAN).parquet(f"{state}/plan"))
-    done = if_exists(lambda: spark.read.schema(DONE).parquet(f"{state}/done"))
-    open_plans = None
-    if plans is not None:
-        open_plans = plans if done is None else plans.join(done.select("load_id").distinct(), "load_id", "left_anti")
-        first = open_plans.agg(F.min("load_id")).first()[0]
-        open_plans = open_plans.where(F.col("load_id") == first) if first else None
-    if open_plans is None:
-        seen = done.where("status = 'loaded'") if done is not None else None
-        taken = route(new_files(list_files(spark, root), seen)).orderBy("path").limit(max_files)
-        load_id = uuid.uuid4().hex
-        plan = taken.select(F.lit(load_id).alias("load_id"), "path", "table_name")
-        plan.coalesce(1).write.mode("append").parquet(f"{state}/plan")
-        open_plans = spark.read.schema(PLAN).parquet(f"{state}/plan").where(F.col("load_id") == load_id)
-    rows = open_plans.collect()                       # max_files paths
-    out = []
-    for t in sorted({r["table_name"] for r in rows}):
-        load_id = rows[0]["load_id"]
-        sound, bad = read_sound(spark, sorted(r["path"] for r in rows if r["table_name"] == t), schema_of(t))
-        if sound:
-            df = spark.read.schema(schema_of(t)).parquet(*sound).withColumn("_file", F.col("_metadata.file_path"))
-            df.write.mode("overwrite").parquet(f"{raw_root}/{t}/load_id={load_id}")
-        out += [(load_id, p, t, "loaded", None) for p in sound] + [(load_id, p, t, "corrupt", why) for p, why in bad]
-    found = spark.createDataFrame(out, DONE)
-    if out:
-        found.coalesce(1).write.mode("append").parquet(f"{state}/done")
-    return found
-
-
 def load_object(spark: SparkSession, key: str | None, schema: str) -> DataFrame:
     """Event-driven load of one named object (a Parquet file or a folder of
     Parquet parts).  A missing key is an error; a key with another suffix

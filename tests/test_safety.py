@@ -9,7 +9,7 @@ from carelake.operators.staging import stage
 from carelake.plans import daily_job
 from carelake.registry import APPOINTMENT_EVENTS, wire_ddl
 from carelake.sinks import lake, tables
-from carelake.sources import files, fixtures as fx
+from carelake.sources import fixtures as fx, loader
 from tests.conftest import SF_SMALL
 from tests.test_traps import raw_rows
 
@@ -59,33 +59,77 @@ def test_damaged_closed_versions_raise(spark, tmp_path):
         daily_job.read_snapshot(spark, root, "patient")
 
 
+def load_hospitals(spark, tmp_path, to="", **kw):
+    """(status by arrival day, values of the raw rows) after a load of all there is."""
+    args = (spark, str(tmp_path / "lake"), str(tmp_path / f"raw{to}"), str(tmp_path / f"state{to}"))
+    loader.load_new_files(*args, tables=("hospital",), **kw)
+    report = {r["path"].split("date=")[1][:10]: (r["status"], r["reason"]) for r in loader.read_report(spark, args[3]).collect()}
+    raw = loader.read_raw(spark, args[2], "hospital")
+    return report, [r[0] for r in raw.select(F.to_json("v")).collect()]
+
+
 def test_half_broken_file_is_quarantined_whole(spark, tmp_path):
-    base, state, raw = str(tmp_path / "lake"), str(tmp_path / "state"), str(tmp_path / "raw")
     rows = fx.source_table(spark, SF_SMALL, "hospital")
-    rows.coalesce(1).write.parquet(f"{base}/hospital/date=2024-01-01")
-    rows.coalesce(1).write.parquet(f"{base}/hospital/date=2024-01-02")
-    damage(tmp_path / "lake" / "hospital" / "date=2024-01-02")
-    route = lambda f: files.route_by_folder(f.withColumn("key", F.concat(
-        F.lit("raw"), F.element_at(F.split("path", "/lake"), -1)))).drop("key")
-    load = lambda: files.load_new_files(spark, base, state, raw, wire_ddl, route)
-    got = {r["status"]: r["path"] for r in load().collect()}
-    assert "date=2024-01-01" in got["loaded"] and "date=2024-01-02" in got["corrupt"]
-    assert spark.read.schema(wire_ddl("hospital")).parquet(raw + "/hospital").count() == rows.count()
-    again = load().collect()                            # not in the ledger of loaded files: tried again
-    assert [r["status"] for r in again] == ["corrupt"]
+    put = lambda day: rows.coalesce(1).write.parquet(f"{tmp_path}/lake/hospital/date=2024-01-{day}")
+    put("01"), put("02")
+    damage(tmp_path / "lake" / "hospital" / "date=2024-01-01")
+    report, got = load_hospitals(spark, tmp_path, max_files=1)        # the bad file is first and holds up nothing
+    assert report["2024-01-02"] == ("loaded", None) and report["2024-01-01"][0] == "corrupt" and report["2024-01-01"][1]
+    assert len(got) == rows.count()
+    put("03")
+    report, got = load_hospitals(spark, tmp_path, max_files=1)
+    assert report["2024-01-03"][0] == "loaded" and len(got) == 2 * rows.count()
+
+
+def test_one_call_loads_more_files_than_a_batch_takes(spark, tmp_path):
+    rows = fx.source_table(spark, SF_SMALL, "hospital")
+    rows.repartition(7).write.parquet(f"{tmp_path}/lake/hospital/date=2024-01-01")
+    _, got = load_hospitals(spark, tmp_path, max_files=2)
+    assert len(got) == rows.count() and len(set(got)) == rows.count()
+    assert len(list((tmp_path / "raw" / "hospital").glob("load_id=*"))) >= 3
 
 
 def test_interrupted_load_is_redone_once(spark, tmp_path):
-    base, state, raw = str(tmp_path / "lake"), str(tmp_path / "state"), str(tmp_path / "raw")
     rows = fx.source_table(spark, SF_SMALL, "hospital")
-    rows.coalesce(1).write.parquet(f"{base}/hospital/date=2024-01-01")
-    route = lambda f: f.withColumn("table_name", F.lit("hospital"))
-    plan = files.list_files(spark, base).select(F.lit("abc").alias("load_id"), "path", F.lit("hospital").alias("table_name"))
-    plan.write.parquet(state + "/plan")                 # planned, loaded, died before the ledger
-    rows.write.parquet(raw + "/hospital/load_id=abc")
-    files.load_new_files(spark, base, state, raw, wire_ddl, route)
-    files.load_new_files(spark, base, state, raw, wire_ddl, route)
-    assert spark.read.schema(wire_ddl("hospital")).parquet(raw + "/hospital").count() == rows.count()
+    rows.coalesce(1).write.parquet(f"{tmp_path}/lake/hospital/date=2024-01-01")
+    load_hospitals(spark, tmp_path)
+    for f in (tmp_path / "state" / "files" / "hospital" / "commits").glob("*0*"):
+        f.unlink()                                      # rows written, died before the commit
+    _, got = load_hospitals(spark, tmp_path)
+    assert len(got) == rows.count()
+
+
+def test_drift_is_no_damage(spark, tmp_path, monkeypatch):
+    """Unknown fields, other types and other orders of columns, in one micro-batch and read by Spark alone."""
+    root = f"{tmp_path}/lake/hospital/date=2024-01-0"
+    rows = fx.source_table(spark, SF_SMALL, "hospital").where("hospital_id = 'H1'")
+    rows.write.parquet(root + "1")
+    rows.select(F.lit(True).alias("_deleted"), "*", F.struct(F.lit(1).alias("x")).alias("new_col")).write.parquet(root + "2")
+    rows.withColumn("bed_capacity", F.lit(1 << 40)).write.parquet(root + "3")
+    rows.withColumn("bed_capacity", F.lit("many")).write.parquet(root + "4")
+    rows.select(F.create_map(F.lit(1), F.lit("x")).alias("by_number")).write.parquet(root + "5")
+    for limit in (loader.CHECK_BYTES, 0):
+        monkeypatch.setattr(loader, "CHECK_BYTES", limit)
+        import json
+        report, got = load_hospitals(spark, tmp_path, to=limit)
+        values = sorted((json.loads(x) for x in got), key=lambda v: str(v.get("bed_capacity")))
+        assert [v["bed_capacity"] for v in values] == sorted([60, 60, 1 << 40, "many"], key=str)
+        assert [(v["_deleted"], v["new_col"]) for v in values if "new_col" in v] == [(True, {"x": 1})]
+        assert report.pop("2024-01-05")[0] == "unsupported" and {s for s, _ in report.values()} == {"loaded"}
+
+
+def test_files_no_table_takes_stay_open(spark, tmp_path):
+    rows = fx.source_table(spark, SF_SMALL, "hospital").coalesce(1)
+    rows.write.option("mapreduce.output.basename", "clinic").parquet(f"{tmp_path}/lake/x/date=2024-01-01")
+    args = (spark, str(tmp_path / "lake"), str(tmp_path / "raw"), str(tmp_path / "state"))
+    loader.load_new_files(*args, by="prefix")
+    assert loader.read_report(spark, args[3]).count() == 0
+    rows.write.option("mapreduce.output.basename", "hospital_1").parquet(f"{tmp_path}/lake/x/date=2024-01-02")
+    loader.load_new_files(*args, by="prefix")
+    assert loader.read_raw(spark, args[2], "hospital").count() == rows.count()
+    assert loader.read_report(spark, args[3]).count() == 1
+    with pytest.raises(ValueError):
+        loader.load_table(*args[:2], "hospital", *args[2:], by="size")
 
 
 def test_unreadable_event_id_does_not_stop_staging(spark):
