@@ -5,9 +5,12 @@ Version selection for the dimension side of the fact joins:
 * ``all``     - every SCD2 version joins (reference behaviour; fans out)
 * ``current`` - only open versions (``dbt_valid_to is null``)
 * ``as_of``   - the version valid at the event time:
-                ``valid_from <= t < valid_to`` (open end = infinity); the
-                key equality stays in the join, so Spark plans a hash or
-                sort-merge join with a residual range condition.
+                ``valid_from <= t < valid_to`` (open end = infinity).  A key's
+                versions do not overlap, so it is the last one begun by then:
+                versions and events of a key go through one sort by time and
+                the last version is carried forward (``as_of``): E + V rows per
+                key, not E x V pairs.  A key with more than ``HOT`` events is dealt
+                to several parts, each with all its versions.
 
 No join below forces a broadcast: the snapshot sides grow with the data.
 The jobs run with the static threshold off (``session.joins_by_measure``), so
@@ -19,7 +22,7 @@ side).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.display import no_show_flag
 
@@ -57,22 +60,44 @@ def select_versions(snap: DataFrame, mode: str) -> DataFrame:
     raise ValueError(f"version mode {mode!r}")
 
 
+#: Events of one key that one task sorts; more are dealt to parts.
+HOT = 1_000_000
+
+
+def as_of(events: DataFrame, versions: DataFrame, key: str, at: str, cols: dict[str, str], hot: int = HOT) -> DataFrame:
+    """``events`` with the columns ``cols`` (source name -> new name) of the version of ``key`` that is valid at
+    time ``at``: ``dbt_valid_from <= at < dbt_valid_to``; NULLs where there is none (also for a NULL key or time)."""
+    found = F.struct(F.col("dbt_valid_to").alias("_to"), *[F.col(src).alias(dst) for src, dst in cols.items()])
+    side = versions.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col("dbt_valid_from").alias("_t"), found.alias("_v"))
+    # parts of hot keys: a short table (events / hot rows), counted with one row per key and task
+    counts = events.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = counts.where(F.col("_n") > hot).select("_hot", F.ceil(F.col("_n") / hot).cast("int").alias("_parts"))
+    n = F.coalesce(F.col("_parts"), F.lit(1))
+    whole = F.xxhash64(*events.columns)
+    left = events.join(parts, F.col(key) == F.col("_hot"), "left").select(
+        F.struct(*events.columns).alias("_e"), F.col(at).alias("_t"), F.lit(None).cast(side.schema["_v"].dataType).alias("_v"),
+        # an event without a key has no version: it goes anywhere
+        F.col(key).alias("_k"), F.pmod(whole, F.when(F.col(key).isNull(), F.lit(1 << 20)).otherwise(n)).cast("int").alias("_part"))
+    right = side.join(parts, F.col("_k") == F.col("_hot"), "left").select(
+        F.lit(None).cast(left.schema["_e"].dataType).alias("_e"), "_t", "_v", "_k",
+        F.explode(F.sequence(F.lit(0), n - 1)).alias("_part"))
+    both = right.unionByName(left)
+    # a version begun at the very time of an event counts; events without a time come before all versions
+    order = Window.partitionBy("_k", "_part").orderBy(F.col("_t").asc_nulls_first(), F.col("_e").isNotNull())
+    last = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = both.withColumn("_v", last).where(F.col("_e").isNotNull())
+    valid = F.col("_v._to").isNull() | (F.col("_t") < F.col("_v._to"))
+    return both.select("_e.*", *[F.when(valid, F.col(f"_v.{c}")).alias(c) for c in cols.values()])
+
+
 def _join_dim(left: DataFrame, snap: DataFrame, key: str, cols: dict[str, str],
               mode: str, at: str) -> DataFrame:
+    if mode == "as_of":
+        return as_of(left, snap, key, at, cols)
     side = select_versions(snap, mode)
     pre = "_" + key
-    proj = [F.col(key).alias(pre)] + [F.col(src).alias(dst) for src, dst in cols.items()]
-    if mode == "as_of":
-        proj += [F.col("dbt_valid_from").alias(pre + "_vf"), F.col("dbt_valid_to").alias(pre + "_vt")]
-    side = side.select(*proj)
-    cond = F.col(key) == F.col(pre)
-    if mode == "as_of":
-        t = F.col(at)
-        cond = cond & (t >= F.col(pre + "_vf")) & (F.col(pre + "_vt").isNull() | (t < F.col(pre + "_vt")))
-    out = left.join(side, cond, "left").drop(pre)
-    if mode == "as_of":
-        out = out.drop(pre + "_vf", pre + "_vt")
-    return out
+    side = side.select(F.col(key).alias(pre), *[F.col(src).alias(dst) for src, dst in cols.items()])
+    return left.join(side, F.col(key) == F.col(pre), "left").drop(pre)
 
 
 def build_fact(events: DataFrame, patient_snap: DataFrame, doctor_snap: DataFrame,

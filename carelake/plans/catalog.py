@@ -867,15 +867,54 @@ where fault <> 'null_payload' and topic = 'server.public.appointment_events'
   and ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd')"""
 
 
-@query("lake_write_roundtrip", with_("fx_op") + f"""
-select {_EV_COLS}, position, case when op = 'd' then true end as _deleted,
-       '{LAKE_DATE}' as date {_UNIFIED_ROWS}""")
+def _text_of(rows, table):
+    """All fields of a wire row but the fee (a double) in one text, as the SQL side writes them."""
+    names = [n for n, _ in WIRE_TYPES[table] if n != "consultation_fee"]
+    fee = [F.round(F.col("consultation_fee") * 100).cast("bigint").alias("fee_cents")] if table == "appointment_events" else [
+        F.lit(None).cast("bigint").alias("fee_cents")]
+    text = F.concat_ws("|", *[F.coalesce(F.col(n).cast("string"), F.lit("-")) for n in names])
+    return rows.select(F.lit(table).alias("table_name"), text.alias("fields"), *fee, "position", "_deleted")
+
+
+def _each_table(of_table):
+    """``of_table(name)`` of the four captured tables, as one frame of texts."""
+    from functools import reduce
+    return reduce(lambda x, y: x.unionByName(y), [_text_of(of_table(t), t) for t in ENTITIES])
+
+
+def _change_rows_sql() -> str:
+    parts = []
+    for t in ENTITIES:
+        names = [n for n, _ in WIRE_TYPES[t] if n != "consultation_fee"]
+        text = "concat_ws('|', " + ", ".join(f"coalesce(cast({n} as varchar), '-')" for n in names) + ")"
+        number = f"cast(substring({t}_id, 2) as bigint)"
+        run, pos, gone, src = {
+            "appointment_events": ("position % 3", "position", "case when op = 'd' then true end", f"fx_op where {IMAGES}"),
+            "patient": ("b", "position", "_deleted", "fx_patient_log")}.get(
+                t, ("b", f"({number} * 10 + b * 2)", "cast(null as boolean)", f"fx_{t}"))
+        fee = "cast(round(consultation_fee * 100) as bigint)" if t == "appointment_events" else "cast(null as bigint)"
+        parts.append(f"select '{t}' as table_name, {text} as fields, {fee} as fee_cents, "
+                     f"cast({run} as bigint) * {1 << 44} + {pos} as position, {gone} as _deleted from {src}")
+    return with_("fx_op", "fx_patient_log", "fx_doctor", "fx_hospital") + " union all ".join(parts)
+
+
+_CHANGE_ROWS = _change_rows_sql()
+
+
+def _all_changes(spark, sf):
+    from functools import reduce
+    return reduce(lambda x, y: x.unionByName(y), [fx.fx_changes(spark, sf, b) for b, _ in fx.RUNS])
+
+
+@query("lake_write_roundtrip", f"select *, '{LAKE_DATE}' as date from ({_CHANGE_ROWS}) z")
 def q_lake_write_roundtrip(spark, sf):
-    """SNK-01/04: accepted images -> date-partitioned Parquet -> read back with a fixed schema."""
+    """SNK-01/04: accepted images of the four tables -> date-partitioned Parquet -> read back with a fixed schema."""
     root = scratch_path(spark, "lake")
-    rows = cdc.unified(classified(spark, sf), "appointment_events").drop("table_name")
-    lakesink.write_lake(rows, root, "appointment_events", LAKE_DATE)
-    return lakesink.read_lake_table(spark, root, "appointment_events").drop("image")
+    sorted_out = cdc.classify(decode(_all_changes(spark, sf)))
+    for t in ENTITIES:
+        lakesink.write_lake(cdc.unified(sorted_out, t).drop("table_name"), root, t, LAKE_DATE)
+    return _each_table(lambda t: lakesink.read_lake_table(spark, root, t).where(F.col("date") == F.lit(LAKE_DATE).cast("date"))).withColumn(
+        "date", F.lit(LAKE_DATE))
 
 
 @query("view_and_table", with_("hospital_dim", "stg_hospital") + """
@@ -1082,43 +1121,71 @@ def q_corrupt_file_quarantine(spark, sf):
         "status", "bad_files", F.when(F.col("status") == "loaded", rows).otherwise(F.lit(0)).cast("bigint").alias("n_rows"))
 
 
-def _write_envelope_files(spark, sf, folder: str, chunks: int = 3) -> None:
-    """The change stream as JSON files in ``chunks`` arrival folders (one write)."""
-    env = fx.fx_envelope(spark, sf).withColumn("chunk", F.col("position") % chunks)
-    env.write.partitionBy("chunk").json(folder)
+def _arrive(spark, sf, folder: str, *chunks: int) -> None:
+    """Records of the one change stream of four tables, as JSON files in arrival folders (one write)."""
+    from functools import reduce
+    rows = [fx.fx_changes(spark, sf, b).withColumn("chunk", F.lit(b)) for b in chunks]
+    reduce(lambda x, y: x.unionByName(y), rows).write.mode("append").partitionBy("chunk").json(folder)
 
 
-def _run_stream_to_lake(spark, sf, root):
-    src_dir, lake, quarantine = root + "/incoming", root + "/lake", root + "/quarantine"
-    _write_envelope_files(spark, sf, src_dir)
-    stream = (spark.readStream.schema(ingest.ENVELOPE_FILE_SCHEMA).option("maxFilesPerTrigger", 4)
-              .option("recursiveFileLookup", "true").json(src_dir))
-    q = ingest.envelopes_to_lake(stream, lake, quarantine, root + "/_chk_lake", run_date=LAKE_DATE)
-    q.awaitTermination()
-    return lake
+def _stream_to_lake(spark, root, run_date=LAKE_DATE):
+    """Drain what has arrived into the lake; a later call goes on from the checkpoint."""
+    stream = (spark.readStream.schema(ingest.ENVELOPE_FILE_SCHEMA).option("maxFilesPerTrigger", 8)
+              .option("recursiveFileLookup", "true").json(root + "/incoming"))
+    ingest.envelopes_to_lake(stream, root + "/lake", root + "/quarantine", root + "/_chk_lake", run_date=run_date).awaitTermination()
+    return root + "/lake"
 
 
-@query("stream_to_lake", with_("fx_op") + f"""
-select {_EV_COLS}, position, case when op = 'd' then true end as _deleted {_UNIFIED_ROWS}""")
+@query("stream_to_lake", _CHANGE_ROWS)
 def q_stream_to_lake(spark, sf):
-    """STR-01 / SRC-02/04 / SNK-02/03 / STR-05: change stream -> lake (exactly-once by batch id)."""
+    """STR-01 / SRC-02/04 / SNK-02/03 / STR-05: one stream of four tables -> lake, with a restart in between."""
+    root = scratch_path(spark, "stream")
+    _arrive(spark, sf, root + "/incoming", 0, 1)
+    _stream_to_lake(spark, root)
+    _arrive(spark, sf, root + "/incoming", 2)
+    lake = _stream_to_lake(spark, root)
+    return _each_table(lambda t: lakesink.read_lake_table(spark, lake, t, with_batch=True))
+
+
+@query("stream_rejects", with_("fx_op") + """
+select case when fault = 'null_payload' then 'no_payload' when topic <> 'server.public.appointment_events' then 'unknown_topic'
+            else 'invalid_op' end as reason, count(*) as n_rows
+from fx_op where fault = 'null_payload' or topic <> 'server.public.appointment_events'
+  or not ((op in ('c', 'u', 'r') and fault <> 'null_after') or op = 'd') group by 1""")
+def q_stream_rejects(spark, sf):
+    """CDC-03 in the stream: what no table takes is set aside under the same batch ids, with its reason."""
     root = scratch_path(spark, "stream")
-    lake = _run_stream_to_lake(spark, sf, root)
-    return lakesink.read_lake_table(spark, lake, "appointment_events", with_batch=True).select(
-        *_EV_LIST, "position", "_deleted")
+    _arrive(spark, sf, root + "/incoming", 0, 1, 2)
+    _stream_to_lake(spark, root)
+    return (spark.read.schema(ingest.REJECTS_SCHEMA).parquet(root + "/quarantine/rejects")
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-@query("stream_files_to_raw", with_("fx_op") + f"""
-select {_EV_COLS}, case when op = 'd' then true end as _deleted {_UNIFIED_ROWS}""")
+@query("stream_files_to_raw", _CHANGE_ROWS)
 def q_stream_files_to_raw(spark, sf):
-    """STR-02/03: new lake files -> raw VARIANT table (file stream, availableNow)."""
+    """STR-02: new lake files of four tables -> raw VARIANT tables (file streams, availableNow), in two arrivals."""
     root = scratch_path(spark, "stream")
-    lake = _run_stream_to_lake(spark, sf, root)
-    q = ingest.lake_to_raw(spark, lake, "appointment_events", root + "/raw", root + "/_chk_raw", max_files=2)
-    q.awaitTermination()
-    raw = spark.read.parquet(lakesink.table_path(root + "/raw", "appointment_events"))
-    return raw.select(*[F.try_variant_get("v", f"$.{n}", t).alias(n)
-                        for n, t in WIRE_TYPES["appointment_events"]], "_deleted")
+    for chunks in ((0,), (1, 2)):
+        _arrive(spark, sf, root + "/incoming", *chunks)
+        lake = _stream_to_lake(spark, root)
+        for q in [ingest.lake_to_raw(spark, lake, t, root + "/raw", f"{root}/_chk_raw/{t}", max_files=16) for t in ENTITIES]:
+            q.awaitTermination()
+    return _each_table(lambda t: spark.read.parquet(lakesink.table_path(root + "/raw", t)).select(
+        *[F.try_variant_get("v", f"$.{n}", kind).alias(n) for n, kind in WIRE_TYPES[t]], "position", "_deleted"))
+
+
+@query("compact_closed_day", _CHANGE_ROWS)
+def q_compact_closed_day(spark, sf):
+    """SNK-01/02: a closed day's many batch folders become few files; readers see the same rows."""
+    root = scratch_path(spark, "compact")
+    for day, chunk in (("2024-01-19", 0), ("2024-01-20", 1), ("2024-01-21", 2)):
+        _arrive(spark, sf, root + "/incoming", chunk)
+        lake = _stream_to_lake(spark, root, day)
+    for t in ENTITIES:
+        lakesink.compact_day(spark, lake, t, "2024-01-19")
+        lakesink.drop_batches(spark, lake, t, "2024-01-19")
+        lakesink.compact_day(spark, lake, t, "2024-01-20")
+    return _each_table(lambda t: lakesink.read_lake_table(spark, lake, t, with_batch=True))
 
 
 @query("stream_current_state", _stg_sql("appointment_events"))

@@ -224,6 +224,12 @@ def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _versions(spark, paths, schema, False).unionByName(_versions(spark, paths[:1], schema, True))
 
 
+def expire_runs(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Remove what only runs before the newest ``keep`` need: states, open versions, dimensions.  Closed versions stay."""
+    gone = tables.expire(spark, root, [f"state_{e}" for e in ENTITIES] + [f"{e}_dim" for e in SNAPSHOT_ENTITIES], keep)
+    return gone + tables.expire(spark, root, [f"snap_{e}" for e in SNAPSHOT_ENTITIES], keep, closed=f"{OPEN}=true")
+
+
 def build_marts(spark: SparkSession, root: str, version_mode: str = "all", fact_mode: str = "append",
                 deletes: str = "ignore") -> None:
     snaps = {n: read_snapshot(spark, root, n) for n in SNAPSHOT_ENTITIES}

@@ -7,6 +7,10 @@ nothing is left for it.  A batch's date is recorded before its first write and r
 by a replay (``batch_date``), so a batch replayed after midnight replaces its
 own files instead of adding a second copy.
 
+A closed day's batches can be put together (``compact_day``): the rows go, in
+files of a fixed size, to a folder that listings pass over, and one pointer
+switches readers to it; the batch folders may then be dropped.
+
 Every row keeps the whole change image as JSON text (``image``) beside the
 typed columns: source fields that the registry does not know are not lost.
 """
@@ -16,9 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..registry import WIRE_TYPES
-from .tables import if_exists
+from ..sources.files import list_files
+from .tables import POINTERS, if_exists, publish_versions, remove_folder, write_version
 
 BATCHES = "batch_id bigint, date date"
+#: Size of the files that a closed day is written to.
+FILE_BYTES = 128 << 20
 
 
 def clean_prefix(prefix: str | None) -> str:
@@ -71,4 +78,50 @@ def read_lake_table(spark: SparkSession, root: str, table: str, prefix: str | No
                     with_batch: bool = False) -> DataFrame:
     """Read one lake table with an explicit schema: ``_deleted`` exists even
     when no file of the table holds a delete (schema drift)."""
-    return spark.read.schema(lake_schema(table, with_batch)).parquet(table_path(root, table, prefix))
+    schema = lake_schema(table, with_batch)
+    path = table_path(root, table, prefix)
+    days = compacted_days(spark, path) if with_batch else {}
+    rows = if_exists(lambda: spark.read.schema(schema).parquet(path)) if days else spark.read.schema(schema).parquet(path)
+    if not days:
+        return rows
+    together = spark.read.schema(schema).parquet(*days.values())
+    return together if rows is None else rows.where(~F.col("date").cast("string").isin(*days)).unionByName(together)
+
+
+def compacted_days(spark: SparkSession, path: str) -> dict[str, str]:
+    """Day -> folder of the days of a lake table that were put together (a few hundred a year)."""
+    log = if_exists(lambda: spark.read.schema(POINTERS).parquet(f"{path}/_catalog"))
+    if log is None:
+        return {}
+    return {r["name"]: r["path"] for r in log.groupBy("name").agg(F.max_by("path", "seq").alias("path")).collect()}
+
+
+def compact_day(spark: SparkSession, root: str, table: str, day: str, prefix: str | None = None,
+                file_bytes: int = FILE_BYTES) -> int:
+    """Put the batches of a closed day together in files of about ``file_bytes``; returns how many files.
+
+    A day is closed once a batch of a later day was begun; any other is an error.  The batch folders stay until
+    ``drop_batches`` (a file stream may still have to read them); readers go by the new folder."""
+    batches = if_exists(lambda: spark.read.schema(BATCHES).parquet(f"{root.rstrip('/')}/_batches"))
+    last = batches.agg(F.max("date")).first()[0] if batches is not None else None
+    if last is None or str(last) <= day:
+        raise ValueError(f"{day} is not closed: no batch of a later day was begun")
+    path = table_path(root, table, prefix)
+    if day in compacted_days(spark, path):
+        return 0
+    folder = f"{path}/date={day}"
+    found = if_exists(lambda: list_files(spark, folder).agg(F.sum("length")).first()[0])
+    if not found:
+        return 0                                         # no rows of this table on that day
+    count = max(1, -(-found // file_bytes))
+    rows = spark.read.schema(lake_schema(table, with_batch=True)).parquet(path).where(F.col("date") == F.lit(day).cast("date"))
+    at = write_version(rows.repartition(count), path, f"_days/{day}", publish=False)
+    publish_versions(spark, path, [(day, at, None)])
+    return count
+
+
+def drop_batches(spark: SparkSession, root: str, table: str, day: str, prefix: str | None = None) -> None:
+    """Remove the batch folders of a day that was put together."""
+    path = table_path(root, table, prefix)
+    if day in compacted_days(spark, path):
+        remove_folder(spark, f"{path}/date={day}")

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,6 +37,7 @@ from ..sources.files import list_files
 from ..functions.types import PARITY_FEE_TYPE, PATIENT_DATE_BASE
 
 ENVELOPE_FILE_SCHEMA = "topic string, position bigint, value string"
+REJECTS_SCHEMA = "position bigint, topic string, op string, reason string, date date, batch_id bigint"
 
 
 def _trigger(writer, trigger: dict | None):
@@ -56,11 +58,12 @@ def envelopes_to_lake(stream: DataFrame, lake_root: str, quarantine_root: str, c
             date = batch_date(batch.sparkSession, lake_root, batch_id, F.lit(run_date) if run_date else F.current_date())
             present = {r[0] for r in batch.where(F.col("kind") != "reject")
                        .select("table_name").distinct().collect()}       # <= number of tables
-            for t in names:
-                if t in present:
-                    write_lake(cdc.unified(batch, t).drop("table_name"), lake_root, t, date,
-                               batch_id=batch_id)
-            write_lake(cdc.rejects(batch), quarantine_root, "rejects", date, batch_id=batch_id)
+            steps = [lambda t=t: write_lake(cdc.unified(batch, t).drop("table_name"), lake_root, t, date, batch_id=batch_id)
+                     for t in names if t in present]
+            steps.append(lambda: write_lake(cdc.rejects(batch), quarantine_root, "rejects", date, batch_id=batch_id))
+            with ThreadPoolExecutor(max_workers=len(steps)) as pool:     # one batch id; the first failure fails the batch
+                for done in [pool.submit(step) for step in steps]:
+                    done.result()
         finally:
             batch.unpersist()
 

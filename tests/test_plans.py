@@ -29,10 +29,11 @@ def test_no_broadcast_before_run_time(spark):
         assert "BroadcastExchange" not in p and "BroadcastHashJoin" not in p, name
 
 
-def test_as_of_join_keeps_equi_key(spark):
+def test_as_of_carries_versions_forward(spark):
+    """No join on the versions' times: one sort per key and dimension."""
     p = _plan(C.fact(joins_by_measure(spark), SF_SMALL, "as_of"))
-    keys = [line for line in p.split("\n") if "SortMergeJoin [" in line and "LeftOuter" in line]
-    assert len(keys) == 3 and all("_id" in k for k in keys)
+    assert not any("Join" in x and "dbt_valid" in x for x in p.split("\n"))
+    assert sum("Window [last(" in x for x in p.split("\n")) >= 3
 
 
 def test_fold_plan_grows_by_one_merge_per_run(spark):
