@@ -103,3 +103,22 @@ def stage(raw: DataFrame, spec: EntitySpec, run_ts: Column | None = None, *,
         out = out.withColumn("load_timestamp", lt)
         cols.append("load_timestamp")
     return out.select(*cols, F.col("rn").cast("int").alias("rn"))
+
+
+def view_sql(spec: EntitySpec, run_ts: str, *, fee_type: str = PARITY_FEE_TYPE, date_base: str = PATIENT_DATE_BASE) -> str:
+    """``stage`` as the text of a view over a raw table ``{table}`` with columns v, b and position
+    (``sinks.tables.catalog_view``): the newest change per key; ``run_ts`` is its load time."""
+    wire = dict(WIRE_TYPES[spec.name])
+    names = [n for n, _ in spec.fields] + (["event_id"] if spec.name == "appointment_events" else [])
+    fields = ", ".join(f"try_variant_get(v, '$.{n}', '{wire[n]}') as {n}" for n in names)
+    kinds = {"string": "{0}", "int": "cast({0} as int)", "lower": "lower({0})", "fee": f"cast({{0}} as {fee_type})",
+             "ts_us": "cast(timestamp_micros({0}) as timestamp_ntz)", "days": f"date_add(date '{date_base}', {{0}})"}
+    typed_cols = ", ".join(f"{kinds[kind].format(n)} as {n}" for n, kind in spec.fields)
+    there = " and ".join(f"{k} is not null" for k in spec.required)
+    ties = ["position desc nulls first", "cast(substring(event_id, 2) as bigint) desc nulls first"] if (
+        spec.name == "appointment_events") else ["b desc nulls first", "position desc nulls first"]
+    order = ", ".join([f"{spec.order_col} desc nulls first", *ties])
+    load = f", timestamp_ntz '{run_ts}' as load_timestamp" if spec.load_timestamp else ""
+    return f"""select {typed_cols}{load}, cast(rn as int) as rn from (
+  select *, row_number() over (partition by {spec.key} order by {order}) as rn
+  from (select {fields}, b, position from {{table}}) w where {there}) r where rn = 1"""

@@ -7,6 +7,7 @@ both engines, so that every digit is compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -933,6 +934,21 @@ def q_view_and_table(spark, sf):
     return dims.join(view, (F.col("hospital_id") == F.col("_h")) & F.col("is_current"), "left").drop("_h")
 
 
+@query("stored_staging_view", _stg_sql("patient"))
+def q_stored_staging_view(spark, sf):
+    """SNK-05: staging as a view of the catalog over the stored raw table, read by another session."""
+    from ..operators.staging import view_sql
+    root, name = scratch_path(spark, "views"), f"stg_patient_{uuid.uuid4().hex[:8]}"
+    raw = fx.fx_raw(fx.fx_patient(spark, sf).drop("run_ts"), keep=("b",))
+    raw.withColumn("position", F.lit(None).cast("bigint")).write.parquet(root + "/raw/patient")
+    tablesink.catalog_view(spark, name, root + "/raw/patient", view_sql(ENTITIES["patient"], LOAD_TS))
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    other.table(name).write.parquet(root + "/seen")               # what the other session reads
+    spark.sql(f"drop view {name}")
+    return spark.read.parquet(root + "/seen")
+
+
 def _fact_report_sql(body: str) -> str:
     return with_("fact_all") + f"""
 select * exclude (consultation_fee, date_of_birth), cast(consultation_fee as varchar) as consultation_fee,
