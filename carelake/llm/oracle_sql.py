@@ -52,7 +52,8 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p l
 EXACT = f"""
 with d as (select doc_id, sha256({LOWERED}) as text_sha256 from documents),
 g as (select text_sha256, max(doc_id) as keep_id, count(*)::bigint as group_size from d group by 1)
-select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256
+select doc_id, keep_id, group_size,
+       row_number() over (partition by text_sha256 order by doc_id desc nulls last) = 1 as kept, text_sha256
 from d join g using (text_sha256)"""
 
 CHAT = r"""

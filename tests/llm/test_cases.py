@@ -236,21 +236,45 @@ def test_exact_odd_rows(docs_of):
     assert by[(20, sha("ÉA b"))].keep_id == 21 and by[(22, sha("éa b"))].kept
     empty = [r for r in got if r.text_sha256 == sha("")]
     assert {r.keep_id for r in empty} == {2} and {r.group_size for r in empty} == {3}
-    assert sorted(r.kept for r in got if r.doc_id == 6) == [True, True] and not by[(5, sha(prose(400, 1)))].kept
+    assert sorted(r.kept for r in got if r.doc_id == 6) == [False, True] and not by[(5, sha(prose(400, 1)))].kept
     assert exact.exact_dedup(docs_of([])).collect() == []
 
 
+def test_one_row_of_each_text_stays(docs_of):
+    rows = [(3, "x", "s")] * 4 + [(1, "x", "s"), (None, "X", "s")] + [(None, "y", "s")] * 3 + [(7, None, "s"), (7, "", "s"), (7, "z", "s")]
+    got = exact.exact_dedup(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    kept = sorted(((r.doc_id, r.group_size) for r in got if r.kept), key=str)
+    assert kept == sorted([(3, 6), (None, 3), (7, 2), (7, 1)], key=str)
+    assert all((r.doc_id == r.keep_id) for r in got if r.kept)
+
+
 def test_index_persists_over_batches(spark, docs_of):
     path = scratch_path(spark, "test-index")
-    index = exact.DigestIndex(spark, path, buckets=4)
-    rows = lambda x: docs_of(x).select("doc_id", exact.digest(F.col("text")).alias("digest"))
-    assert index.append(rows([(1, "a", ""), (2, "A", ""), (3, "b", "")])).count() == 2
-    again = exact.DigestIndex(spark, path, buckets=4, name="opened_again")
-    fresh = again.append(rows([(4, "a", ""), (5, "c", ""), (6, "c", "")]))
-    assert [(r.keep_id, r.group_size) for r in fresh.collect()] == [(6, 2)]
-    assert sorted(r.keep_id for r in again.rows().collect()) == [2, 3, 6]
-    plan = again.unseen(rows([(7, "d", "")]))._jdf.queryExecution().toString()
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    first, second = exact.DigestIndex(spark, path, buckets=8), exact.DigestIndex(spark, path, buckets=8, name="opened_again")
+    kept = lambda rows, index: sorted((r.doc_id, r.text_sha256[:3], r.keep_id, r.group_size) for r in
+                                      exact.exact_dedup(docs_of([(i, t, "") for i, t in rows]), index).collect() if r.kept)
+    a, b, c = (hashlib.sha256(x).hexdigest()[:3] for x in (b"a", b"b", b"c"))
+    one = [(1, "a"), (2, "A"), (3, "b")]
+    assert kept(one, first) == [(2, a, 2, 2), (3, b, 3, 1)]
+    assert kept([(4, "a"), (5, "c"), (6, "c"), (9, "B")], second) == [(6, c, 6, 2)]
+    assert kept(one, first) == [(2, a, 2, 2), (3, b, 3, 1)]                 # done again after a crash
+    assert sorted(r.keep_id for r in first.seen().collect()) == [2, 3, 6]
+    batch = exact.reduce_batch(docs_of([(7, "d", "")]).select("doc_id", exact.digest(F.col("text")).alias("digest"), F.lit(0).alias("row")))
+    for df in (second.unseen(batch), second.answer(batch)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        # two exchanges, of the batch: for its aggregate and for the join; the index is only sorted
+        index_side = [x for x in plan.split("\n") if "Sort [" in x or "Exchange" in x or "opened_again" in x][-2:]
+        assert plan.count("Exchange") == 2 and "Sort [" in index_side[0] and "opened_again" in index_side[1]
+    for index in (first, second):
+        index.drop()
+    assert not spark.catalog.tableExists("opened_again")
+
+
+def test_buckets_grow_with_the_index(spark):
+    assert exact.buckets_for(spark, 0) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert exact.buckets_for(spark, 10**10) == -(-10**12 // (128 << 20))
 
 
 # -- benchmark passages ------------------------------------------------------------------
