@@ -6,15 +6,16 @@ stands: (terms, ends, positions) as packed arrays, and its documents' word count
 a phrase lies within one document, shards are searched alone; nothing is shuffled,
 and a term in every document is one short list per shard.
 
-Search: the test items' windows are broadcast in blocks of bounded bytes.  How often
-each of their terms stands in the corpus is summed over the index (the positions are not
-read).  In every shard the postings of a window's rarest term, less its offset, are
+Search: tasks cut the test items into windows of term hashes, which are written as a table, one row
+per item and distinct window; no item text reaches the driver.  Windows go to the tasks in blocks
+of at most about ``BLOCK_WINDOWS`` (some 100 bytes each), whatever item they are of.  How often each term of a
+block stands in the corpus is summed over the index (the positions are not read).  In every shard the postings of a window's rarest term, less its offset, are
 intersected with those of the next rarer terms - for all windows at once, by binary
 search in (term, position) keys - until none is left or the phrase is complete.  With
 ``slop`` each term may stand that many words off its place beside the rarest one
 (proximity matches).
 
-Defined cases: null texts and texts without words have no words; an item of fewer words
+Defined cases: very long documents and items are cut and indexed whole; null texts and texts without words have no words; an item of fewer words
 than the window, but some, is one window; items that share an id are one item, items
 without id count under the empty id; repeated document rows are judged each; empty
 tables give empty results (no items: nothing is hit); other columns are ignored.
@@ -32,8 +33,8 @@ from . import textkernel as tk
 from .common import map_batches, materialise
 
 SHARD_BYTES = 4 << 20
-#: Bytes of test items that one broadcast holds at most.
-ITEM_BYTES = 32 << 20
+#: Windows that one broadcast holds, and that a task returns at once.
+BLOCK_WINDOWS, WINDOW_ROWS = 1 << 19, 1 << 15
 #: Candidate positions intersected at once.
 CANDIDATES = 1 << 20
 INDEX = ("shard string, doc_ids array<long>, keys array<long>, n_words array<long>, "
@@ -84,35 +85,41 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return materialise(map_batches(rows, run, INDEX), "positional-index")
 
 
-def windows(items: list[tuple[str, bytes]], n: int) -> dict[str, np.ndarray]:
-    """Windows of the items: term hashes (ragged, as terms and ends) and the item's place in ``ids``."""
-    ids = sorted({i for i, _ in items})
-    place = {x: k for k, x in enumerate(ids)}
-    buf, off = tk.text_bytes(pa.array([t for _, t in items], pa.large_binary()))
-    h, counts = tk.words(buf, off, tk.ALNUM)
-    terms, lens, owner, at = [], [], [], 0
-    for (i, _), c in zip(items, counts.tolist()):
-        w = h[at:at + c]
-        at += c
-        for s in range(max(1, c - n + 1) if c else 0):
-            terms.append(w[s:s + n])
-            lens.append(len(terms[-1]))
-            owner.append(place[i])
-    flat = np.concatenate(terms) if terms else np.empty(0, np.uint64)
-    return {"ids": np.array(ids, object), "terms": flat, "len": np.array(lens, np.int64), "item": np.array(owner, np.int64)}
-
-
-def _blocks_of(items: DataFrame, n: int, limit: int) -> Iterator[dict[str, np.ndarray]]:
-    """The windows of all items, in blocks of at most about ``limit`` bytes of text."""
-    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"),
-                        F.col("text").cast("binary").alias("text")).filter("text is not null")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-total // limit)
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, count)))
+def windows(items: DataFrame, n: int) -> DataFrame:
+    """(id, terms): the distinct windows of each item as packed term hashes; written to the shared folder."""
+    def run(batches):
+        for batch in batches:
+            buf, off = tk.text_bytes(batch.column("text"))
+            ids = batch.column("id")
+            for lo, hi in tk.blocks(off):
+                h, counts = tk.words(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], tk.ALNUM)
+                ends = np.cumsum(counts)
+                for i, c, e in zip(range(lo, hi), counts.tolist(), ends.tolist()):
+                    if not c:
+                        continue
+                    all_ = np.lib.stride_tricks.sliding_window_view(h[e - c:e], min(n, c))
+                    for s in range(0, len(all_), WINDOW_ROWS):
+                        part = np.ascontiguousarray(all_[s:s + WINDOW_ROWS])
+                        packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * part.shape[1]), len(part), [None, pa.py_buffer(part)])
+                        yield pa.RecordBatch.from_arrays([pa.array([ids[i].as_py()] * len(part), pa.string()),
+                                                          packed.cast(pa.binary())], ["id", "terms"])
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.col("text").cast("binary").alias("text"))
+    return materialise(map_batches(rows.filter("text is not null"), run, "id string, terms binary").distinct(), "item-windows")
+
+
+def _blocks_of(wins: DataFrame, limit: int) -> Iterator[dict[str, np.ndarray]]:
+    """The windows in blocks of about ``limit``: term hashes (ragged, as terms and lengths) and the item's place in ``ids``."""
+    count = -(-wins.count() // limit)
+    part = F.pmod(F.xxhash64("id", "terms"), F.lit(max(1, count)))
     for b in range(count):
-        block = windows([(r["id"], bytes(r["text"])) for r in rows.filter(part == b).collect()], n)
-        if len(block["len"]):
-            yield block
+        rows = wins.filter(part == b).toArrow().combine_chunks()
+        if not rows.num_rows:
+            continue
+        names = rows.column("id").combine_chunks().dictionary_encode()
+        names = names.combine_chunks() if isinstance(names, pa.ChunkedArray) else names
+        data, off = tk.text_bytes(rows.column("terms"))
+        yield {"ids": np.array(names.dictionary.to_pylist(), object), "terms": np.frombuffer(data.tobytes(), np.uint64),
+               "len": np.diff(off) // 8, "item": names.indices.to_numpy().astype(np.int64)}
 
 
 def _frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -148,7 +155,7 @@ def _rarest_first(block: dict[str, np.ndarray], freq: np.ndarray, terms: np.ndar
     rank = np.where(inside, freq[term], np.int64(2**62))
     order = np.argsort(rank, axis=1, kind="stable")
     alive = (np.where(inside, freq[term], 1) > 0).all(axis=1)     # every term stands somewhere
-    pick = lambda x: np.take_along_axis(x, order, 1)[alive]
+    pick = lambda x: np.take_along_axis(x, order, 1)[alive].astype(np.int32)
     return {"term": pick(term), "offset": pick(np.broadcast_to(np.arange(width), term.shape)),
             "len": block["len"][alive], "item": block["item"][alive]}
 
@@ -239,14 +246,14 @@ def _search(index: DataFrame, block: dict[str, np.ndarray], slop: int) -> DataFr
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, slop: int = 0,
-                  item_bytes: int = ITEM_BYTES) -> DataFrame:
+                  block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """(doc_id, key, n_words, n_hit, n_items, items, hits, contaminated) for every row of ``docs``.
 
     ``hits`` are the places of the hit words, ``items`` the sorted ids of the items with a match.
     """
     index = build_index(docs)
     found = None
-    for block in _blocks_of(items, n, item_bytes):
+    for block in _blocks_of(windows(items, n), block_windows):
         part = materialise(_search(index, block, slop), "phrase-hits")
         found = part if found is None else found.unionByName(part)
     base = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "keys", "n_words")).alias("place", "d")).select(

@@ -178,6 +178,17 @@ def vary(text, share, seed):
     return " ".join(r.choice(VOCAB) if r.random() < share else x for x in w)
 
 
+def test_item_of_50_mb(docs_of, spark):
+    """One item much larger than a block: its windows go by blocks, its text stays with the tasks."""
+    r = random.Random(3)
+    words = [f"{r.getrandbits(320):080x}" for _ in range(640_000)]
+    bench = spark.createDataFrame([("big", " ".join(words)), ("small", "one two three")], "item_id string, text string")
+    assert bench.first().text.__len__() > 50_000_000
+    docs = [(1, "x " + " ".join(words[600_000:600_025]) + " y", "s"), (2, " ".join(words[5:14]), "s"), (3, "One, two: three!", "s")]
+    got = {x.doc_id: (x.n_hit, x["items"]) for x in decontam.decontaminate(docs_of(docs), bench).collect()}
+    assert got == {1: (25, ["big"]), 2: (0, []), 3: (3, ["small"])}
+
+
 def test_near_by_brute_force(docs_of):
     rows = [(i, vary(prose(120, i // 12), 0.0125 * (i % 12) / 2, i), "s") for i in range(120)]
     rows += [(500 + i, t, "s") for i, t in enumerate(["", None, "a", "A", "a b", "b a", "a b c", " A  b\tc", "x y z w", "x y z w x y z w"])]
@@ -291,9 +302,9 @@ def leak_case():
 def test_leaks_by_brute_force(spark, docs_of):
     docs, items = leak_case()
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for limit in (decontam.ITEM_BYTES, 300):                              # one block of items, and many
+    for limit in (decontam.BLOCK_WINDOWS, 20):                            # one block of windows, and many
         got = {r.doc_id: (r.n_words, r.n_hit, r["items"])
-               for r in decontam.decontaminate(docs_of(docs), bench, item_bytes=limit).collect()}
+               for r in decontam.decontaminate(docs_of(docs), bench, block_windows=limit).collect()}
         assert got == brute.leaks([d[:2] for d in docs], items, 10)
 
 
