@@ -6,13 +6,13 @@ rules and drops most; the ones left are compiled into one Spark column, so scori
 a projection without Python.
 
 The trees and weights are fitted on the driver on at most ``max_train`` labelled rows
-(the ones with the least hash of doc_id), one row of statistics each; rows whose
-crc32(doc_id) mod 5 is 0 are never learned from.
+(the ones with the least hash of doc_id), one row of statistics each; a histogram of the hashes cuts the others
+off before anything is sorted.  Rows whose crc32(doc_id) mod 5 is 0 are never learned from.
 
 Defined cases: null and empty texts have zero statistics and a score like any other;
 null ids are not held out and never match a label; null labels are left out; without labels of both classes
-the score is the share of ones (1 without any label); repeated rows are scored each; an empty
-table gives an empty result; other columns are ignored.
+the score is the share of ones (1 without any label); repeated rows are scored each and learned from once; very long
+texts are measured whole, each in one task; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -165,8 +165,13 @@ def learn(table: DataFrame, stats: dict[str, Column], labels: DataFrame, max_tra
     known = labels.filter("quality is not null and doc_id is not null").select(
         F.col("doc_id").cast("long").alias("_id"), F.col("quality").alias("_y"))
     rows = (table.select(F.col("doc_id").cast("long").alias("_id"), *[c.alias(k) for k, c in stats.items()])
-            .filter(~held_out(F.col("_id"))).join(known, "_id")
-            .orderBy(hash60(F.lit("train"), F.col("_id")), "_id", *names, "_y").limit(max_train))
+            .filter(~held_out(F.col("_id"))).join(known, "_id").distinct().withColumn("_h", hash60(F.lit("train"), F.col("_id"))))
+    rows = materialise(rows, "labelled-statistics")
+    # rows by the first ten bits of the hash: those behind the bit pattern that completes the sample go at once
+    part = F.shiftright("_h", 50)
+    count = sorted(map(tuple, rows.groupBy(part.alias("p")).count().collect()))
+    last = next((p for (p, _), total in zip(count, np.cumsum([n for _, n in count])) if total >= max_train), 1023)
+    rows = rows.filter(part <= int(last)).orderBy("_h", "_id", *names, "_y").limit(max_train)
     pdf = rows.select(*names, "_y").toPandas()                         # max_train rows of numbers
     return RuleEnsemble.fit(names, pdf[names].to_numpy(np.float64), (pdf["_y"].to_numpy() > 0).astype(np.int64))
 

@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, operator by operator."""
 
 import hashlib
+import math
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -443,3 +445,36 @@ def test_lines_repeated_rows_are_one_per_task(docs_of):
     plan = lines.line_windows(docs_of([(1, "a b\nc", "s")]).select("doc_id", "text"), 2)._jdf.queryExecution().executedPlan().toString()
     exchanges = [x for x in plan.split("\n") if "Exchange" in x]
     assert len(exchanges) == 1 and "Generate" in plan.split(exchanges[0])[0] and "partial_first" in plan.split(exchanges[0])[1]
+
+
+def test_rules_as_a_column(spark):
+    """The compiled expression scores like the rules evaluated one by one."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    x = np.round(rng.random((600, 4)), 2)
+    y = ((x[:, 0] > 0.6) & (x[:, 2] <= 0.5) | (x[:, 3] > 0.9)).astype(int)
+    names = ["a", "b", "c", "d"]
+    model = quality.RuleEnsemble.fit(names, x, y)
+    assert len(model.rules) > 5
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double, c double, d double")
+    got = dict(map(tuple, rows.select("i", model.column({n: F.col(n) for n in names}).alias("score")).collect()))
+    for i, r in enumerate(x):
+        total = model.bias + sum(w for rule, w in model.rules if all((r[f] > cut) == above for f, above, cut in rule))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+    assert np.mean([(got[i] > 0.5) == y[i] for i in range(600)]) > 0.95
+
+
+def test_sample_is_cut_before_it_is_sorted(spark, docs_of, monkeypatch):
+    """The rows with the least hashes are learned from, repeated rows once, whatever the cut."""
+    docs = docs_of([(i % 900, prose(3 + i % 900 % 7, i % 900), "s") for i in range(1800)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(900)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality.RuleEnsemble, "fit", staticmethod(lambda names, x, y: seen.append((x, y)) or quality.RuleEnsemble((), (), 0.0)))
+    table, stats = quality.measured(docs, ["doc_id"])
+    ids = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5]
+    ranked = sorted(ids, key=lambda i: int(hashlib.md5(f"train:{i}".encode()).hexdigest()[:15], 16))
+    for most in (37, 10_000):
+        quality.learn(table, stats, labels, most)
+        x, y = seen.pop()
+        assert y.tolist() == [i % 2 for i in ranked[:most]]
+        assert x[:, 0].tolist() == pytest.approx([float(math.log1p(3 + i % 7)) for i in ranked[:most]])
