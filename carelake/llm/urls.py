@@ -10,12 +10,13 @@ before a block.  Without either the verdict is allow.
 Targets are resolved as a browser does: against the page's url or its first ``base`` tag, also
 those that are relative to its folder, start with ``..`` or are a query only.  A node
 is a url with scheme and host in lower case, without ``.`` and ``..`` segments and without
-fragment, so all spellings of a page's url share its class.
+fragment, blanks as ``%20``, so all spellings of a page's url share its class.  Tags in comments and in
+script, style, title and textarea elements are not seen.
 
 Defined cases: null url, or none with ``://``: empty host and path, no rule, allow
 (such a row takes no part in links); null html has no links; targets of other schemes
 (``mailto:``) are no links; an empty path and ``/`` are two nodes, as for rules; repeated urls are one
-node; an empty table gives an empty result; further columns are kept, those called
+node; very long pages are read whole, each in one task; an empty table gives an empty result; further columns are kept, those called
 host, path, rule or verdict are replaced.
 """
 
@@ -33,10 +34,14 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
          ("com/fr/", "allow"), ("com/de/", "block"))
 CANONICAL = (r"""(?i)<link\b[^>]*(?<![\w-])rel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|"""
              r"""'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))[^>]*>""")
-BASE = r"""(?i)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh["']?[^>]*>"""
-HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
-TARGET = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""
+#: What a page does not show as tags; a comment without end goes to the end of the page.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\z)"
+BASE = r"(?i)<base\b[^>]*(?<![\w-])href\s*=[^>]*>"
+REFRESH = r"""(?i)<meta\b[^>]*(?<![\w-])http-equiv\s*=\s*["']?\s*refresh\b[^>]*>"""
+#: A value in quotes goes up to its quote, another up to a blank.
+VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+#: A refresh names its target after a number and a separator, with or without ``url=``.
+TARGET = r"""(?is)^\s*[0-9.]*\s*(?:[;,]|\s)\s*(?:url\s*=\s*)?(?:"([^"]*)|'([^']*)|(.*))"""
 
 
 def _after_scheme(url: Column) -> Column:
@@ -98,8 +103,8 @@ def node_of(url: Column) -> Column:
     """``url`` as a node: lower-case scheme and host, no dot segments, no fragment; null without ``://``."""
     scheme = F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)
     query = F.regexp_extract(_after_scheme(url), r"(?s)^[^?#]*(\?[^#]*)", 1)
-    return F.when(F.contains(url, F.lit("://")),
-                  F.concat(scheme, F.lit("://"), host_of(url), _without_dots(path_of(url)), query))
+    node = F.concat(scheme, F.lit("://"), host_of(url), _without_dots(path_of(url)), query)
+    return F.when(F.contains(url, F.lit("://")), F.replace(node, F.lit(" "), F.lit("%20")))
 
 
 def _once(value: Column, then) -> Column:
@@ -122,15 +127,25 @@ def _absolute(target: Column, base: Column) -> Column:
     return _once(joined, node_of)
 
 
+def _any_group(text: Column, pattern: str) -> Column:
+    """What the one of three groups that took part has matched, without white space around it."""
+    return F.trim(F.regexp_replace(F.concat(*[F.regexp_extract(text, pattern, g) for g in (1, 2, 3)]), r"[\t\n\r]", ""))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute; empty without it."""
+    return F.replace(_any_group(tag, rf"(?i)(?<![\w-]){name}" + VALUE), F.lit("&amp;"), F.lit("&"))
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
     """(u, v): the node of each page and of the canonical or refresh target that its html names."""
     html, url = F.col("html"), F.col("url")
-    tags = F.concat(F.transform(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0)),
-                                lambda t: F.regexp_extract(t, HREF, 1)),
+    pages = pages.select("url", F.regexp_replace("html", UNSEEN, " ").alias("html"))
+    tags = F.concat(F.transform(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0)), lambda t: _attribute(t, "href")),
                     F.transform(F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0)),
-                                lambda t: F.regexp_extract(t, TARGET, 1)))
-    tags = F.transform(tags, lambda t: F.replace(t, F.lit("&amp;"), F.lit("&")))
-    own = _once(F.regexp_extract(html, BASE, 1), lambda t: F.coalesce(_absolute(t, url), url))
+                                lambda t: _any_group(_attribute(t, "content"), TARGET)))
+    base = _attribute(F.regexp_extract(html, BASE, 0), "href")
+    own = _once(base, lambda t: F.coalesce(_absolute(t, url), url))
     named = pages.filter(F.contains(url, F.lit("://"))).select(
         "url", _once(own, lambda b: F.transform(tags, lambda t: _absolute(t, b))).alias("vs"))
     links = named.select("url", F.explode("vs").alias("v")).select(node_of(F.col("url")).alias("u"), "v")

@@ -103,6 +103,53 @@ def test_url_targets_resolved(spark):
     assert [i for i, r in sorted(got.items()) if r[3] == "block"] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
 
 
+def test_url_tags_as_a_browser_sees_them(spark):
+    bad = "http://x.com/de/"
+    unseen = [f"<!-- <link rel=canonical href='{bad}1'> -->", f"<script>var x = \"<link rel=canonical href='{bad}2'>\"</script>",
+              f"<!-- <b> <meta http-equiv=refresh content='0;url={bad}3'>", f"<title><link rel=canonical href='{bad}4'></title>",
+              f"<link rel=canonical data-href='{bad}5' href='http://ok.net/1'>", f"<meta data-http-equiv=refresh content='0;url={bad}6'>",
+              f"<meta http-equiv=refresh content='5'><!-- {bad} -->"]
+    seen = [f"<!-- a --><link rel=canonical href='{bad}1'>", f"<link rel=canonical data-href='http://ok.net/2' href='{bad}2'>",
+            f"<meta http-equiv=refresh content=\"0;{bad}3\">", f"<meta content='3, {bad}4' http-equiv=\"Refresh\">",
+            f"<meta http-equiv=refresh content=\"0; URL='{bad}5'\">", f"<link rel=canonical href=' {bad}a b '>", f"<meta http-equiv=refresh content=0;url={bad}7>",
+            f"<script src=x></script><base data-href='http://ok.net/' href='{bad}'><link rel=canonical href=8>", f"<meta http-equiv=refresh content='0 {bad}9'>"]
+    rows = [(f"http://u.net/{i}", h) for i, h in enumerate(unseen)] + [(f"http://s.net/{i}", h) for i, h in enumerate(seen)]
+    rows += [("http://t.net/", "<link rel=canonical href='/a b'>"), ("http://t.net/a%20b", f"<link rel=canonical href={bad}1>")]
+    got = judge(spark, rows)
+    assert [rows[i][0] for i, r in sorted(got.items()) if r[3] == "block"] == [u for u, _ in rows if "u.net" not in u]
+
+
+def test_url_classes_by_brute_force(spark):
+    """Random link graphs: the closure of block and allow over connected pages."""
+    r = random.Random(12)
+    hosts = ["a.net", "b.net", "x.com", "example.org"]
+    urls_ = [f"http://{r.choice(hosts)}/{r.choice(['de/', 'fr/', 'p/', 'es/', ''])}{i}" for i in range(160)]
+    forms = ["<link rel=canonical href='%s'>", '<meta http-equiv="refresh" content="1; url=%s">', "<meta http-equiv=refresh content='0;%s'>"]
+    edges = [(i, r.randrange(200)) for i in range(160) for _ in range(r.choice([0, 0, 0, 1, 1, 2]))]
+    at = lambda i: urls_[i] if i < 160 else f"http://{hosts[i % 4]}/{['de', 'q'][i % 2]}/far{i}"  # noqa: E731   beyond 160: no page of its own
+    html = ["".join(r.choice(forms) % at(v) for u, v in edges if u == i) for i in range(160)]
+    up = list(range(200))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for u, v in edges:
+        up[root(u)] = root(v)
+
+    def own(url):
+        host, _, path = url[7:].partition("/")
+        fit = [(len(k), k, v) for k, v in urls.RULES if ("." + host).endswith("." + k.partition("/")[0]) and ("/" + path).startswith("/" + k.partition("/")[2])]
+        return max(fit)[2] if fit else None
+    classes = {}
+    for i in range(200):
+        classes.setdefault(root(i), set()).add(own(at(i)))
+    want = [own(u) or ("block" if classes[root(i)] >= {"block"} and "allow" not in classes[root(i)] else "allow") for i, u in enumerate(urls_)]
+    got = judge(spark, list(zip(urls_, html)))
+    assert [got[i][3] for i in range(160)] == want
+    assert 5 < sum(w == "block" and own(u) is None for w, u in zip(want, urls_))
+
+
 def test_urls_empty(spark):
     assert judge(spark, []) == {}
 
