@@ -27,7 +27,7 @@ def classify(decoded: DataFrame) -> DataFrame:
     up = ok & known & op.isin(*UPSERT_OPS) & _present(F.col("after"))
     dl = ok & known & (op == DELETE_OP) & _present(F.col("before"))
     image = F.when(up, F.col("after")).when(dl, F.col("before"))
-    sound = F.coalesce(_is_object(image), F.lit(False))
+    sound = F.coalesce(_is_object(image, F.col("value")), F.lit(False))
     kind = F.when(up & sound, "upsert").when(dl & sound, "delete").otherwise("reject")
     reason = (F.when(F.col("value").isNull(), "tombstone")      # key-only record after a delete
               .when(~ok, "no_payload").when(~known, "unknown_topic")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators import aggregates as agg
-from carelake.operators.marts import as_of
+from carelake.operators.marts import as_of, hot_keys
 from carelake.operators.staging import stage
 from carelake.registry import APPOINTMENT_EVENTS
 from carelake.sinks import tables
@@ -54,7 +54,7 @@ def test_as_of_of_many_versions_and_a_hot_key(spark):
     on = (F.col("e.k") == F.col("v.k")) & (F.col("t") >= F.col("dbt_valid_from")) & (F.col("dbt_valid_to").isNull() | (F.col("t") < F.col("dbt_valid_to")))
     want = sorted(map(str, e.alias("e").join(v.alias("v"), on, "left").select("id", "e.k", "t", F.col("name").alias("found")).collect()))
     for hot in (1_000_000, 100):                         # whole, and the hot key in ten parts
-        got = as_of(e, v, "k", "t", {"name": "found"}, hot)
+        got = as_of(e, v, "k", "t", {"name": "found"}, hot_keys(e, ["k"], hot))
         assert sorted(map(str, got.collect())) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "dbt_valid_from" not in "".join(x for x in plan.split("\n") if "Join" in x)

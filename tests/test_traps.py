@@ -267,3 +267,13 @@ def test_t9_daily_job_delete_policies(spark, tmp_path):
         snap = daily_job.read_snapshot(spark, root, "hospital").where("hospital_id = 'H1'").collect()
         got[policy] = [(r["dbt_valid_to"] is None) for r in snap]
     assert got == {"ignore": [True], "drop": [True], "close": [False]}
+
+
+def test_texts_that_read_as_objects_are_checked(spark):
+    """An image must be an object: a text is one only if it parses as one, however it is written."""
+    from carelake.operators import cdc
+    from carelake.sources.envelope import decode
+    images = ['{"a":1}', ' {"a": {"b": [1]}} ', r'"{\"a\":1}"', r'"{bad"', r'" {\"a\":1"', r'"\u007bbad}"', r'" {\"a\":1}"', "[1]", "7", '"text"']
+    rows = [("server.public.doctor", i, '{"payload":{"op":"c","after":%s}}' % x) for i, x in enumerate(images)]
+    got = cdc.classify(decode(spark.createDataFrame(rows, "topic string, position bigint, value string")))
+    assert [r["kind"] for r in got.orderBy("position").collect()] == ["upsert"] * 3 + ["reject"] * 3 + ["upsert"] + ["reject"] * 3
