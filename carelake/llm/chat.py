@@ -13,8 +13,8 @@ Defined cases: turns go by (turn, role, text), null turns last; null text is emp
 null role is the role ``""`` (read back as empty); rows that repeat are turns of
 their own; a conversation whose role order the machine refuses is formatted all the
 same, with ``valid`` false and ``error_turn`` its first bad position; a null conv_id
-is one conversation of its own; an empty table gives an empty result; other columns
-are ignored.
+is one conversation of its own; a conversation, however long its texts, becomes one row in one
+task; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

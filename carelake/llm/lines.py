@@ -30,7 +30,7 @@ task; no positions are paired with each other.  Only DataFrame operations are us
 Defined cases: null and empty texts stay as they are; rows that share doc_id and text are
 the same text and are cut alike; rows that share only the doc_id go by the hash of
 their text; null ids come last; texts under ``min_words`` words keep all lines; a
-text may become empty; an empty table gives an empty result; other columns are kept.
+text may become empty; the lines of a very long text are hashes in one task; an empty table gives an empty result; other columns are kept.
 """
 
 from __future__ import annotations

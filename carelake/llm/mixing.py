@@ -13,8 +13,8 @@ what a smaller one took.
 
 Defined cases: null text has size 0; rows that share a hash (a repeated ``doc_id``,
 null ids) at the threshold each take the same part of their words, so the boundary
-document gives just the words that are still wanting; an empty table gives an
-empty result; other columns are ignored, and columns with the names of this
+document gives just the words that are still wanting; very long texts are counted whole, each in one
+task, and only their counts move; an empty table gives an empty result; other columns are ignored, and columns with the names of this
 operator's own are replaced.
 """
 

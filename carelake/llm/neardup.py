@@ -20,8 +20,9 @@
 
 Defined cases: null or empty texts and texts without words have an empty set and are
 linked with nothing; rows that share a doc_id are one document whose links are those
-of all its rows; a null doc_id gets no component and is kept; an empty table gives an
-empty result; other columns are ignored.
+of all its rows; a null doc_id gets no component and is kept; a very long text is hashed whole in
+one task, and its full set moves only if it shares a bucket; an empty table gives an
+empty result; other columns are ignored.  ``one_of_each`` tells rows apart by id and text.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ The piece model file is a parameter and is only read (pieces, scores, byte fallb
 special strings inside texts are ordinary text, as in the library's default.
 
 Defined cases: null text counts as empty and has no tokens; bytes that are no UTF-8 are
-counted as the replacement character; repeated rows are counted each; an empty table gives an empty result;
+counted as the replacement character; repeated rows are counted each; very long texts are
+counted whole, each in one task; an empty table gives an empty result;
 other columns are ignored.
 """
 
