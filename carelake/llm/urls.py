@@ -137,17 +137,22 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.replace(_any_group(tag, rf"(?i)(?<![\w-]){name}" + VALUE), F.lit("&amp;"), F.lit("&"))
 
 
-def alias_links(pages: DataFrame) -> DataFrame:
-    """(u, v): the node of each page and of the canonical or refresh target that its html names."""
-    html, url = F.col("html"), F.col("url")
-    pages = pages.select("url", F.regexp_replace("html", UNSEEN, " ").alias("html"))
+def _targets(html: Column, url: Column) -> Column:
+    """The nodes that the tags of ``html`` (less what is not seen) name on the page ``url``."""
     tags = F.concat(F.transform(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0)), lambda t: _attribute(t, "href")),
                     F.transform(F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0)),
                                 lambda t: _any_group(_attribute(t, "content"), TARGET)))
     base = _attribute(F.regexp_extract(html, BASE, 0), "href")
     own = _once(base, lambda t: F.coalesce(_absolute(t, url), url))
-    named = pages.filter(F.contains(url, F.lit("://"))).select(
-        "url", _once(own, lambda b: F.transform(tags, lambda t: _absolute(t, b))).alias("vs"))
+    return _once(own, lambda b: F.transform(tags, lambda t: _absolute(t, b)))
+
+
+def alias_links(pages: DataFrame) -> DataFrame:
+    """(u, v): the node of each page and of the canonical or refresh target that its html names."""
+    # most pages have neither word, and nothing else is done with them
+    able = pages.filter(F.contains("url", F.lit("://")) & F.col("html").rlike("(?i)canonical|refresh"))
+    seen = F.regexp_replace("html", UNSEEN, " ")
+    named = able.select("url", _once(seen, lambda h: _targets(h, F.col("url"))).alias("vs"))
     links = named.select("url", F.explode("vs").alias("v")).select(node_of(F.col("url")).alias("u"), "v")
     return links.filter("v is not null and u <> v").distinct()
 
