@@ -428,6 +428,23 @@ def test_repeated_odd_rows(docs_of):
     assert suffixes.repeated_bytes(docs_of([])).collect() == []
 
 
+def test_repeated_tasks_follow_the_data(docs_of, spark):
+    """A bucket is a task of its own, and the shards' texts are not moved by the joins on shard."""
+    from pyspark.sql import functions as F
+    buckets, tasks = 9, 6
+    shards = suffixes.pack_shards(docs_of(byte_case()), 900, tasks)
+    answers = suffixes.answer_anchors(suffixes.send_anchors(shards, buckets, 50, 24), buckets)
+    place = answers.select("bucket", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len({r.p for r in place}) == len({r.bucket for r in place}) == len(place) > 5
+    marks = suffixes.mark_in_shards(shards, answers, tasks, buckets, 50, 24)
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    left = plan[:plan.index("ObjectHashAggregate")] if "ObjectHashAggregate" in plan else plan[:plan.index("Aggregate")]
+    assert "text_shards" in left and "Exchange" not in left
+    out = suffixes.cut_shards(shards, suffixes.mark_across(marks.filter("bucket >= 0"), buckets, 50), tasks, False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("Aggregate")]
+
+
 def test_suffix_array_and_prefixes():
     import numpy as np
     r = random.Random(2)
