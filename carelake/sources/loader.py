@@ -9,7 +9,8 @@ in no stream, so they stay open.  A table's files are found by folder
 A micro-batch is loaded as the files are, whatever their columns:
 
 1. tasks read each file to its end and return the text of its own Parquet schema;
-   a file they cannot read, or one too large for that, is read by Spark on its own;
+   a file they cannot read, or one too large to be held whole by a task, is read by Spark on its own,
+   split as Spark splits files: no task holds more of a file than ``CHECK_BYTES``;
 2. files of equal schema are read together, with that schema, and each row becomes one
    VARIANT (``v``) - so fields the registry does not know, ``_deleted`` and columns
    that changed their type survive, and no type is cast or cut;
@@ -38,11 +39,11 @@ from ..registry import ENTITIES
 from ..sinks.tables import if_exists
 from .files import PARQUET_SUFFIX
 
-FILES = "path string, modificationTime timestamp, length bigint, content binary"
+FILES = "path string, modificationTime timestamp, length bigint, content binary"    # the file source's own schema
 REPORT = "path string, status string, reason string"
 RAW = "v variant, _file string, load_id bigint"
 #: Larger files are not handed to a task whole.
-CHECK_BYTES = 256 << 20
+CHECK_BYTES = 32 << 20
 #: Bytes of files that a Python worker gets at once (one file at least).
 TOGETHER = 32 << 20
 #: Errors of a file that cannot be read; any other error of a load is raised.
@@ -84,18 +85,21 @@ def _by_spark(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
 
 
 def load_files(spark: SparkSession, files: DataFrame, dest: str) -> list[tuple[str, str, str | None]]:
-    """Load ``files`` (path, length, content) into the folder ``dest`` as rows (v, _file), replacing it.
+    """Load ``files`` (path, length) into the folder ``dest`` as rows (v, _file), replacing it.
 
     Returns (path, ``loaded`` / ``corrupt`` / ``unsupported``, reason) of each file."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TOGETHER))
-    small = files.where(F.col("length") <= CHECK_BYTES).select("path", "content").mapInArrow(own_schemas, "path string, schema string")
-    known = [tuple(r) for r in small.collect()]
-    known += [(r["path"], None) for r in files.where(F.col("length") > CHECK_BYTES).select("path").collect()]
+    listed = files.select("path", "length").collect()
+    known = dict.fromkeys(r["path"] for r in listed)
+    if small := [r["path"] for r in listed if r["length"] <= CHECK_BYTES]:
+        held = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false")
+                .option("ignoreMissingFiles", "false").load(small))
+        known |= dict(tuple(r) for r in held.select("path", "content").mapInArrow(own_schemas, "path string, schema string").collect())
     report, groups = [], defaultdict(list)
-    alone = [p for p, schema in known if schema is None]
+    alone = [p for p, schema in known.items() if schema is None]
     with ThreadPoolExecutor(max_workers=8) as pool:
         judged = dict(zip(alone, pool.map(lambda p: _by_spark(spark, p), alone)))
-    for path, schema in sorted(known):
+    for path, schema in sorted(known.items()):
         schema, reason = judged.get(path, (schema, None))
         if schema is None:
             report.append((path, "corrupt", reason))
@@ -131,11 +135,12 @@ def load_table(spark: SparkSession, root: str, table: str, raw_root: str, state:
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        report = load_files(own, batch.select("path", "length", "content"), f"{raw_root}/{table}/load_id={batch_id}")
+        report = load_files(own, batch, f"{raw_root}/{table}/load_id={batch_id}")
         if report:
             own.createDataFrame(report, REPORT).coalesce(1).write.mode("overwrite").parquet(
                 f"{state}/report/{table}/batch_id={batch_id}")
-    query = (stream.writeStream.foreachBatch(flush).option("checkpointLocation", f"{state}/files/{table}")
+    # a batch's rows are computed as they stand here: with the content, every file would be held whole, the large ones too
+    query = (stream.select("path", "length").writeStream.foreachBatch(flush).option("checkpointLocation", f"{state}/files/{table}")
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
