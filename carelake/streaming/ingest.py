@@ -47,7 +47,9 @@ def _trigger(writer, trigger: dict | None):
 def envelopes_to_lake(stream: DataFrame, lake_root: str, quarantine_root: str, checkpoint: str,
                       run_date: str | None = None, accept_flat: bool = False,
                       trigger: dict | None = None, tables=None, topics=None):
-    classified = cdc.classify(decode(stream, accept_flat=accept_flat, topics=topics))
+    # what the sinks take; envelopes and images that were not chosen are not kept with the batch
+    classified = cdc.classify(decode(stream, accept_flat=accept_flat, topics=topics)).select(
+        "topic", "position", "table_name", "op", "kind", "reason", "image")
     names = list(tables or ENTITIES)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
